@@ -354,3 +354,74 @@ def _f15(spark, d):
 def _f16(spark, d):
     t = Tables(spark, d)
     return FE.transform_summary(t.user_features, t.item_features, t.interactions)
+
+
+# ---------------------------------------------------------------------------
+# Data quality (V1–V12) over all five raw sources
+# ---------------------------------------------------------------------------
+from ..operators import quality as Q  # noqa: E402
+from . import oracle_quality as OQ  # noqa: E402
+
+
+def _sub(sql_text: str, cols: str) -> str:
+    return f"SELECT {cols} FROM ({sql_text})"
+
+
+@register("v1_dq_required_columns", OQ.v1())
+def _v1(spark, d):
+    return Q.for_all(Q.required_columns, Tables(spark, d).raw)
+
+
+@register("v2_dq_missing_values", OQ.v2())
+def _v2(spark, d):
+    return Q.for_all(Q.missing_values, Tables(spark, d).raw)
+
+
+@register("v3_dq_duplicate_rows", _sub(OQ.v3v4(), "source, total_rows, total_duplicates"))
+def _v3(spark, d):
+    return Q.for_all(Q.duplicates, Tables(spark, d).raw).select("source", "total_rows", "total_duplicates")
+
+
+@register("v4_dq_pk_duplicates", _sub(OQ.v3v4(), "source, pk_column, primary_key_duplicates"))
+def _v4(spark, d):
+    return Q.for_all(Q.duplicates, Tables(spark, d).raw).select("source", "pk_column", "primary_key_duplicates")
+
+
+@register("v5_dq_ranges", OQ.v5())
+def _v5(spark, d):
+    return Q.for_all(Q.ranges, Tables(spark, d).raw)
+
+
+@register("v6_dq_allowed_values", OQ.v6())
+def _v6(spark, d):
+    return Q.for_all(Q.allowed_values, Tables(spark, d).raw)
+
+
+@register("v7_dq_shape_and_types", OQ.v7())
+def _v7(spark, d):
+    return Q.for_all(Q.shape_and_types, Tables(spark, d).raw)
+
+
+@register("v8_dq_numeric_summary", OQ.v8())
+def _v8(spark, d):
+    return Q.for_all(Q.numeric_summary, Tables(spark, d).raw)
+
+
+@register("v9_dq_issues", OQ.v9())
+def _v9(spark, d):
+    return Q.issues_all(Tables(spark, d).raw)
+
+
+@register("v10_dq_issue_counts", OQ.v10())
+def _v10(spark, d):
+    return Q.for_all(Q.issue_counts, Tables(spark, d).raw)
+
+
+@register("v11_dq_quality_score", OQ.v11())
+def _v11(spark, d):
+    return Q.for_all(Q.quality_score, Tables(spark, d).raw)
+
+
+@register("v12_dq_report_all", OQ.v12())
+def _v12(spark, d):
+    return Q.report_all(Tables(spark, d).raw)
