@@ -425,3 +425,107 @@ def _v11(spark, d):
 @register("v12_dq_report_all", OQ.v12())
 def _v12(spark, d):
     return Q.report_all(Tables(spark, d).raw)
+
+
+# ---------------------------------------------------------------------------
+# Profiling
+# ---------------------------------------------------------------------------
+from ..operators import profile as P  # noqa: E402
+
+
+def _hist_sql(table: str, c: str, bins: int) -> str:
+    x = f"CAST({c} AS DOUBLE)"
+    st = (f"SELECT CASE WHEN min({x}) = max({x}) THEN min({x}) - 0.5 ELSE min({x}) END AS lo,"
+          f" CASE WHEN min({x}) = max({x}) THEN max({x}) + 0.5 ELSE max({x}) END AS hi,"
+          f" min({x}) AS mn FROM {table}")
+    b = (f"CAST(least(floor(({x} - st.lo) * (CAST({bins} AS DOUBLE) / (st.hi - st.lo))) + 1, {bins}) AS INTEGER)")
+    counts = f"SELECT {b} AS bin, count(*) AS cnt FROM {table}, st WHERE {x} IS NOT NULL GROUP BY 1"
+    w = f"((st.hi - st.lo) / CAST({bins} AS DOUBLE))"
+    return (f"SELECT g.bin, st.lo + CAST(g.bin - 1 AS DOUBLE) * {w} AS bin_lo,"
+            f" st.lo + CAST(g.bin AS DOUBLE) * {w} AS bin_hi, CAST(COALESCE(c.cnt, 0) AS BIGINT) AS count"
+            f" FROM st CROSS JOIN (SELECT CAST(generate_series AS INTEGER) AS bin FROM generate_series(1, {bins})) g"
+            f" LEFT JOIN ({counts}) c ON g.bin = c.bin WHERE st.mn IS NOT NULL").replace(
+        "FROM st CROSS", "FROM (" + st + ") st CROSS").replace(
+        f"FROM {table}, st WHERE", f"FROM {table}, ({st}) st WHERE")
+
+
+@register("e1_rating_histogram", O.sql(_hist_sql("transactions_clean", "rating", 5), "transactions_clean"))
+def _e1(spark, d):
+    return P.rating_histogram(Tables(spark, d).transactions)
+
+
+O.cte("_txn_per_user", "SELECT user_id, count(*) AS txn_count FROM transactions_clean WHERE user_id IS NOT NULL"
+      " GROUP BY user_id", "transactions_clean")
+
+
+@register("e2_txn_per_user_histogram", O.sql(_hist_sql("_txn_per_user", "txn_count", 30), "_txn_per_user"))
+def _e2(spark, d):
+    return P.txn_per_user_histogram(Tables(spark, d).transactions)
+
+
+def _topk_sql(key: str, k: int, name: str = "count") -> str:
+    return (f"SELECT {key}, count(*) AS {name} FROM transactions_clean WHERE {key} IS NOT NULL GROUP BY {key}"
+            f" ORDER BY {name} DESC, {key} ASC LIMIT {k}")
+
+
+@register("e3_top_products", O.sql(_topk_sql("product_id", 20, "txn_count"), "transactions_clean"))
+def _e3(spark, d):
+    return P.top_products(Tables(spark, d).transactions)
+
+
+@register("e4_category_share", O.sql(
+    "SELECT category, count(*) AS count, CAST(count(*) AS DOUBLE) / CAST((SELECT count(*) FROM products_clean)"
+    " AS DOUBLE) * CAST(100.0 AS DOUBLE) AS pct FROM products_clean WHERE category IS NOT NULL GROUP BY category",
+    "products_clean"))
+def _e4(spark, d):
+    return P.category_share(Tables(spark, d).products)
+
+
+@register("e5_interaction_pivot", O.sql(
+    "SELECT user_id, product_id, avg(rating) AS avg_rating FROM transactions_clean"
+    f" WHERE user_id IN (SELECT user_id FROM ({_topk_sql('user_id', 50)}))"
+    f" AND product_id IN (SELECT product_id FROM ({_topk_sql('product_id', 50)}))"
+    " GROUP BY user_id, product_id", "transactions_clean"))
+def _e5(spark, d):
+    return P.interaction_pivot_long(Tables(spark, d).transactions)
+
+
+@register("e6_txn_by_hour", O.sql("SELECT hour, count(*) AS count FROM transactions_clean GROUP BY hour ORDER BY hour",
+                                  "transactions_clean"))
+def _e6(spark, d):
+    return P.txn_by_hour(Tables(spark, d).transactions)
+
+
+@register("e7_txn_by_weekday", O.sql(
+    "SELECT day_of_week, count(*) AS count FROM transactions_clean GROUP BY day_of_week ORDER BY day_of_week",
+    "transactions_clean"))
+def _e7(spark, d):
+    return P.txn_by_weekday(Tables(spark, d).transactions)
+
+
+@register("e8_interaction_sparsity", O.sql(
+    "SELECT count(*) AS n_interactions, count(DISTINCT user_id) AS n_users, count(DISTINCT product_id) AS n_items,"
+    " 1.0 - CAST(count(*) AS DOUBLE) / CAST(count(DISTINCT user_id) * count(DISTINCT product_id) AS DOUBLE)"
+    " AS sparsity FROM transactions_clean", "transactions_clean"))
+def _e8(spark, d):
+    return P.interaction_sparsity(Tables(spark, d).transactions)
+
+
+_NL, _ND, _NT = "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)", "CAST(NULL AS TIMESTAMP)"
+
+
+@register("e9_data_summary", O.sql(
+    "SELECT 'transactions' AS \"table\", count(*) AS records, count(DISTINCT user_id) AS unique_users,"
+    " count(DISTINCT product_id) AS unique_products, round_even(avg(rating), 2) AS avg_rating,"
+    f" {_NL} AS categories, {_ND} AS avg_price, {_ND} AS avg_age, {_NL} AS event_types,"
+    " min(timestamp) AS min_timestamp, max(timestamp) AS max_timestamp FROM transactions_clean"
+    f" UNION ALL SELECT 'products', count(*), {_NL}, {_NL}, {_ND}, count(DISTINCT category),"
+    f" round_even(avg(price), 2), {_ND}, {_NL}, {_NT}, {_NT} FROM products_clean"
+    f" UNION ALL SELECT 'users', count(*), {_NL}, {_NL}, {_ND}, {_NL}, {_ND}, round_even(avg(age), 1), {_NL},"
+    f" {_NT}, {_NT} FROM users_clean"
+    f" UNION ALL SELECT 'clickstream', count(*), {_NL}, {_NL}, {_ND}, {_NL}, {_ND}, {_ND},"
+    f" count(DISTINCT event_type), {_NT}, {_NT} FROM clickstream_clean",
+    "transactions_clean", "products_clean", "users_clean", "clickstream_clean"))
+def _e9(spark, d):
+    t = Tables(spark, d)
+    return P.data_summary(t.transactions, t.products, t.users, t.clickstream)
