@@ -78,10 +78,10 @@ def date_parts(df: DataFrame, c: str = "timestamp", parts=("date", "hour", "day_
 
 def min_max_scale(df: DataFrame, c: str, out: str) -> DataFrame:
     """(x - min) / (max - min) over the whole table; constant column -> null."""
-    stats = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi"))
-    lo = stats.select("lo").scalar()
-    hi = stats.select("hi").scalar()
-    return df.withColumn(out, minmax_scale(F.col(c).cast("double"), lo.cast("double"), hi.cast("double")))
+    stats = df.agg(F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi")).alias("s"))
+    withs = df.withColumn("_mm", stats.select("s").scalar())
+    return (withs.withColumn(out, minmax_scale(F.col(c).cast("double"), F.col("_mm.lo"), F.col("_mm.hi")))
+                 .drop("_mm"))
 
 
 def category_codes(df: DataFrame, c: str, out: str) -> DataFrame:

@@ -18,13 +18,18 @@ def histogram(df: DataFrame, c: str, bins: int) -> DataFrame:
     Bounds are scalar subqueries; counting is one partial/final aggregate.
     """
     x = F.col(c).cast("double")
-    st = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
-    lo = st.select(F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo"))).scalar()
-    hi = st.select(F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi"))).scalar()
+    st = df.agg(F.min(x).alias("mn"), F.max(x).alias("mx")).select(F.struct(
+        F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
+        F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi"),
+        F.col("mn").alias("mn")).alias("s"))
+    # bounds: one scalar subquery, materialised once per side and read by field
+    lo, hi = F.col("_h.lo"), F.col("_h.hi")
     b = F.least(F.floor((x - lo) * (F.lit(float(bins)) / (hi - lo))) + 1, F.lit(bins)).cast("int")
-    counts = df.where(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    counts = (df.where(x.isNotNull()).withColumn("_h", st.select("s").scalar())
+                .groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count")))
     width = (hi - lo) / F.lit(float(bins))
-    frame = st.where(F.col("lo").isNotNull()).select(F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
+    frame = (st.where(F.col("s.mn").isNotNull())
+               .select(F.col("s").alias("_h"), F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin")))
     return (frame.join(counts, "bin", "left")
                  .select("bin", (lo + (F.col("bin") - 1) * width).alias("bin_lo"),
                          (lo + F.col("bin") * width).alias("bin_hi"),

@@ -165,12 +165,14 @@ def cb_vectorise(item_features: DataFrame, cols: list[str] | None = None) -> Dat
                                                   for c in cols])
     st = filled.agg(F.struct(*[F.min(c).alias(f"lo_{i}") for i, c in enumerate(cols)],
                              *[F.max(c).alias(f"hi_{i}") for i, c in enumerate(cols)]).alias("s"))
-    s = st.select("s").scalar()
+    # the stats struct is one scalar subquery held in one column and
+    # referenced by field, so the plan is not copied per feature
+    withs = filled.withColumn("_s", st.select("s").scalar())
     comps = []
     for i, c in enumerate(cols):
-        lo, hi = s.getField(f"lo_{i}"), s.getField(f"hi_{i}")
+        lo, hi = F.col(f"_s.lo_{i}"), F.col(f"_s.hi_{i}")
         comps.append(F.when(hi == lo, F.lit(0.0)).otherwise((F.col(c) - lo) / (hi - lo)))
-    return filled.select("product_id", F.array(*comps).alias("vec"))
+    return withs.select("product_id", F.array(*comps).alias("vec"))
 
 
 def unit_vectors(vecs: DataFrame) -> DataFrame:

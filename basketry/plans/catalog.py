@@ -529,3 +529,209 @@ _NL, _ND, _NT = "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)", "CAST(NULL AS TI
 def _e9(spark, d):
     t = Tables(spark, d)
     return P.data_summary(t.transactions, t.products, t.users, t.clickstream)
+
+
+# ---------------------------------------------------------------------------
+# Joins J4–J6
+# ---------------------------------------------------------------------------
+from ..operators import metrics as M  # noqa: E402
+from ..operators import recommend as R  # noqa: E402
+
+
+@register("j4_semi_join_topk", O.sql(
+    "SELECT * FROM transactions_clean WHERE user_id IN (SELECT user_id FROM ("
+    + _topk_sql("user_id", 50) + "))", "transactions_clean"))
+def _j4(spark, d):
+    t = Tables(spark, d).transactions
+    return t.join(F.broadcast(P.top_k(t, "user_id", 50).select("user_id")), "user_id", "left_semi")
+
+
+@register("j5_anti_join_holdout", O.sql(_all("train_pairs").replace("*", "user_id, product_id"), "train_pairs"))
+def _j5(spark, d):
+    pairs = Tables(spark, d).interactions
+    _, test = R.split_train_test(pairs)
+    return R.holdout_history(pairs, test)
+
+
+@register("j6_dictionary_join", O.sql(
+    "SELECT p.user_id, u.row AS user_idx, p.product_id FROM interaction_features p JOIN user_index u"
+    " ON p.user_id = u.user_id", "user_index"))
+def _j6(spark, d):
+    pairs = Tables(spark, d).interactions
+    return (pairs.select("user_id", "product_id")
+                 .join(FE.dense_index(pairs, "user_id", "user_idx"), "user_id"))
+
+
+# ---------------------------------------------------------------------------
+# Recommenders M1–M22
+# ---------------------------------------------------------------------------
+def _split(spark, d):
+    return R.split_train_test(Tables(spark, d).interactions)
+
+
+def _unit(spark, d):
+    return R.unit_vectors(R.cb_vectorise(Tables(spark, d).item_features))
+
+
+def _long(vecs: DataFrame, names: list[str]) -> DataFrame:
+    names_arr = F.array(*[F.lit(n) for n in names])
+    return (vecs.select("product_id", F.posexplode("vec").alias("pos", "value"))
+                .select("product_id", F.element_at(names_arr, F.col("pos") + 1).alias("feature"), "value"))
+
+
+@register("m1_split_train_test", O.sql("SELECT user_id, product_id, is_test FROM _split", "_split"))
+def _m1(spark, d):
+    return R.split_flag(Tables(spark, d).interactions).select("user_id", "product_id", "is_test")
+
+
+@register("m2_rating_matrix", O.sql(
+    "SELECT user_id, product_id, CAST(avg_rating AS DOUBLE) AS value FROM train_pairs WHERE avg_rating > 0",
+    "train_pairs"))
+def _m2(spark, d):
+    return R.rating_matrix(_split(spark, d)[0])
+
+
+@register("m3_mean_center", O.sql(
+    "SELECT user_id, product_id, value - (SELECT avg(value) FROM c) AS value FROM c".replace(
+        "FROM c", "FROM (SELECT user_id, product_id, CAST(avg_rating AS DOUBLE) AS value FROM train_pairs"
+        " WHERE avg_rating > 0)"), "train_pairs"))
+def _m3(spark, d):
+    return R.mean_center(R.rating_matrix(_split(spark, d)[0]))
+
+
+@register("m4_svd_fit")
+def _m4(spark, d):
+    model = R.svd_fit(_split(spark, d)[0])
+    return model.item_factors
+
+
+@register("m5_predict_pairs")
+def _m5(spark, d):
+    train, test = _split(spark, d)
+    return R.predict_pairs(R.svd_fit(train), test)
+
+
+@register("m6_recommend_cf")
+def _m6(spark, d):
+    train, _ = _split(spark, d)
+    model = R.svd_fit(train)
+    return R.recommend_cf(model, model.users)
+
+
+@register("m7_cb_feature_select", O.sql(
+    " UNION ALL ".join(f"SELECT '{c}' AS feature, min(CAST({c} AS DOUBLE)) AS min, max(CAST({c} AS DOUBLE)) AS max"
+                       f" FROM item_features" for c in O.CB_FEATURES), "item_features"))
+def _m7(spark, d):
+    items = Tables(spark, d).item_features
+    cols = R.cb_feature_select(items)
+    recs = [F.struct(F.lit(c).alias("feature"), F.min(F.col(c).cast("double")).alias("min"),
+                     F.max(F.col(c).cast("double")).alias("max")) for c in cols]
+    return items.agg(F.array(*recs).alias("a")).select(F.inline("a"))
+
+
+@register("m8_cb_vectorise", O.sql(O.long_vectors("cb_vectors"), "cb_vectors"))
+def _m8(spark, d):
+    items = Tables(spark, d).item_features
+    return _long(R.cb_vectorise(items), R.cb_feature_select(items))
+
+
+@register("m9_cosine_similarity", O.sql(O.long_vectors("cb_unit"), "cb_unit"))
+def _m9(spark, d):
+    items = Tables(spark, d).item_features
+    return _long(R.unit_vectors(R.cb_vectorise(items)), R.cb_feature_select(items))
+
+
+@register("m10_similar_items", O.sql(
+    "SELECT product_id, CAST(rank AS INTEGER) AS rank, similar_product_id, similarity FROM ("
+    "SELECT a.product_id, b.product_id AS similar_product_id, list_dot_product(a.vec, b.vec) AS similarity,"
+    " row_number() OVER (PARTITION BY a.product_id ORDER BY list_dot_product(a.vec, b.vec) DESC, b.product_id ASC)"
+    " AS rank FROM cb_unit a JOIN cb_unit b ON a.product_id <> b.product_id) WHERE rank <= 10", "cb_unit"))
+def _m10(spark, d):
+    return R.similar_items(_unit(spark, d))
+
+
+@register("m11_recommend_cb", O.sql(O.cb_recs("interaction_features"), "interaction_features", "cb_unit"))
+def _m11(spark, d):
+    return R.recommend_cb(Tables(spark, d).interactions, _unit(spark, d), dim=len(O.CB_FEATURES))
+
+
+def _cb_eval_recs(spark, d, users: DataFrame | None = None):
+    pairs = Tables(spark, d).interactions
+    _, test = R.split_train_test(pairs)
+    users = users if users is not None else test.select("user_id").distinct()
+    hist = R.holdout_history(pairs, test, users)
+    recs = R.recommend_cb(hist, _unit(spark, d), dim=len(O.CB_FEATURES))
+    return recs, test, users
+
+
+_TEST_USERS = "SELECT DISTINCT user_id FROM test_pairs"
+_CB_PER_USER = O.sql(O.per_user_metrics(O.cb_recs("train_pairs", _TEST_USERS), _TEST_USERS),
+                     "train_pairs", "test_pairs", "cb_unit")
+
+
+@register("m12_precision_at_k", _sub(_CB_PER_USER, "user_id, precision_at_k"))
+def _m12(spark, d):
+    recs, test, users = _cb_eval_recs(spark, d)
+    return M.precision_at_k(recs, test, users)
+
+
+@register("m13_recall_at_k", _sub(_CB_PER_USER, "user_id, recall_at_k"))
+def _m13(spark, d):
+    recs, test, users = _cb_eval_recs(spark, d)
+    return M.recall_at_k(recs, test, users)
+
+
+@register("m14_ndcg_at_k", _sub(_CB_PER_USER, "user_id, ndcg_at_k"))
+def _m14(spark, d):
+    recs, test, users = _cb_eval_recs(spark, d)
+    return M.ndcg_at_k(recs, test, users)
+
+
+def _cf_test_predictions(spark, d):
+    train, test = _split(spark, d)
+    model = R.svd_fit(train)
+    tp = test.select("user_id", "product_id", "avg_rating")
+    return R.predict_pairs(model, tp).join(tp, ["user_id", "product_id"])
+
+
+@register("m15_rmse_masked")
+def _m15(spark, d):
+    return M.rmse(_cf_test_predictions(spark, d), masked=True)
+
+
+@register("m16_rmse_all")
+def _m16(spark, d):
+    return M.rmse(_cf_test_predictions(spark, d))
+
+
+@register("m17_sample_users", O.sql(O.SAMPLE_USERS, "test_pairs"))
+def _m17(spark, d):
+    return M.sample_users(_split(spark, d)[1])
+
+
+@register("m18_evaluate_cf")
+def _m18(spark, d):
+    train, test = _split(spark, d)
+    return M.evaluate_cf(R.svd_fit(train), test)
+
+
+_CB_SAMPLE = O.per_user_metrics(O.cb_recs("train_pairs", O.SAMPLE_USERS), O.SAMPLE_USERS)
+
+
+@register("m19_evaluate_cb", O.sql(
+    "SELECT 'content_based' AS model, COALESCE(round_even(avg(precision_at_k), 4), 0.0) AS precision_at_k,"
+    " COALESCE(round_even(avg(recall_at_k), 4), 0.0) AS recall_at_k,"
+    " COALESCE(round_even(avg(ndcg_at_k), 4), 0.0) AS ndcg_at_k, CAST(NULL AS DOUBLE) AS rmse,"
+    " CAST(NULL AS DOUBLE) AS rmse_masked, 10 AS k, (SELECT count(*) FROM (" + O.SAMPLE_USERS + "))"
+    " AS num_test_users FROM (" + _CB_SAMPLE + ")", "train_pairs", "test_pairs", "cb_unit"))
+def _m19(spark, d):
+    pairs = Tables(spark, d).interactions
+    _, test = R.split_train_test(pairs)
+    return M.evaluate_cb(_unit(spark, d), pairs, test, dim=len(O.CB_FEATURES))
+
+
+@register("m20_evaluate_models")
+def _m20(spark, d):
+    pairs = Tables(spark, d).interactions
+    train, test = R.split_train_test(pairs)
+    return M.evaluate_models(R.svd_fit(train), _unit(spark, d), pairs, test, dim=len(O.CB_FEATURES))

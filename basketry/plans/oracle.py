@@ -238,3 +238,70 @@ FROM (SELECT COALESCE(t.user_id, c.user_id) AS user_id, COALESCE(t.product_id, c
              CAST(COALESCE(added_to_wishlist, 0) AS INTEGER) AS added_to_wishlist
       FROM pair_txn t FULL OUTER JOIN pair_clicks c
         ON t.user_id = c.user_id AND t.product_id = c.product_id)""", "pair_txn", "pair_clicks")
+
+# ---------------------------------------------------------------------------
+# Recommender: split, content vectors, content recommendations, metrics
+# ---------------------------------------------------------------------------
+_NON_NUMERIC_ITEM_COLUMNS = {"category", "brand", "in_stock"}
+CB_FEATURES = [c for c in S.ITEM_FEATURE_COLUMNS
+               if c not in _NON_NUMERIC_ITEM_COLUMNS and "id" not in c.lower() and "_encoded" not in c]
+_BUCKET = ("(('0x' || substr(md5(concat_ws('|', '42', CAST(user_id AS VARCHAR), CAST(product_id AS VARCHAR))),"
+           " 1, 8))::BIGINT % 100)")
+
+cte("_split", f"SELECT *, {_BUCKET} < 20 AS is_test FROM interaction_features", "interaction_features")
+cte("train_pairs", "SELECT * EXCLUDE (is_test) FROM _split WHERE NOT is_test", "_split")
+cte("test_pairs", "SELECT * EXCLUDE (is_test) FROM _split WHERE is_test", "_split")
+cte("_cb_filled", "SELECT product_id, " + ", ".join(f"COALESCE(CAST({c} AS DOUBLE), 0.0) AS {c}"
+                                                   for c in CB_FEATURES) + " FROM item_features", "item_features")
+cte("_cb_stats", "SELECT " + ", ".join(f"min({c}) AS lo_{i}, max({c}) AS hi_{i}" for i, c in enumerate(CB_FEATURES))
+    + " FROM _cb_filled", "_cb_filled")
+cte("cb_vectors", "SELECT product_id, [" + ", ".join(
+    f"CASE WHEN hi_{i} = lo_{i} THEN 0.0 ELSE ({c} - lo_{i}) / (hi_{i} - lo_{i}) END" for i, c in enumerate(CB_FEATURES))
+    + "] AS vec FROM _cb_filled, _cb_stats", "_cb_filled", "_cb_stats")
+cte("cb_unit", "SELECT product_id, CASE WHEN n > 0 THEN list_transform(vec, x -> x / n)"
+    " ELSE list_transform(vec, x -> x * 0.0) END AS vec"
+    " FROM (SELECT *, sqrt(list_reduce(list_prepend(0.0, list_transform(vec, x -> x * x)), (a, b) -> a + b)) AS n"
+    " FROM cb_vectors)", "cb_vectors")
+_FEATURE_LIST = "[" + ", ".join(f"'{c}'" for c in CB_FEATURES) + "]"
+
+
+def long_vectors(table: str) -> str:
+    return f"SELECT product_id, unnest({_FEATURE_LIST}) AS feature, unnest(vec) AS value FROM {table}"
+
+
+def cb_recs(history: str, users_filter: str | None = None) -> str:
+    """Top-10 content recommendations for every user with history rows."""
+    users = f"SELECT DISTINCT user_id FROM {history}" + (f" WHERE user_id IN ({users_filter})" if users_filter else "")
+    hist = f"SELECT h.user_id, h.product_id FROM {history} h WHERE h.user_id IN ({users})"
+    prof = ("SELECT user_id, list(v ORDER BY f) AS vec FROM (SELECT h.user_id, f, sum(v) AS v FROM (" + hist + ") h"
+            " JOIN (SELECT product_id, generate_subscripts(vec, 1) AS f, unnest(vec) AS v FROM cb_unit) l"
+            " ON h.product_id = l.product_id GROUP BY h.user_id, f) GROUP BY user_id")
+    zero = f"list_transform(range({len(CB_FEATURES)}), x -> 0.0)"
+    q = (f"SELECT u.user_id, COALESCE(p.vec, {zero}) AS vec FROM ({users}) u LEFT JOIN ({prof}) p"
+         " ON u.user_id = p.user_id")
+    seen = f"SELECT DISTINCT h.user_id, h.product_id FROM ({hist}) h JOIN cb_unit c ON h.product_id = c.product_id"
+    scores = (f"SELECT q.user_id, i.product_id, CASE WHEN s.product_id IS NOT NULL THEN -1.0"
+              f" ELSE list_dot_product(q.vec, i.vec) END AS score FROM ({q}) q CROSS JOIN cb_unit i"
+              f" LEFT JOIN ({seen}) s ON s.user_id = q.user_id AND s.product_id = i.product_id")
+    return (f"SELECT user_id, CAST(rank AS INTEGER) AS rank, product_id, score FROM (SELECT *, row_number() OVER"
+            f" (PARTITION BY user_id ORDER BY score DESC, product_id ASC) AS rank FROM ({scores})) WHERE rank <= 10")
+
+
+def per_user_metrics(recs: str, users: str, k: int = 10) -> str:
+    act = f"SELECT user_id, product_id FROM test_pairs WHERE user_id IN ({users})"
+    n_act = f"SELECT user_id, count(*) AS n_actual FROM ({act}) GROUP BY user_id"
+    hits = (f"SELECT r.user_id, count(*) AS hits, sum(1.0 / log2(r.rank + 1)) AS dcg FROM ({recs}) r"
+            f" JOIN (SELECT DISTINCT * FROM ({act})) a ON r.user_id = a.user_id AND r.product_id = a.product_id"
+            f" WHERE r.rank <= {k} GROUP BY r.user_id")
+    idcg = (f"list_reduce(list_prepend(0.0, list_transform(range(1, CAST(least(n.n_actual, {k}) AS BIGINT) + 1),"
+            f" r -> 1.0 / log2(r + 1))), (a, b) -> a + b)")
+    return (f"SELECT n.user_id, CAST(COALESCE(h.hits, 0) AS DOUBLE) / {float(k)} AS precision_at_k,"
+            f" CASE WHEN n.n_actual > 0 THEN CAST(COALESCE(h.hits, 0) AS DOUBLE) / CAST(n.n_actual AS DOUBLE)"
+            f" ELSE 0.0 END AS recall_at_k,"
+            f" CASE WHEN n.n_actual > 0 THEN COALESCE(h.dcg, 0.0) / {idcg} ELSE 0.0 END AS ndcg_at_k"
+            f" FROM (SELECT DISTINCT user_id FROM ({users})) u JOIN ({n_act}) n ON u.user_id = n.user_id"
+            f" LEFT JOIN ({hits}) h ON n.user_id = h.user_id")
+
+
+SAMPLE_USERS = ("SELECT user_id FROM (SELECT DISTINCT user_id FROM test_pairs)"
+                " ORDER BY md5(concat_ws('|', '42', CAST(user_id AS VARCHAR))), user_id LIMIT 100")
