@@ -163,16 +163,18 @@ def cb_vectorise(item_features: DataFrame, cols: list[str] | None = None) -> Dat
     cols = cols or cb_feature_select(item_features)
     filled = item_features.select("product_id", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
                                                   for c in cols])
-    st = filled.agg(F.struct(*[F.min(c).alias(f"lo_{i}") for i, c in enumerate(cols)],
-                             *[F.max(c).alias(f"hi_{i}") for i, c in enumerate(cols)]).alias("s"))
-    # the stats struct is one scalar subquery held in one column and
-    # referenced by field, so the plan is not copied per feature
-    withs = filled.withColumn("_s", st.select("s").scalar())
+    # fitting the scaler: one aggregate (partial per partition, one row out);
+    # the 2·d bounds are then literals of the projection
+    st = filled.agg(*[F.min(c).alias(f"lo_{i}") for i, c in enumerate(cols)],
+                    *[F.max(c).alias(f"hi_{i}") for i, c in enumerate(cols)]).first()
     comps = []
     for i, c in enumerate(cols):
-        lo, hi = F.col(f"_s.lo_{i}"), F.col(f"_s.hi_{i}")
-        comps.append(F.when(hi == lo, F.lit(0.0)).otherwise((F.col(c) - lo) / (hi - lo)))
-    return withs.select("product_id", F.array(*comps).alias("vec"))
+        lo, hi = st[f"lo_{i}"], st[f"hi_{i}"]
+        if lo is None or hi is None or hi == lo:
+            comps.append(F.lit(0.0))
+        else:
+            comps.append((F.col(c) - F.lit(lo)) / F.lit(hi - lo))
+    return filled.select("product_id", F.array(*comps).alias("vec"))
 
 
 def unit_vectors(vecs: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ the role builders and returns a lazy DataFrame.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -735,3 +736,146 @@ def _m20(spark, d):
     pairs = Tables(spark, d).interactions
     train, test = R.split_train_test(pairs)
     return M.evaluate_models(R.svd_fit(train), _unit(spark, d), pairs, test, dim=len(O.CB_FEATURES))
+
+
+# ---------------------------------------------------------------------------
+# Feature snapshots K1–K6 (written under the session's checkpoint folder)
+# ---------------------------------------------------------------------------
+from ..operators import snapshots as K  # noqa: E402
+from ..sources import files as SF  # noqa: E402
+
+_FEATURE_TABLES = ("user_features", "item_features", "interaction_features")
+
+
+def _feature_tables(spark, d) -> dict[str, DataFrame]:
+    t = Tables(spark, d)
+    return {"user_features": t.user_features, "item_features": t.item_features,
+            "interaction_features": t.interactions}
+
+
+def _written_snapshot(spark, d):
+    base = SF.scratch_dir(spark, "snapshots")
+    m = K.snapshot_write(_feature_tables(spark, d), base, "v1", created_at=Tables(spark, d).as_of)
+    return base, m
+
+
+@register("k1_snapshot_write")
+def _k1(spark, d):
+    return _written_snapshot(spark, d)[1]
+
+
+@register("k2_snapshot_read", O.sql(_all("user_features"), "user_features"))
+def _k2(spark, d):
+    base, _ = _written_snapshot(spark, d)
+    return K.snapshot_read(spark, base)["user_features"]
+
+
+@register("k3_snapshot_fingerprint")
+def _k3(spark, d):
+    ft = _feature_tables(spark, d)
+    return reduce(DataFrame.unionByName,
+                  [K.fingerprint(df).select(F.lit(n).alias("table"), "rows", "hash_sum") for n, df in ft.items()])
+
+
+@register("k4_entity_lookup", O.sql(
+    "SELECT * FROM user_features WHERE user_id IN (SELECT user_id FROM clickstream_clean)",
+    "user_features", "clickstream_clean"))
+def _k4(spark, d):
+    t = Tables(spark, d)
+    return K.entity_lookup(t.user_features, t.clickstream, "user_id")
+
+
+def _catalogue_sql() -> str:
+    table_of = {"user": "user_features", "item": "item_features", "interaction": "interaction_features"}
+    parts = []
+    for name, desc, src, tr, dtype, ent in S.FEATURE_DEFINITIONS:
+        tb = table_of[ent]
+        x = f"CAST({name} AS DOUBLE)"
+        parts.append(f"SELECT '{name}' AS name, '{desc}' AS description, '{src}' AS source,"
+                     f" '{tr}' AS transformation, '{dtype}' AS dtype, '{ent}' AS entity, '{tb}' AS \"table\","
+                     f" count({name}) AS n, CAST(count_if({name} IS NULL) AS BIGINT) AS nulls, min({x}) AS min,"
+                     f" max({x}) AS max, avg({x}) AS mean FROM {tb}")
+    return O.sql(" UNION ALL ".join(parts), *_FEATURE_TABLES)
+
+
+@register("k5_feature_catalogue", _catalogue_sql())
+def _k5(spark, d):
+    return K.feature_catalogue(_feature_tables(spark, d))
+
+
+@register("k6_store_summary", O.sql(
+    f"SELECT {len(S.FEATURE_DEFINITIONS)} AS registered_features, 1 AS versions, 'v1' AS latest_version,"
+    " (SELECT count(*) FROM interaction_features) AS interaction_features_count,"
+    " (SELECT count(*) FROM item_features) AS item_features_count,"
+    " (SELECT count(*) FROM user_features) AS user_features_count", *_FEATURE_TABLES))
+def _k6(spark, d):
+    base, _ = _written_snapshot(spark, d)
+    return K.store_summary(spark, base, K.snapshot_read(spark, base))
+
+
+# ---------------------------------------------------------------------------
+# File sources and sinks S1–S8 (round trips through the checkpoint folder)
+# ---------------------------------------------------------------------------
+_AS_OF_STR = "'2002-01-01 00:00:00'"
+
+
+@register("s1_scan_csv", O.sql(_all("transactions"), "transactions"))
+def _s1(spark, d):
+    path = SF.scratch_dir(spark, "csv")
+    Tables(spark, d).raw["transactions"].write.option("header", True).csv(path)
+    return SF.scan_csv(spark, path, S.TRANSACTIONS)
+
+
+@register("s2_ingest_with_lineage")
+def _s2(spark, d):
+    path = SF.scratch_dir(spark, "csv")
+    Tables(spark, d).raw["clickstream"].write.option("header", True).csv(path)
+    return SF.ingest_with_lineage(SF.scan_csv(spark, path, S.CLICKSTREAM), Tables(spark, d).as_of)
+
+
+@register("s3_scan_json_payload", O.sql(
+    f"SELECT *, {_AS_OF_STR} AS _ingestion_timestamp, 'external_api' AS _source_api FROM external_scores",
+    "external_scores"))
+def _s3(spark, d):
+    path = SF.scratch_dir(spark, "json")
+    SF.sink_json(Tables(spark, d).raw["external_scores"], path)
+    return SF.scan_json_payload(spark, path, S.EXTERNAL_SCORES, "external_api", Tables(spark, d).as_of,
+                                multi_line=False)
+
+
+@register("s4_land_timestamped", O.sql(
+    "SELECT *, '20020101_000000' AS load_ts FROM products", "products"))
+def _s4(spark, d):
+    base = SF.scratch_dir(spark, "landing")
+    load = SF.land_timestamped(Tables(spark, d).raw["products"], base, "products", Tables(spark, d).as_of)
+    return spark.read.parquet(f"{base}/products").where(F.col("load_ts") == load)
+
+
+@register("s5_sink_json", O.sql(_all("clickstream"), "clickstream"))
+def _s5(spark, d):
+    path = SF.scratch_dir(spark, "json")
+    SF.sink_json(Tables(spark, d).raw["clickstream"], path)
+    return spark.read.schema(S.CLICKSTREAM).json(path)
+
+
+@register("s6_ingestion_report", O.sql(" UNION ALL ".join(
+    f"SELECT '{s}' AS source, count(*) AS records, 'success' AS status, 'parquet' AS source_type,"
+    f" CAST(NULL AS VARCHAR) AS error FROM {s}" for s in S.SOURCES), *S.SOURCES))
+def _s6(spark, d):
+    t = Tables(spark, d)
+    return SF.ingestion_report(spark, {s: (lambda s=s: t.raw[s]) for s in S.SOURCES})
+
+
+@register("s7_sink_table", O.sql(_all("transactions_clean"), "transactions_clean"))
+def _s7(spark, d):
+    path = SF.scratch_dir(spark, "parquet")
+    SF.sink_table(Tables(spark, d).transactions, path)
+    return spark.read.parquet(path)
+
+
+@register("s8_table_metadata", O.sql(" UNION ALL ".join(
+    f"SELECT '{n}' AS \"table\", count(*) AS record_count, {len(cols)} AS n_columns, '{','.join(cols)}' AS columns"
+    f" FROM {n}" for n, cols in (("user_features", S.USER_FEATURE_COLUMNS), ("item_features", S.ITEM_FEATURE_COLUMNS),
+                                 ("interaction_features", S.INTERACTION_FEATURE_COLUMNS))), *_FEATURE_TABLES))
+def _s8(spark, d):
+    return SF.table_metadata(_feature_tables(spark, d))

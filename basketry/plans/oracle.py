@@ -258,9 +258,9 @@ cte("_cb_stats", "SELECT " + ", ".join(f"min({c}) AS lo_{i}, max({c}) AS hi_{i}"
 cte("cb_vectors", "SELECT product_id, [" + ", ".join(
     f"CASE WHEN hi_{i} = lo_{i} THEN 0.0 ELSE ({c} - lo_{i}) / (hi_{i} - lo_{i}) END" for i, c in enumerate(CB_FEATURES))
     + "] AS vec FROM _cb_filled, _cb_stats", "_cb_filled", "_cb_stats")
-cte("cb_unit", "SELECT product_id, CASE WHEN n > 0 THEN list_transform(vec, x -> x / n)"
-    " ELSE list_transform(vec, x -> x * 0.0) END AS vec"
-    " FROM (SELECT *, sqrt(list_reduce(list_prepend(0.0, list_transform(vec, x -> x * x)), (a, b) -> a + b)) AS n"
+cte("cb_unit", "SELECT product_id, CASE WHEN n > 0 THEN list_transform(vec, lambda x: x / n)"
+    " ELSE list_transform(vec, lambda x: x * 0.0) END AS vec"
+    " FROM (SELECT *, sqrt(list_reduce(list_prepend(0.0, list_transform(vec, lambda x: x * x)), lambda a, b: a + b)) AS n"
     " FROM cb_vectors)", "cb_vectors")
 _FEATURE_LIST = "[" + ", ".join(f"'{c}'" for c in CB_FEATURES) + "]"
 
@@ -276,7 +276,7 @@ def cb_recs(history: str, users_filter: str | None = None) -> str:
     prof = ("SELECT user_id, list(v ORDER BY f) AS vec FROM (SELECT h.user_id, f, sum(v) AS v FROM (" + hist + ") h"
             " JOIN (SELECT product_id, generate_subscripts(vec, 1) AS f, unnest(vec) AS v FROM cb_unit) l"
             " ON h.product_id = l.product_id GROUP BY h.user_id, f) GROUP BY user_id")
-    zero = f"list_transform(range({len(CB_FEATURES)}), x -> 0.0)"
+    zero = f"list_transform(range({len(CB_FEATURES)}), lambda x: 0.0)"
     q = (f"SELECT u.user_id, COALESCE(p.vec, {zero}) AS vec FROM ({users}) u LEFT JOIN ({prof}) p"
          " ON u.user_id = p.user_id")
     seen = f"SELECT DISTINCT h.user_id, h.product_id FROM ({hist}) h JOIN cb_unit c ON h.product_id = c.product_id"
@@ -294,7 +294,7 @@ def per_user_metrics(recs: str, users: str, k: int = 10) -> str:
             f" JOIN (SELECT DISTINCT * FROM ({act})) a ON r.user_id = a.user_id AND r.product_id = a.product_id"
             f" WHERE r.rank <= {k} GROUP BY r.user_id")
     idcg = (f"list_reduce(list_prepend(0.0, list_transform(range(1, CAST(least(n.n_actual, {k}) AS BIGINT) + 1),"
-            f" r -> 1.0 / log2(r + 1))), (a, b) -> a + b)")
+            f" lambda r: 1.0 / log2(r + 1))), lambda a, b: a + b)")
     return (f"SELECT n.user_id, CAST(COALESCE(h.hits, 0) AS DOUBLE) / {float(k)} AS precision_at_k,"
             f" CASE WHEN n.n_actual > 0 THEN CAST(COALESCE(h.hits, 0) AS DOUBLE) / CAST(n.n_actual AS DOUBLE)"
             f" ELSE 0.0 END AS recall_at_k,"
