@@ -87,7 +87,7 @@ def _pct(num: Column, rows: Column) -> Column:
 
 
 def _missing_pct(c: str) -> Column:
-    return F.bround(F.col(_n(c)).cast("double") / F.col("_rows").cast("double") * F.lit(100.0), 2)
+    return F.bround(F.try_divide(F.col(_n(c)).cast("double"), F.col("_rows").cast("double")) * F.lit(100.0), 2)
 
 
 # ---------------------------------------------------------------------------
