@@ -70,7 +70,7 @@ class SVDModel:
     n_items: int
 
 
-def svd_fit(train: DataFrame, n_factors: int = S.N_FACTORS, n_iter: int = 4, block: int | None = None,
+def svd_fit(train: DataFrame, n_factors: int = S.N_FACTORS, n_iter: int = 6, block: int | None = None,
             seed: int = S.RANDOM_STATE, checkpoint: bool = True,
             exact_limit: int = linalg.EXACT_GRAM_LIMIT) -> SVDModel:
     """M4: truncated SVD of the mean-centred rating matrix, k = min(n_factors, min(U, I) - 1).
@@ -138,12 +138,7 @@ def recommend_cf(model: SVDModel, users: DataFrame, n: int = S.TOP_K, exclude_kn
     if exclude_known and train is not None:
         seen = train.groupBy("user_id").agg(F.collect_set("product_id").alias("seen"))
         q = q.join(seen.withColumnRenamed("user_id", "qid"), "qid", "left")
-        widest = seen.select(F.max(F.size("seen"))).first()[0] or 0
-        # seen items are scored -1 by the engine (CF scores are >= 1): ask for
-        # enough candidates, drop them and re-rank
-        recs = top_n_dot(q, it, n + int(widest), mode="cf", mean=model.global_mean).where(F.col("score") >= 0)
-        w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("item").asc())
-        recs = recs.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= n)
+        recs = top_n_dot(q, it, n, mode="cf", mean=model.global_mean, exclude_seen=True)
     else:
         recs = top_n_dot(q, it, n, mode="cf", mean=model.global_mean)
     return recs.select(F.col("qid").alias("user_id"), "rank", F.col("item").alias("product_id"), "score")

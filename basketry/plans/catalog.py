@@ -879,3 +879,47 @@ def _s7(spark, d):
                                  ("interaction_features", S.INTERACTION_FEATURE_COLUMNS))), *_FEATURE_TABLES))
 def _s8(spark, d):
     return SF.table_metadata(_feature_tables(spark, d))
+
+
+@register("m21_model_tables")
+def _m21(spark, d):
+    pairs = Tables(spark, d).interactions
+    train, _ = R.split_train_test(pairs)
+    return R.model_tables(R.svd_fit(train), _unit(spark, d))["model_metadata"]
+
+
+@register("m22_train_job")
+def _m22(spark, d):
+    from . import jobs
+    out = SF.scratch_dir(spark, "train-job")
+    t = Tables(spark, d)
+    for name, df in _feature_tables(spark, d).items():
+        SF.sink_table(df, f"{out}/features/{name}")
+    jobs.feature_store(spark, out, "v1", created_at=t.as_of)
+    return jobs.train(spark, out, "v1")
+
+
+# ---------------------------------------------------------------------------
+# Sort / top-k idioms (T1–T3); T4–T9 are exercised by C2, F6/F8, M10/M11, M12, J5
+# ---------------------------------------------------------------------------
+@register("t1_sort", O.sql("SELECT user_id, product_id, last_interaction FROM interaction_features"
+                           " ORDER BY last_interaction NULLS FIRST, user_id, product_id", "interaction_features"))
+def _t1(spark, d):
+    return (Tables(spark, d).interactions.select("user_id", "product_id", "last_interaction")
+            .orderBy(F.col("last_interaction").asc_nulls_first(), "user_id", "product_id"))
+
+
+@register("t2_top_k_global", O.sql(_topk_sql("user_id", 50, "txn_count"), "transactions_clean"))
+def _t2(spark, d):
+    return P.top_k(Tables(spark, d).transactions, "user_id", 50, "txn_count")
+
+
+@register("t3_top_k_per_key", O.sql(
+    "SELECT user_id, product_id, interaction_score, CAST(rn AS INTEGER) AS rn FROM (SELECT *, row_number() OVER"
+    " (PARTITION BY user_id ORDER BY interaction_score DESC, product_id ASC) AS rn FROM interaction_features)"
+    " WHERE rn <= 3", "interaction_features"))
+def _t3(spark, d):
+    from pyspark.sql import Window
+    w = Window.partitionBy("user_id").orderBy(F.col("interaction_score").desc(), F.col("product_id").asc())
+    return (Tables(spark, d).interactions.select("user_id", "product_id", "interaction_score")
+            .withColumn("rn", F.row_number().over(w).cast("int")).where(F.col("rn") <= 3))

@@ -32,6 +32,7 @@ def main() -> None:
         if res is not None and hasattr(res, "collect"):
             res.collect()
         times[name] = round(time.perf_counter() - t0, 3)
+        print(f"[bench] {name}: {times[name]}s", file=sys.stderr, flush=True)
         return res
 
     stage("ingest", lambda: jobs.ingest(spark, sf_dir, out))

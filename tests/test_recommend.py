@@ -112,3 +112,29 @@ def test_gram_and_spmm(spark):
     coo = spark.createDataFrame([(0, 1, 2.0), (0, 3, 1.0), (1, 3, -1.0)], "r long, k long, value double")
     got = {r.r: r.vec for r in linalg.spmm(coo, dense, "r", "k").collect()}
     assert np.allclose(got[0], 2 * x[1] + x[3]) and np.allclose(got[1], -x[3])
+
+
+def test_recommend_cf_exclude_known(spark):
+    df, rows = _pairs(spark, 8, 12, 0.4)
+    model = R.svd_fit(df, checkpoint=False)
+    users = spark.createDataFrame([(u,) for u in sorted({r[0] for r in rows})], "user_id long")
+    recs = R.recommend_cf(model, users, n=3, exclude_known=True, train=df).collect()
+    seen = {(r[0], r[1]) for r in rows}
+    assert recs and all((r.user_id, r.product_id) not in seen for r in recs)
+    plain = R.recommend_cf(model, users, n=3).collect()
+    assert len(plain) == 3 * len({r[0] for r in rows})
+
+
+@pytest.mark.parametrize("budget", [1 << 30, 0])
+def test_krylov_paths_match_numpy_when_block_spans_space(spark, budget):
+    df, rows = _pairs(spark, 14, 11, 0.6, seed=7)
+    a, us, it = _dense(rows)
+    u, s, vt = np.linalg.svd(a, full_matrices=False)
+    cells = df.withColumnRenamed("avg_rating", "value")
+    uf, vf, sigma = linalg.truncated_svd(cells, "user_id", "product_id", 5, block=11, n_iter=1,
+                                         checkpoint=False, exact_limit=0, driver_budget=budget)
+    assert np.allclose(sigma, s[:5], rtol=1e-8)
+    U = {r.user_id: np.array(r.vec) for r in uf.collect()}
+    V = {r.product_id: np.array(r.vec) for r in vf.collect()}
+    approx = np.array([[U[x] @ V[y] if x in U and y in V else 0.0 for y in it] for x in us])
+    assert np.allclose(approx, (u[:, :5] * s[:5]) @ vt[:5], atol=1e-8)
