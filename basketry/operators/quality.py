@@ -210,9 +210,8 @@ def numeric_summary(df: DataFrame, source: str, exact: bool = True, accuracy: in
 # Issues, counts, score
 # ---------------------------------------------------------------------------
 
-def issues(df: DataFrame, source: str, fx: DataFrame | None = None) -> DataFrame:
-    """V9: flat issue list (source, type, severity, column, details)."""
-    fx = fx if fx is not None else facts(df, source)
+def _issue_structs(df: DataFrame, source: str) -> list[Column]:
+    """One ``when(condition, struct)`` per possible issue, over the facts row."""
     _, rng, allowed, missing, _ = rules_for(source, df)
     none = F.lit(None).cast("string")
     recs = []
@@ -240,8 +239,13 @@ def issues(df: DataFrame, source: str, fx: DataFrame | None = None) -> DataFrame
         n = F.col(f"invalid__{c}")
         rec(n > 0, "invalid_values", F.lit("warning"), F.lit(c),
             F.concat(_str(n), F.lit(" rows with invalid values")))
-    if not recs:
-        return df.sparkSession.createDataFrame([], ", ".join(f"{c} string" for c in ISSUE_COLUMNS))
+    return recs
+
+
+def issues(df: DataFrame, source: str, fx: DataFrame | None = None) -> DataFrame:
+    """V9: flat issue list (source, type, severity, column, details)."""
+    fx = fx if fx is not None else facts(df, source)
+    recs = _issue_structs(df, source)
     return (fx.select(F.explode(F.array(*recs)).alias("i")).where(F.col("i").isNotNull())
               .select(F.lit(source).alias("source"), "i.type", "i.severity", "i.column", "i.details"))
 
@@ -293,6 +297,16 @@ def report(df: DataFrame, source: str) -> DataFrame:
     return _counts_and_score(df, source, facts(df, source))
 
 
+def report_with_issues(df: DataFrame, source: str) -> DataFrame:
+    """V12 row of one source plus its V9 issues as an array, from a single
+    facts computation (write once, then split)."""
+    fx = facts(df, source)
+    rep = _counts_and_score(df, source, fx)
+    iss = fx.select(F.lit(source).alias("source"),
+                    F.filter(F.array(*_issue_structs(df, source)), lambda x: x.isNotNull()).alias("issues"))
+    return rep.join(iss, "source")
+
+
 def report_all(sources: dict[str, DataFrame]) -> DataFrame:
     """Summary row for every source."""
     return reduce(DataFrame.unionByName, [report(df, s) for s, df in sources.items()])
