@@ -92,10 +92,11 @@ def svd_fit(train: DataFrame, n_factors: int = S.N_FACTORS, n_iter: int = 6, blo
                         n_users, n_items)
     uf, vf, sigma = linalg.truncated_svd(cells, "user_id", "product_id", k, block=block, n_iter=n_iter,
                                          seed=seed, checkpoint=checkpoint, exact_limit=exact_limit)
-    # the fitted model is materialised once (reliable checkpoint in the shared
-    # folder), so scoring, prediction and saving do not replay the fit
+    # the fitted model is materialised once so scoring, prediction and saving
+    # do not replay the fit.  Factors built on the driver are already local
+    # data; the others sit on checkpointed bases, so a cache suffices.
     def keep(df: DataFrame) -> DataFrame:
-        return df.checkpoint(eager=True) if checkpoint else df.cache()
+        return df.cache()
     return SVDModel(mean, keep(uf), keep(vf), keep(users), keep(items), [float(s) for s in sigma], len(sigma),
                     n_users, n_items)
 
