@@ -138,3 +138,17 @@ def test_krylov_paths_match_numpy_when_block_spans_space(spark, budget):
     V = {r.product_id: np.array(r.vec) for r in vf.collect()}
     approx = np.array([[U[x] @ V[y] if x in U and y in V else 0.0 for y in it] for x in us])
     assert np.allclose(approx, (u[:, :5] * s[:5]) @ vt[:5], atol=1e-8)
+
+
+def test_bcast_product_with_hot_key_salting(spark):
+    # one output key holds most entries: the salted copy must give the same product
+    rng = np.random.default_rng(11)
+    rows = [(0, j, float(rng.random())) for j in range(200)] + [(i, i % 7, 1.0) for i in range(1, 30)]
+    coo = spark.createDataFrame(rows, "ri long, ci long, value double")
+    copy = linalg._partitioned_copy(coo, "ri", "ci", 8)
+    mat = rng.random((200, 3))
+    got = linalg._bcast_product(copy, "ri", "ci", mat, 30)
+    a = np.zeros((30, 200))
+    for r, c, v in rows:
+        a[r, c] += v
+    assert np.allclose(got, a @ mat)
