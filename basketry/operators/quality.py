@@ -250,7 +250,7 @@ def issues(df: DataFrame, source: str, fx: DataFrame | None = None) -> DataFrame
               .select(F.lit(source).alias("source"), "i.type", "i.severity", "i.column", "i.details"))
 
 
-def _counts_and_score(df: DataFrame, source: str, fx: DataFrame) -> DataFrame:
+def _score_columns(df: DataFrame, source: str) -> list[Column]:
     _, rng, _, missing, _ = rules_for(source, df)
     rows = F.col("_rows")
     reported = [F.when(F.col(_n(c)) > 0, _missing_pct(c)).otherwise(F.lit(0.0)) for c in df.columns]
@@ -272,12 +272,16 @@ def _counts_and_score(df: DataFrame, source: str, fx: DataFrame) -> DataFrame:
         score = score - F.least(_pct(F.col(f"below__{c}") + F.col(f"above__{c}"), rows),
                                 F.lit(float(S.SCORE_RANGE_CAP)))
     score = score - critical.cast("double") * F.lit(float(S.SCORE_CRITICAL_PENALTY))
-    return fx.select(
+    return [
         F.lit(source).alias("source"),
         (critical + warning).cast("long").alias("total_issues"),
         critical.cast("long").alias("critical_issues"),
         warning.cast("long").alias("warning_issues"),
-        F.bround(F.greatest(score, F.lit(0.0)), 1).alias("overall_quality_score"))
+        F.bround(F.greatest(score, F.lit(0.0)), 1).alias("overall_quality_score")]
+
+
+def _counts_and_score(df: DataFrame, source: str, fx: DataFrame) -> DataFrame:
+    return fx.select(*_score_columns(df, source))
 
 
 def issue_counts(df: DataFrame, source: str, fx: DataFrame | None = None) -> DataFrame:
@@ -301,10 +305,8 @@ def report_with_issues(df: DataFrame, source: str) -> DataFrame:
     """V12 row of one source plus its V9 issues as an array, from a single
     facts computation (write once, then split)."""
     fx = facts(df, source)
-    rep = _counts_and_score(df, source, fx)
-    iss = fx.select(F.lit(source).alias("source"),
-                    F.filter(F.array(*_issue_structs(df, source)), lambda x: x.isNotNull()).alias("issues"))
-    return rep.join(iss, "source")
+    return fx.select(*_score_columns(df, source),
+                     F.filter(F.array(*_issue_structs(df, source)), lambda x: x.isNotNull()).alias("issues"))
 
 
 def report_all(sources: dict[str, DataFrame]) -> DataFrame:
