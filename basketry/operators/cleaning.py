@@ -6,7 +6,7 @@ aggregate and inlined, with no join and no driver round trip.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -87,12 +87,13 @@ def min_max_scale(df: DataFrame, c: str, out: str) -> DataFrame:
 def category_codes(df: DataFrame, c: str, out: str) -> DataFrame:
     """0-based code of each distinct value in lexical order; null -> -1.
 
-    The dictionary is the distinct-value table (small by nature); the join
-    back is left to the planner, which broadcasts it when its measured size is
-    under the broadcast threshold and shuffles otherwise.
+    Codes come from the range-partitioned dense numbering of the distinct
+    values (no single-task window, whatever the cardinality); the join back is
+    left to the planner, which broadcasts the dictionary when its measured
+    size is under the broadcast threshold and shuffles otherwise.
     """
-    codes = (df.select(c).where(F.col(c).isNotNull()).distinct()
-               .withColumn(out, (F.row_number().over(Window.orderBy(c)) - 1).cast("int")))
+    from .features import dense_index
+    codes = dense_index(df.select(c), c, "_code").select(c, F.col("_code").cast("int").alias(out))
     return (df.join(codes, on=c, how="left")
               .withColumn(out, F.coalesce(F.col(out), F.lit(-1)).cast("int"))
               .select(*df.columns, out))
