@@ -152,3 +152,24 @@ def test_bcast_product_with_hot_key_salting(spark):
     for r, c, v in rows:
         a[r, c] += v
     assert np.allclose(got, a @ mat)
+
+
+def test_sparse_gram_groups_straddling_arrow_batches(spark):
+    # one partition, tiny Arrow batches: groups cross batch boundaries
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rng = np.random.default_rng(2)
+        rows = [(g, int(i), float(rng.random())) for g in range(9) for i in rng.choice(6, 5, replace=False)]
+        coo = spark.createDataFrame(rows, "g long, i long, value double")
+        got = linalg.sparse_gram(coo, "g", "i", 6, partitions=1)
+        a = np.zeros((9, 6))
+        for g, i, v in rows:
+            a[g, i] += v
+        assert np.allclose(got, a.T @ a)
+        got2 = linalg._bcast_product(linalg._partitioned_copy(
+            coo.withColumnRenamed("g", "ri").withColumnRenamed("i", "ci"), "ri", "ci", 1), "ri", "ci",
+            np.eye(6), 9)
+        assert np.allclose(got2, a)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
