@@ -173,3 +173,12 @@ def test_sparse_gram_groups_straddling_arrow_batches(spark):
         assert np.allclose(got2, a)
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_history_covering_nearly_all_items_ranks_seen_at_minus_one(spark):
+    unit = R.unit_vectors(spark.createDataFrame([(100 + i, [1.0, float(i)]) for i in range(5)],
+                                                "product_id long, vec array<double>"))
+    hist = spark.createDataFrame([(1, 100 + i) for i in range(4)], "user_id long, product_id long")
+    recs = [(r.product_id, r.score) for r in R.recommend_cb(hist, unit, n=5, dim=2).orderBy("rank").collect()]
+    assert recs[0][0] == 104 and recs[0][1] > 0
+    assert recs[1:] == [(100, -1.0), (101, -1.0), (102, -1.0), (103, -1.0)]
