@@ -70,7 +70,7 @@ class SVDModel:
     n_items: int
 
 
-def svd_fit(train: DataFrame, n_factors: int = S.N_FACTORS, n_iter: int = 6, block: int | None = None,
+def svd_fit(train: DataFrame, n_factors: int = S.N_FACTORS, n_iter: int = 10, block: int | None = None,
             seed: int = S.RANDOM_STATE, checkpoint: bool = True,
             exact_limit: int = linalg.EXACT_GRAM_LIMIT) -> SVDModel:
     """M4: truncated SVD of the mean-centred rating matrix, k = min(n_factors, min(U, I) - 1).
