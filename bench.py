@@ -44,7 +44,7 @@ def main() -> None:
     m = {r["model"]: {k: r[k] for k in ("precision_at_k", "recall_at_k", "ndcg_at_k", "rmse")}
          for r in metrics.collect()}
     sf = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({"metric": "pipeline_total", "value": round(sum(times.values()), 3), "unit": "sec",
+    print(json.dumps({"metric": "end_to_end_total", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(sf.group(1)) if sf else sf_dir, "cpus": cpus,
                       "model_metrics": m}))
     spark.stop()
