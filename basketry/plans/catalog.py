@@ -923,3 +923,49 @@ def _t3(spark, d):
     w = Window.partitionBy("user_id").orderBy(F.col("interaction_score").desc(), F.col("product_id").asc())
     return (Tables(spark, d).interactions.select("user_id", "product_id", "interaction_score")
             .withColumn("rn", F.row_number().over(w).cast("int")).where(F.col("rn") <= 3))
+
+
+@register("j7_cross_join_score")
+def _j7(spark, d):
+    """Every known user scored against every known item (blocked GEMM top-N)."""
+    train, _ = _split(spark, d)
+    model = R.svd_fit(train)
+    return R.recommend_cf(model, model.users)
+
+
+@register("t4_keep_first_per_key", O.sql(_all("_u_dedup"), "_u_dedup"))
+def _t4(spark, d):
+    return C.dedup_by_key(Tables(spark, d).raw["users"], "user_id")
+
+
+@register("t5_partition_aggregate_broadcast_back", O.sql(
+    "SELECT product_id, purchase_popularity, brand_total_purchases FROM item_features", "item_features"))
+def _t5(spark, d):
+    return Tables(spark, d).item_features.select("product_id", "purchase_popularity", "brand_total_purchases")
+
+
+@register("t6_rank_position", O.sql(
+    "SELECT product_id, txn_count, CAST(row_number() OVER (ORDER BY txn_count DESC, product_id ASC) AS INTEGER)"
+    " AS position FROM (" + _topk_sql("product_id", 20, "txn_count") + ")", "transactions_clean"))
+def _t6(spark, d):
+    top = P.top_products(Tables(spark, d).transactions)
+    # top is at most 20 rows: numbering it in one window is bounded
+    from pyspark.sql import Window
+    return top.withColumn("position", F.row_number().over(
+        Window.orderBy(F.col("txn_count").desc(), F.col("product_id").asc())).cast("int"))
+
+
+@register("t7_set_intersection", O.sql(
+    "SELECT user_id FROM transactions_clean INTERSECT SELECT user_id FROM clickstream_clean",
+    "transactions_clean", "clickstream_clean"))
+def _t7(spark, d):
+    t = Tables(spark, d)
+    return t.transactions.select("user_id").intersect(t.clickstream.select("user_id"))
+
+
+@register("t8_set_difference", O.sql(
+    "SELECT user_id FROM transactions_clean EXCEPT SELECT user_id FROM clickstream_clean",
+    "transactions_clean", "clickstream_clean"))
+def _t8(spark, d):
+    t = Tables(spark, d)
+    return t.transactions.select("user_id").subtract(t.clickstream.select("user_id"))
