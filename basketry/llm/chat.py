@@ -74,15 +74,19 @@ def reply_paths(messages: DataFrame, top_k: int | None = 1) -> DataFrame:
     level = written(nodes.join(known, ["tree", "parent"], "left")
                     .select("tree", "node", F.when(F.col("known"), F.col("parent")).alias("up_node"),
                             F.col("score").alias("path")), "chat-up")
-    levels, rounds = [level], max(1, nodes.count()).bit_length() + 1
-    while level.filter("up_node is not null").head(1) and len(levels) <= rounds:
+    jumps, rounds = [], max(1, nodes.count()).bit_length() + 1
+    while True:
+        # rows that still have an ancestor 2^k steps up go on; the others have their whole path
+        going, done = level.filter("up_node is not null"), level.filter("up_node is null")
+        if not going.head(1) or len(jumps) > rounds:
+            break
+        jumps.append(going.select("tree", "node", "up_node"))
         above = level.select("tree", F.col("node").alias("up_node"), F.col("up_node").alias("next"),
                              F.col("path").alias("more"))
-        level = written(level.join(above, ["tree", "up_node"], "left")
+        level = written(going.join(above, ["tree", "up_node"])
                         .select("tree", "node", F.col("next").alias("up_node"),
-                                (F.col("path") + F.coalesce("more", F.lit(0.0))).alias("path")), "chat-up")
-        levels.append(level)
-    leaves = (level.filter("up_node is null").select("tree", "node", "path")
+                                (F.col("path") + F.col("more")).alias("path")).union(done), "chat-up")
+    leaves = (done.select("tree", "node", "path")
               .join(nodes.select("tree", F.col("parent").alias("node")), ["tree", "node"], "left_anti"))
     best = W.partitionBy("tree").orderBy(F.desc("path"), "node")
     leaves = leaves.withColumn("branch_rank", F.row_number().over(best))
@@ -90,8 +94,7 @@ def reply_paths(messages: DataFrame, top_k: int | None = 1) -> DataFrame:
         leaves = leaves.filter(F.col("branch_rank") <= top_k)
     paths = leaves.select("tree", F.col("node").alias("leaf"), "branch_rank", F.col("path").alias("branch_score"),
                           "node", F.lit(0).alias("up"))
-    for k in reversed(range(len(levels) - 1)):
-        jump = levels[k].filter("up_node is not null").select("tree", "node", "up_node")
+    for k, jump in reversed(list(enumerate(jumps))):
         here = F.struct("node", "up")
         there = F.struct(F.col("up_node").alias("node"), (F.col("up") + F.lit(1 << k)).alias("up"))
         paths = (paths.join(jump, ["tree", "node"], "left")
