@@ -8,8 +8,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, sharding
+from . import chat, decontam, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -40,3 +41,16 @@ def op1_chat_format(spark, sf_dir):
 def op2_feistel_shards(spark, sf_dir):
     """All documents into 24 shards."""
     return sharding.document_shards(table(spark, sf_dir, "documents"), 24)
+
+
+@query
+def op3_simhash_pivots(spark, sf_dir):
+    """Near-duplicate components of all documents: three-word shingles, two bits."""
+    rows = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3)
+    return rows.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op6_decontaminate(spark, sf_dir):
+    """Benchmark hits of all documents."""
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
