@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, sharding, simhash
+from . import chat, decontam, packing, sharding, simhash, tokenfile
+from .common import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -54,3 +55,17 @@ def op3_simhash_pivots(spark, sf_dir):
 def op6_decontaminate(spark, sf_dir):
     """Benchmark hits of all documents."""
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_pack_sequences(spark, sf_dir):
+    """All documents packed into sequences of 1024 ids."""
+    return packing.pack(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", capacity=1024, end_id=0)
+
+
+@query
+def op9_token_planes(spark, sf_dir):
+    """All documents written as token-id files and read back."""
+    folder = fresh_path(spark, "token-files")
+    manifest = tokenfile.write_files(table(spark, sf_dir, "documents"), "word_bpe_49k.json", end_id=1, folder=folder)
+    return tokenfile.read_files(manifest, folder)
