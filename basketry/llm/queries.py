@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, packing, sharding, simhash, tokenfile
+from . import chat, decontam, langid, packing, sharding, simhash, tokenfile, warc
 from .common import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,18 @@ def op9_token_planes(spark, sf_dir):
     folder = fresh_path(spark, "token-files")
     manifest = tokenfile.write_files(table(spark, sf_dir, "documents"), "word_bpe_49k.json", end_id=1, folder=folder)
     return tokenfile.read_files(manifest, folder)
+
+
+@query
+def op4_warc_zstd(spark, sf_dir):
+    """All pages written as WARC archives and read back."""
+    folder = fresh_path(spark, "warc")
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(manifest, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op5_language_crf(spark, sf_dir):
+    """Languages of all documents, learned from those not held out."""
+    return langid.predict_languages(table(spark, sf_dir, "documents"))
