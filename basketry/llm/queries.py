@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, packing, sharding, simhash, tokenfile, warc
+from . import chat, decontam, embeddings, langid, packing, sharding, simhash, tokenfile, warc
 from .common import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,9 @@ def op4_warc_zstd(spark, sf_dir):
 def op5_language_crf(spark, sf_dir):
     """Languages of all documents, learned from those not held out."""
     return langid.predict_languages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_itq_near_duplicates(spark, sf_dir):
+    """Embeddings linked at a cosine of 0.95 or more."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
