@@ -77,6 +77,15 @@ class Encoder:
         out = cache[chunk] = b"".join(parts) if len(parts) != 1 else parts[0]
         return out
 
+    def count(self, token: str) -> int:
+        """Tokens of one pre-token of a byte vocabulary."""
+        ids = self.cache.get(token)
+        if ids is None:
+            if len(self.cache) >= CACHE:
+                self.cache.clear()
+            ids = self.cache[token] = self._pretoken(token)
+        return len(ids) // 4
+
     def chunks(self, text: str) -> list[str]:
         if self.words:
             return text.replace("\n", " ").split(" ")

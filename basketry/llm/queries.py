@@ -10,8 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, embeddings, langid, packing, sharding, simhash, tokenfile, warc
-from .common import fresh_path
+from . import chat, decontam, embeddings, langid, packing, sharding, simhash, tokencount, tokenfile, warc
+from .common import fresh_path, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -57,6 +57,29 @@ def op6_decontaminate(spark, sf_dir):
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def revision(text):
+    """Three edits of a text, placed by its hash: an insertion, a deletion and a
+    replacement."""
+    size = F.coalesce(F.length(text), F.lit(0)) + F.lit(1)
+
+    def edit(k, length, new):
+        return F.struct(F.pmod(F.xxhash64(text, F.lit(k)), size).cast("int").alias("start"),
+                        F.lit(length).alias("length"), F.lit(new).alias("new"))
+    return F.array(edit(1, 0, " [edited]"), edit(2, 12, ""), edit(3, 5, " 2024-01-01,\n"))
+
+
+@query
+def op7_edit_counts(spark, sf_dir):
+    """Token counts of all documents, and again after a revision of each."""
+    first = written(tokencount.build_state(table(spark, sf_dir, "documents")), "count-state")
+    state = first.withColumnRenamed("n_tokens", "before").withColumnRenamed("n_encoded", "all_pretokens")
+    after = tokencount.apply_own_edits(state.withColumn("edits", revision(F.col("text"))),
+                                       keep=["before", "all_pretokens"])
+    return after.select("doc_id", F.col("before").alias("n_tokens_before"), F.col("n_tokens").alias("n_tokens_after"),
+                        "n_edits", F.col("all_pretokens").alias("n_pretokens"), F.col("n_encoded").alias("n_reencoded"),
+                        F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
+
+
 @query
 def op8_pack_sequences(spark, sf_dir):
     """All documents packed into sequences of 1024 ids."""

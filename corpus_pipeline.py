@@ -9,9 +9,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from basketry.llm import decontam, langid, packing, simhash
 from basketry.llm.common import written
 
-STAGES = []
+#: A document is rejected as of no language if its best language has a smaller
+#: expected share of its words than this.
+LEAST_SHARE = 0.4
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; text without letters goes."""
+    model = langid.train(docs.filter(~langid.held_out()).select("lang", "text"))
+    seen = langid.identify(docs, model)
+    return seen.filter((seen["lang_pred"] != langid.UNKNOWN) & (seen["score"] >= LEAST_SHARE)).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component stays."""
+    return simhash.drop_near_duplicates(docs, shingle=3)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark window."""
+    return decontam.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of 1024 ids."""
+    return packing.pack(docs, "byte_bpe_50k.json", capacity=1024, end_id=0)
+
+
+STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("decontaminate", decontaminate),
+          ("pack", pack)]
 
 #: The stages learn models, hash and tokenize: SQL cannot express them.
 ORACLE_SQL = None
