@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_key, written
+from .common import text_key, unused, written
 
 WINDOW = 10
 BLOCK = 500_000
@@ -115,29 +115,35 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
                     (hit_words > 0).alias("contaminated")))
 
 
+def _joined(docs: DataFrame, hits: DataFrame, how: str) -> DataFrame:
+    """``docs`` joined with hit rows ``(id, text_key, ...)`` of the same documents."""
+    one, two, key = (unused(docs, c) for c in ("hit_id", "hit_key", "text_key"))
+    hits = hits.withColumnsRenamed({"id": one, "text_key": two})
+    return docs.withColumn(key, text_key()).join(
+        hits, F.col("doc_id").eqNullSafe(F.col(one)) & (F.col(key) == F.col(two)), how)
+
+
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without a hit, as they were."""
-    bad = find_hits(docs, benchmark, window).filter(F.size("hits") > 0).select(F.col("id").alias("_id"), "text_key")
-    keyed = docs.withColumn("_text_key", text_key())
-    return (keyed.join(bad, keyed["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("text_key")),
-                       "left_anti").select(*docs.columns))
+    bad = find_hits(docs, benchmark, window).filter(F.size("hits") > 0).select("id", "text_key")
+    return _joined(docs, bad, "left_anti").select(*docs.columns)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mark: str = " ") -> DataFrame:
     """The documents with every hit word cut out: each run of hit words is
     replaced by ``mark``; clean documents stay as they were."""
+    at = unused(docs, "hit_at")
     hits = find_hits(docs, benchmark, window).filter(F.size("hits") > 0).select(
-        F.col("id").alias("_id"), "text_key", F.array_sort(F.array_distinct(F.flatten(F.transform(
-            "hits", lambda h: F.sequence(h["pos"], h["pos"] + h["len"] - F.lit(1)))))).alias("_at"))
-    keyed = docs.withColumn("_text_key", text_key())
-    joined = keyed.join(hits, keyed["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("text_key")), "left")
+        "id", "text_key", F.array_sort(F.array_distinct(F.flatten(F.transform(
+            "hits", lambda h: F.sequence(h["pos"], h["pos"] + h["len"] - F.lit(1)))))).alias(at))
+    joined = _joined(docs, hits, "left")
     # gaps[i] stands before word i; a dropped word goes with the gap after it
     gaps, words = F.split(F.col("text"), WORD), words_of(F.col("text"))
     kept = F.aggregate(
         F.arrays_zip(words.alias("w"), F.slice(gaps, 2, F.size(words)).alias("g")),
         F.struct(gaps[0].alias("out"), F.lit(0).alias("i"), F.lit(False).alias("cut")),
         lambda s, x: F.struct(
-            F.when(F.array_contains("_at", s["i"]), F.when(s["cut"], s["out"]).otherwise(F.concat(s["out"], F.lit(mark))))
+            F.when(F.array_contains(at, s["i"]), F.when(s["cut"], s["out"]).otherwise(F.concat(s["out"], F.lit(mark))))
             .otherwise(F.concat(s["out"], x["w"], x["g"])).alias("out"),
-            (s["i"] + F.lit(1)).alias("i"), F.array_contains("_at", s["i"]).alias("cut")), lambda s: s["out"])
-    return joined.withColumn("text", F.when(F.col("_at").isNull(), F.col("text")).otherwise(kept)).select(*docs.columns)
+            (s["i"] + F.lit(1)).alias("i"), F.array_contains(at, s["i"]).alias("cut")), lambda s: s["out"])
+    return joined.withColumn("text", F.when(F.col(at).isNull(), F.col("text")).otherwise(kept)).select(*docs.columns)

@@ -309,9 +309,10 @@ def train(labelled: DataFrame, limit: int = SAMPLE) -> Model:
     return fit([r["text"] for r in rows], [r["lang"] for r in rows])
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text", spans: bool = False) -> DataFrame:
-    """Adds ``lang_pred`` and ``score`` (and ``lang_spans``) to every row, from
-    its text alone."""
+def identify(docs: DataFrame, model: Model, text: str = "text", spans: bool = False, out: str = "language") -> DataFrame:
+    """Adds to every row a struct ``out`` of ``lang_pred``, ``score`` and
+    ``lang_spans`` (runs of words of one language, if asked for), from its text
+    alone.  A column of that name is replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
     kind = "struct<lang_pred:string,score:double,lang_spans:array<struct<lang:string,first_word:int,n_words:int>>>"
 
@@ -322,9 +323,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", spans: bool = Fa
             yield pd.DataFrame({"lang_pred": [g[0] for g in got], "score": [g[1] for g in got],
                                 "lang_spans": [[{"lang": a, "first_word": b, "n_words": c} for a, b, c in g[2]]
                                                for g in got]})
-    out = docs.withColumn("_lid", label(F.col(text)))
-    cols = [*docs.columns, F.col("_lid.lang_pred"), F.col("_lid.score")]
-    return out.select(*cols, *([F.col("_lid.lang_spans")] if spans else []))
+    return docs.withColumn(out, label(F.col(text)))
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -335,4 +334,4 @@ def predict_languages(docs: DataFrame) -> DataFrame:
     """Contract columns of ``op5``: trained on the documents not held out."""
     model = train(docs.filter(~held_out()).select("lang", "text"))
     rows = identify(docs.select("doc_id", held_out().alias("held_out"), "text"), model)
-    return rows.select("doc_id", "held_out", "lang_pred", "score")
+    return rows.select("doc_id", "held_out", "language.lang_pred", "language.score")

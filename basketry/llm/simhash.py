@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, text_key, written
+from .common import components, text_key, unused, written
 
 SEED = 42
 MAX_DISTANCE = 2
@@ -168,8 +168,9 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """One document of each component stays: the one with the smallest
     (doc_id, text key), nulls first; of repeated rows one."""
     rows = near_duplicates(docs, shingle=shingle)
+    one, two, key = (unused(docs, c) for c in ("kept_id", "kept_key", "text_key"))
     kept = rows.groupBy("class_fp").agg(F.min(F.struct("doc_id", "text_key")).alias("k"))
-    kept = kept.select(F.col("k.doc_id").alias("_id"), F.col("k.text_key").alias("_key"))
-    keyed = docs.withColumn("_text_key", text_key())
-    return (keyed.join(kept, keyed["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")))
-            .drop("_id", "_key").dropDuplicates(["doc_id", "_text_key"]).select(*docs.columns))
+    kept = kept.select(F.col("k.doc_id").alias(one), F.col("k.text_key").alias(two))
+    keyed = docs.withColumn(key, text_key())
+    return (keyed.join(kept, F.col("doc_id").eqNullSafe(F.col(one)) & (F.col(key) == F.col(two)))
+            .drop(one, two).dropDuplicates(["doc_id", key]).select(*docs.columns))

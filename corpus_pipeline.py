@@ -8,9 +8,10 @@ them back as the next stage's documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from basketry.llm import decontam, langid, packing, simhash
-from basketry.llm.common import written
+from basketry.llm.common import unused, written
 
 #: A document is rejected as of no language if its best language has a smaller
 #: expected share of its words than this.
@@ -20,8 +21,10 @@ LEAST_SHARE = 0.4
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; text without letters goes."""
     model = langid.train(docs.filter(~langid.held_out()).select("lang", "text"))
-    seen = langid.identify(docs, model)
-    return seen.filter((seen["lang_pred"] != langid.UNKNOWN) & (seen["score"] >= LEAST_SHARE)).select(*docs.columns)
+    out = unused(docs, "language")
+    seen = langid.identify(docs, model, out=out)
+    return seen.filter((F.col(f"{out}.lang_pred") != langid.UNKNOWN) & (F.col(f"{out}.score") >= LEAST_SHARE)) \
+        .select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
