@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions.exprs import hash_bucket
+from ..sources.shared import materialised
 from . import linalg
 from .scoring import top_n_dot
 
@@ -60,45 +61,42 @@ def mean_center(cells: DataFrame) -> DataFrame:
 @dataclass
 class SVDModel:
     global_mean: float
-    user_factors: DataFrame      # (user_id, vec) = U_k Σ_k rows
-    item_factors: DataFrame      # (product_id, vec) = V_k rows
-    users: DataFrame             # known users (all users of the training pairs)
-    items: DataFrame             # known items
+    user_factors: DataFrame      # (user_id, vec) = U_k Σ_k rows of all users of the training pairs
+    item_factors: DataFrame      # (product_id, vec) = V_k rows of all items of the training pairs
     sigma: list
     n_factors: int
     n_users: int
     n_items: int
 
 
-def svd_fit(train: DataFrame, n_factors: int = S.N_FACTORS, n_iter: int = 10, block: int | None = None,
-            seed: int = S.RANDOM_STATE, checkpoint: bool = True,
-            exact_limit: int = linalg.EXACT_GRAM_LIMIT) -> SVDModel:
+def svd_fit(train: DataFrame, n_factors: int = S.N_FACTORS, block: int | None = None, tol: float = linalg.TOLERANCE,
+            seed: int = S.RANDOM_STATE, tile: int = linalg.TILE) -> SVDModel:
     """M4: truncated SVD of the mean-centred rating matrix, k = min(n_factors, min(U, I) - 1).
 
     Known users/items are all ids of the training pairs (click-only pairs are
-    zero cells: their users/items exist in the model with zero factors).
+    zero cells: their users/items exist in the model with zero factors).  The
+    factor tables hold a vector for every known id and are written to the
+    shared folder, so scoring, prediction and saving do not replay the fit.
     """
-    users = train.select("user_id").distinct()
-    items = train.select("product_id").distinct()
+    train = materialised(train.select("user_id", "product_id", "avg_rating"), "svd-train")
     counts = train.agg(F.count_distinct("user_id").alias("u"), F.count_distinct("product_id").alias("i"),
                        F.avg(F.when(F.col("avg_rating") > 0, F.col("avg_rating"))).alias("m")).first()
     n_users, n_items = int(counts["u"]), int(counts["i"])
     mean = float(counts["m"]) if counts["m"] is not None else 0.0
     k = max(0, min(n_factors, min(n_users, n_items) - 1))
     cells = rating_matrix(train).select("user_id", "product_id", (F.col("value") - F.lit(mean)).alias("value"))
-    if k == 0:
-        empty = train.sparkSession.createDataFrame([], "user_id long, vec array<double>")
-        return SVDModel(mean, empty, empty.withColumnRenamed("user_id", "product_id"), users, items, [], 0,
-                        n_users, n_items)
-    uf, vf, sigma = linalg.truncated_svd(cells, "user_id", "product_id", k, block=block, n_iter=n_iter,
-                                         seed=seed, checkpoint=checkpoint, exact_limit=exact_limit)
-    # the fitted model is materialised once so scoring, prediction and saving
-    # do not replay the fit.  Factors built on the driver are already local
-    # data; the others sit on checkpointed bases, so a cache suffices.
-    def keep(df: DataFrame) -> DataFrame:
-        return df.cache()
-    return SVDModel(mean, keep(uf), keep(vf), keep(users), keep(items), [float(s) for s in sigma], len(sigma),
-                    n_users, n_items)
+    users, items = train.select("user_id").distinct(), train.select("product_id").distinct()
+    if k == 0 or not cells.where("value <> 0").head(1):
+        none = F.array().cast("array<double>").alias("vec")
+        return SVDModel(mean, users.select("user_id", none), items.select("product_id", none), [], 0, n_users, n_items)
+    uf, vf, sigma = linalg.truncated_svd(cells, "user_id", "product_id", k, block=block, tol=tol, seed=seed, tile=tile)
+
+    def all_known(ids: DataFrame, factors: DataFrame, key: str) -> DataFrame:
+        zero = F.array_repeat(F.lit(0.0), len(sigma))
+        return materialised(ids.join(factors, key, "left").select(key, F.coalesce("vec", zero).alias("vec")),
+                            "svd-factors")
+    return SVDModel(mean, all_known(users, uf, "user_id"), all_known(items, vf, "product_id"),
+                    [float(x) for x in sigma], len(sigma), n_users, n_items)
 
 
 def _dot(a, b):
@@ -108,17 +106,12 @@ def _dot(a, b):
 def predict_pairs(model: SVDModel, pairs: DataFrame) -> DataFrame:
     """M5: prediction per (user_id, product_id); unknown user or item -> the
     global mean (unclipped), known -> clip(mean + u·v, 1, 5)."""
-    k = model.n_factors
-    zero = F.array_repeat(F.lit(0.0), k)
     p = (pairs.select("user_id", "product_id")
-              .join(model.users.withColumn("_ku", F.lit(True)), "user_id", "left")
-              .join(model.items.withColumn("_ki", F.lit(True)), "product_id", "left")
               .join(model.user_factors.withColumnRenamed("vec", "_u"), "user_id", "left")
               .join(model.item_factors.withColumnRenamed("vec", "_v"), "product_id", "left"))
-    dot = _dot(F.coalesce("_u", zero), F.coalesce("_v", zero)) if k else F.lit(0.0)
-    known = F.col("_ku").isNotNull() & F.col("_ki").isNotNull()
-    pred = F.when(known, F.least(F.greatest(F.lit(model.global_mean) + dot, F.lit(1.0)), F.lit(5.0))) \
-            .otherwise(F.lit(model.global_mean))
+    rating = F.lit(model.global_mean) + _dot(F.col("_u"), F.col("_v"))
+    pred = F.when(F.col("_u").isNotNull() & F.col("_v").isNotNull(),
+                  F.least(F.greatest(rating, F.lit(1.0)), F.lit(5.0))).otherwise(F.lit(model.global_mean))
     return p.select("user_id", "product_id", pred.alias("prediction"))
 
 
@@ -126,22 +119,17 @@ def recommend_cf(model: SVDModel, users: DataFrame, n: int = S.TOP_K, exclude_kn
                  train: DataFrame | None = None) -> DataFrame:
     """M6: top-n items by predicted rating for each known user of ``users``.
 
-    ``exclude_known=False`` reproduces the reference, whose flag has no
-    effect; ``True`` removes the user's training items (needs ``train``).
+    ``exclude_known=False`` is the default behaviour of the modelled pipeline,
+    whose flag has no effect; ``True`` removes the user's training items and
+    needs ``train``.
     """
-    k = model.n_factors
-    zero = F.array_repeat(F.lit(0.0), k)
-    q = (users.select("user_id").distinct().join(model.users, "user_id", "left_semi")
-              .join(model.user_factors, "user_id", "left")
-              .select(F.col("user_id").alias("qid"), F.coalesce(F.col("vec"), zero).alias("vec")))
-    it = (model.items.join(model.item_factors, "product_id", "left")
-                .select(F.col("product_id").alias("item"), F.coalesce(F.col("vec"), zero).alias("vec")))
-    if exclude_known and train is not None:
-        seen = train.groupBy("user_id").agg(F.collect_set("product_id").alias("seen"))
-        q = q.join(seen.withColumnRenamed("user_id", "qid"), "qid", "left")
-        recs = top_n_dot(q, it, n, mode="cf", mean=model.global_mean, exclude_seen=True)
-    else:
-        recs = top_n_dot(q, it, n, mode="cf", mean=model.global_mean)
+    if exclude_known and train is None:
+        raise ValueError("exclude_known needs the training pairs")
+    q = model.user_factors.join(users.select("user_id").distinct(), "user_id", "left_semi")
+    seen = train.select(F.col("user_id").alias("qid"), F.col("product_id").alias("item")) if exclude_known else None
+    recs = top_n_dot(q.select(F.col("user_id").alias("qid"), "vec"),
+                     model.item_factors.select(F.col("product_id").alias("item"), "vec"), n,
+                     mean=model.global_mean, seen=seen, drop_seen=True)
     return recs.select(F.col("qid").alias("user_id"), "rank", F.col("item").alias("product_id"), "score")
 
 
@@ -187,6 +175,7 @@ def unit_vectors(vecs: DataFrame) -> DataFrame:
 
 def similar_items(unit: DataFrame, items: DataFrame | None = None, n: int = S.TOP_K) -> DataFrame:
     """N most cosine-similar other items for each item of ``items``."""
+    unit = materialised(unit, "unit-vectors")
     q = unit if items is None else unit.join(items.select("product_id"), "product_id", "left_semi")
     recs = top_n_dot(q.select(F.col("product_id").alias("qid"), "vec"),
                      unit.select(F.col("product_id").alias("item"), "vec"), n, exclude_self=True)
@@ -194,29 +183,27 @@ def similar_items(unit: DataFrame, items: DataFrame | None = None, n: int = S.TO
                        F.col("score").alias("similarity"))
 
 
-def user_profiles(history: DataFrame, unit: DataFrame) -> DataFrame:
-    """Σ of unit vectors of each user's history items (items without
-    features add nothing) and the list of those items (scored −1 later)."""
+def user_profiles(history: DataFrame, unit: DataFrame, dim: int) -> DataFrame:
+    """Σ of unit vectors of each user's history items (items without features
+    add nothing)."""
     h = history.select("user_id", "product_id")
-    with_vec = h.join(unit, "product_id", "inner")
-    prof = linalg.sum_vectors(with_vec.select("user_id", "vec"), "user_id")
-    seen = with_vec.groupBy("user_id").agg(F.collect_set("product_id").alias("seen"))
-    users = h.select("user_id").distinct()
-    return (users.join(prof, "user_id", "left").join(seen, "user_id", "left")
-                 .select("user_id", "vec", F.coalesce("seen", F.array().cast("array<long>")).alias("seen")))
+    prof = linalg.sum_vectors(h.join(unit, "product_id").select("user_id", "vec"), "user_id")
+    return (h.select("user_id").distinct().join(prof, "user_id", "left")
+             .select("user_id", F.coalesce("vec", F.array_repeat(F.lit(0.0), dim)).alias("vec")))
 
 
 def recommend_cb(history: DataFrame, unit: DataFrame, n: int = S.TOP_K, dim: int | None = None) -> DataFrame:
     """score_j = Σ_{i∈history} cos(i, j); the user's items are set to −1;
     top n.  Users without history rows get nothing."""
-    prof = user_profiles(history, unit)
+    unit = materialised(unit, "unit-vectors")
+    history = materialised(history.select("user_id", "product_id"), "history")
     if dim is None:
         first = unit.select(F.size("vec").alias("d")).first()
         dim = int(first["d"]) if first else 0
-    d = dim
-    zero = F.array_repeat(F.lit(0.0), d)
-    q = prof.select(F.col("user_id").alias("qid"), F.coalesce("vec", zero).alias("vec"), "seen")
-    recs = top_n_dot(q, unit.select(F.col("product_id").alias("item"), "vec"), n)
+    profiles = materialised(user_profiles(history, unit, dim), "profiles")
+    recs = top_n_dot(profiles.select(F.col("user_id").alias("qid"), "vec"),
+                     unit.select(F.col("product_id").alias("item"), "vec"), n,
+                     seen=history.select(F.col("user_id").alias("qid"), F.col("product_id").alias("item")))
     return recs.select(F.col("qid").alias("user_id"), "rank", F.col("item").alias("product_id"), "score")
 
 

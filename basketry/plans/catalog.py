@@ -616,7 +616,7 @@ def _m5(spark, d):
 def _m6(spark, d):
     train, _ = _split(spark, d)
     model = R.svd_fit(train)
-    return R.recommend_cf(model, model.users)
+    return R.recommend_cf(model, model.user_factors)
 
 
 @register("m7_cb_feature_select", O.sql(
@@ -930,7 +930,7 @@ def _j7(spark, d):
     """Every known user scored against every known item (blocked GEMM top-N)."""
     train, _ = _split(spark, d)
     model = R.svd_fit(train)
-    return R.recommend_cf(model, model.users)
+    return R.recommend_cf(model, model.user_factors)
 
 
 @register("t4_keep_first_per_key", O.sql(_all("_u_dedup"), "_u_dedup"))

@@ -24,27 +24,49 @@ def _dense(rows):
     return a, us, it
 
 
-@pytest.mark.parametrize("exact_limit", [2048, 0])
-def test_svd_matches_numpy(spark, exact_limit):
-    df, rows = _pairs(spark)
+@pytest.mark.parametrize("block, tile", [(None, 4096), (3, 4), (2, 5)])
+def test_svd_matches_numpy(spark, block, tile):
+    """Block sizes below the space and several tiles per side included."""
+    df, rows = _pairs(spark, 30, 24, seed=4)
     a, us, it = _dense(rows)
     mean = a[a > 0].mean()
     c = a.copy(); c[a > 0] -= mean
-    k = min(50, min(a.shape) - 1)
+    k = 6 if block else 23
     u, s, vt = np.linalg.svd(c, full_matrices=False)
     ref = np.clip(mean + (u[:, :k] * s[:k]) @ vt[:k], 1, 5)
-    # the Krylov path is exact once the block spans the whole space
-    model = R.svd_fit(df, exact_limit=exact_limit, block=20, n_iter=2, checkpoint=False)
+    model = R.svd_fit(df, n_factors=k, block=block, tile=tile, tol=1e-9)
     assert np.allclose(model.sigma, s[:k], rtol=1e-8)
     allp = spark.createDataFrame([(x, y) for x in us for y in it], "user_id long, product_id long")
     pred = {(r.user_id, r.product_id): r.prediction for r in R.predict_pairs(model, allp).collect()}
     got = np.array([[pred[(x, y)] for y in it] for x in us])
-    assert np.allclose(got, ref, atol=1e-8)
+    assert np.allclose(got, ref, atol=1e-6)
+
+
+def test_svd_meets_its_tolerance_and_restarts(spark, monkeypatch):
+    df, rows = _pairs(spark, 60, 50, seed=9)
+    a, us, it = _dense(rows)
+    cells = df.withColumnRenamed("avg_rating", "value")
+    uf, vf, sigma = linalg.truncated_svd(cells, "user_id", "product_id", 4, block=5, tol=1e-4, tile=16, max_blocks=3)
+    v = np.array([r.vec for r in vf.orderBy("product_id").collect()])
+    u = np.array([r.vec for r in uf.orderBy("user_id").collect()])
+    assert np.allclose(np.linalg.norm(v, axis=0), 1) and np.allclose(u, a @ v)
+    assert (np.linalg.norm(a.T @ u - v * sigma ** 2, axis=0) <= 1.01e-4 * sigma ** 2).all()
+    assert np.allclose(sigma, np.linalg.svd(a)[1][:4], rtol=1e-6)
+
+
+def test_svd_of_low_rank_and_degenerate_matrices(spark):
+    x, y = np.arange(1, 9.0), np.arange(1, 7.0)
+    cells = spark.createDataFrame([(i, j, float(x[i] * y[j])) for i in range(8) for j in range(6)],
+                                  "user_id long, product_id long, value double")
+    uf, vf, sigma = linalg.truncated_svd(cells, "user_id", "product_id", 4)
+    assert np.allclose(sigma, [np.linalg.norm(x) * np.linalg.norm(y)]) and vf.count() == 6 and uf.count() == 8
+    with pytest.raises(ValueError):
+        linalg.truncated_svd(cells.where("value < 0"), "user_id", "product_id", 2)
 
 
 def test_predict_unknown_is_mean(spark):
     df, rows = _pairs(spark)
-    model = R.svd_fit(df, checkpoint=False)
+    model = R.svd_fit(df)
     p = R.predict_pairs(model, spark.createDataFrame([(999, 100), (0, 999)], "user_id long, product_id long")).collect()
     assert all(abs(r.prediction - model.global_mean) < 1e-12 for r in p)
 
@@ -55,9 +77,27 @@ def test_top_n_tie_break_by_id(spark):
                                   "item long, vec array<double>")
     out = [(r.item, r.rank) for r in top_n_dot(q, items, 3).orderBy("rank").collect()]
     assert out == [(9, 1), (3, 2), (5, 3)]
-    # blocked path (tiny budget) gives the same answer
-    out2 = [(r.item, r.rank) for r in top_n_dot(q, items, 3, block_bytes=24).orderBy("rank").collect()]
-    assert out2 == out
+
+
+def test_top_n_in_several_blocks_equals_brute_force(spark):
+    rng = np.random.default_rng(8)
+    q, v = rng.integers(-3, 4, (40, 3)), rng.integers(-3, 4, (60, 3))  # many ties
+    pairs = {(int(a), int(b)) for a, b in zip(rng.integers(0, 40, 300), rng.integers(0, 60, 300))}
+    queries = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(q)], "qid long, vec array<double>")
+    items = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "item long, vec array<double>")
+    seen = spark.createDataFrame(sorted(pairs) + [(99, 1), (1, 99)], "qid long, item long")
+    for opts, score in (({}, lambda i, j: float(q[i] @ v[j])),
+                        ({"exclude_self": True}, lambda i, j: None if i == j else float(q[i] @ v[j])),
+                        ({"mean": 3.0}, lambda i, j: float(np.clip(3.0 + q[i] @ v[j], 1, 5))),
+                        ({"seen": seen}, lambda i, j: -1.0 if (i, j) in pairs else float(q[i] @ v[j])),
+                        ({"seen": seen, "drop_seen": True}, lambda i, j: None if (i, j) in pairs else float(q[i] @ v[j]))):
+        want = []
+        for i in range(40):
+            ranked = sorted((-s, j) for j in range(60) if (s := score(i, j)) is not None)[:7]
+            want += [(i, j, -s, r + 1) for r, (s, j) in enumerate(ranked)]
+        for blocks in ({}, {"item_block": 9, "query_block": 7}):
+            got = sorted(map(tuple, top_n_dot(queries, items, 7, **opts, **blocks).collect()), key=lambda r: (r[0], r[3]))
+            assert got == want
 
 
 def test_content_scores_equal_explicit_pair_sum(spark):
@@ -104,81 +144,35 @@ def test_split_disjoint_complete_and_partition_independent(spark):
     assert {(r.user_id, r.product_id) for r in tr2.collect()} == a
 
 
-def test_gram_and_spmm(spark):
+def test_block_products_sums_and_inner_products(spark):
     rng = np.random.default_rng(5)
-    x = rng.random((10, 3))
-    dense = spark.createDataFrame([(i, x[i].tolist()) for i in range(10)], "k long, vec array<double>")
-    assert np.allclose(linalg.gram(dense, 3), x.T @ x)
-    coo = spark.createDataFrame([(0, 1, 2.0), (0, 3, 1.0), (1, 3, -1.0)], "r long, k long, value double")
-    got = {r.r: r.vec for r in linalg.spmm(coo, dense, "r", "k").collect()}
-    assert np.allclose(got[0], 2 * x[1] + x[3]) and np.allclose(got[1], -x[3])
+    a = rng.random((20, 13)) * (rng.random((20, 13)) < 0.4)
+    a[0] = rng.random(13)  # a hot row
+    cells = spark.createDataFrame([(int(i), int(j), float(a[i, j])) for i, j in zip(*np.nonzero(a))],
+                                  "u long, p long, value double")
+    rows, cols = linalg.key_blocks(cells, "u", 6), linalg.key_blocks(cells, "p", 4)
+    tiled = linalg.tiles(cells, rows, cols, "u", "p")
+    z = linalg.start_block(cols, 3, 1)
+    table = lambda df, blocks, key, w: np.array([r.vec for r in linalg.to_vectors(df, blocks, key, w).orderBy(key).collect()])
+    zm = table(z, cols, "p", 3)
+    used = sorted({int(i) for i in np.nonzero(a)[0]})
+    y = linalg.product(tiled, z, 3)
+    assert np.allclose(table(y, rows, "u", 3), (a @ zm)[used])
+    assert np.allclose(table(linalg.product(tiled, y, 3, transpose=True), cols, "p", 3), a.T @ a @ zm)
+    m1, m2 = rng.random((3, 2)), rng.random((3, 2))
+    assert np.allclose(table(linalg.combine([(z, m1), (z, m2)]), cols, "p", 2), zm @ (m1 + m2))
+    (g,) = linalg.inner_products([(z, 3)], z, 3)
+    assert np.allclose(g, zm.T @ zm)
 
 
 def test_recommend_cf_exclude_known(spark):
     df, rows = _pairs(spark, 8, 12, 0.4)
-    model = R.svd_fit(df, checkpoint=False)
+    model = R.svd_fit(df)
     users = spark.createDataFrame([(u,) for u in sorted({r[0] for r in rows})], "user_id long")
     recs = R.recommend_cf(model, users, n=3, exclude_known=True, train=df).collect()
     seen = {(r[0], r[1]) for r in rows}
     assert recs and all((r.user_id, r.product_id) not in seen for r in recs)
+    with pytest.raises(ValueError):
+        R.recommend_cf(model, users, exclude_known=True)
     plain = R.recommend_cf(model, users, n=3).collect()
     assert len(plain) == 3 * len({r[0] for r in rows})
-
-
-@pytest.mark.parametrize("budget", [1 << 30, 0])
-def test_krylov_paths_match_numpy_when_block_spans_space(spark, budget):
-    df, rows = _pairs(spark, 14, 11, 0.6, seed=7)
-    a, us, it = _dense(rows)
-    u, s, vt = np.linalg.svd(a, full_matrices=False)
-    cells = df.withColumnRenamed("avg_rating", "value")
-    uf, vf, sigma = linalg.truncated_svd(cells, "user_id", "product_id", 5, block=11, n_iter=1,
-                                         checkpoint=False, exact_limit=0, driver_budget=budget)
-    assert np.allclose(sigma, s[:5], rtol=1e-8)
-    U = {r.user_id: np.array(r.vec) for r in uf.collect()}
-    V = {r.product_id: np.array(r.vec) for r in vf.collect()}
-    approx = np.array([[U[x] @ V[y] if x in U and y in V else 0.0 for y in it] for x in us])
-    assert np.allclose(approx, (u[:, :5] * s[:5]) @ vt[:5], atol=1e-8)
-
-
-def test_bcast_product_with_hot_key_salting(spark):
-    # one output key holds most entries: the salted copy must give the same product
-    rng = np.random.default_rng(11)
-    rows = [(0, j, float(rng.random())) for j in range(200)] + [(i, i % 7, 1.0) for i in range(1, 30)]
-    coo = spark.createDataFrame(rows, "ri long, ci long, value double")
-    copy = linalg._partitioned_copy(coo, "ri", "ci", 8)
-    mat = rng.random((200, 3))
-    got = linalg._bcast_product(copy, "ri", "ci", mat, 30)
-    a = np.zeros((30, 200))
-    for r, c, v in rows:
-        a[r, c] += v
-    assert np.allclose(got, a @ mat)
-
-
-def test_sparse_gram_groups_straddling_arrow_batches(spark):
-    # one partition, tiny Arrow batches: groups cross batch boundaries
-    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
-    try:
-        rng = np.random.default_rng(2)
-        rows = [(g, int(i), float(rng.random())) for g in range(9) for i in rng.choice(6, 5, replace=False)]
-        coo = spark.createDataFrame(rows, "g long, i long, value double")
-        got = linalg.sparse_gram(coo, "g", "i", 6, partitions=1)
-        a = np.zeros((9, 6))
-        for g, i, v in rows:
-            a[g, i] += v
-        assert np.allclose(got, a.T @ a)
-        got2 = linalg._bcast_product(linalg._partitioned_copy(
-            coo.withColumnRenamed("g", "ri").withColumnRenamed("i", "ci"), "ri", "ci", 1), "ri", "ci",
-            np.eye(6), 9)
-        assert np.allclose(got2, a)
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
-
-
-def test_history_covering_nearly_all_items_ranks_seen_at_minus_one(spark):
-    unit = R.unit_vectors(spark.createDataFrame([(100 + i, [1.0, float(i)]) for i in range(5)],
-                                                "product_id long, vec array<double>"))
-    hist = spark.createDataFrame([(1, 100 + i) for i in range(4)], "user_id long, product_id long")
-    recs = [(r.product_id, r.score) for r in R.recommend_cb(hist, unit, n=5, dim=2).orderBy("rank").collect()]
-    assert recs[0][0] == 104 and recs[0][1] > 0
-    assert recs[1:] == [(100, -1.0), (101, -1.0), (102, -1.0), (103, -1.0)]
