@@ -13,6 +13,8 @@ from .. import schemas as S
 from ..functions.exprs import (as_of_literal, clip as clip_expr, minmax_scale, parse_timestamp,
                                weekday_mon0, whole_days_between)
 from ..sources.roles import DEFAULT_AS_OF
+from ..sources.shared import materialised
+from .quantiles import exact_median
 
 
 def dedup_exact(df: DataFrame) -> DataFrame:
@@ -31,16 +33,9 @@ def dedup_by_key(df: DataFrame, key: str) -> DataFrame:
     others = [c for c in df.columns if c != key]
     if not others:
         return df.select(key).distinct()
-    keep = (df.where(F.col(key).isNotNull())
-              .groupBy(key).agg(F.min(F.struct(*others)).alias("_r"))
-              .select(key, *[F.col(f"_r.{c}").alias(c) for c in others]))
-    # pandas keeps one row for the null key as well
-    nulls = (df.where(F.col(key).isNull())
-               .agg(F.min(F.struct(*others)).alias("_r"), F.count(F.lit(1)).alias("_n"))
-               .where(F.col("_n") > 0)
-               .select(F.lit(None).cast(df.schema[key].dataType).alias(key),
-                       *[F.col(f"_r.{c}").alias(c) for c in others]))
-    return keep.unionByName(nulls).select(*df.columns)
+    # a null key forms a group like any other, as one row is kept for it
+    return (df.groupBy(key).agg(F.min(F.struct(*others)).alias("_r"))
+              .select(*[F.col(c) if c == key else F.col(f"_r.{c}").alias(c) for c in df.columns]))
 
 
 def drop_null_keys(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -50,7 +45,7 @@ def drop_null_keys(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def impute_median(df: DataFrame, c: str) -> DataFrame:
     """C4: fill nulls with the exact median of the non-null values."""
-    med = df.select(F.median(c)).scalar()
+    med = exact_median(df, c)
     return df.withColumn(c, F.coalesce(F.col(c), med.cast(df.schema[c].dataType)))
 
 
@@ -126,9 +121,9 @@ def filter_rows(df: DataFrame, cond: Column) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def clean_transactions(raw: DataFrame) -> DataFrame:
-    """C1 -> C3 -> C4(rating) -> C5(quantity=1) -> C6(rating 1..5) -> C7 -> C8."""
-    df = dedup_exact(raw)
-    df = drop_null_keys(df, S.TXN_KEY_COLUMNS)
+    """C1 -> C3 -> C4(rating) -> C5(quantity=1) -> C6(rating 1..5) -> C7 -> C8.
+    The deduplicated rows are written once; the median and the cleaning read them."""
+    df = materialised(drop_null_keys(dedup_exact(raw), S.TXN_KEY_COLUMNS), "transactions")
     df = impute_median(df, "rating")
     df = impute_constant(df, {"quantity": S.QUANTITY_FILL})
     df = clip(df, "rating", *S.RATING_CLIP)
@@ -146,7 +141,7 @@ def clean_clickstream(raw: DataFrame) -> DataFrame:
 
 def clean_products(raw: DataFrame) -> DataFrame:
     """C2(product_id) -> C4(avg_rating) -> C5(num_reviews=0) -> C9(price) -> C10(category)."""
-    df = dedup_by_key(raw, "product_id")
+    df = materialised(dedup_by_key(raw, "product_id"), "products")
     df = impute_median(df, "avg_rating")
     df = impute_constant(df, {"num_reviews": S.NUM_REVIEWS_FILL})
     df = min_max_scale(df, "price", "price_normalized")

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.exprs import as_of_literal, whole_days_between
 from ..sources.roles import DEFAULT_AS_OF
+from ..sources.shared import materialised
+from .quantiles import exact_median
 
 
 def _count_eq(c: str, value: str):
@@ -109,7 +111,7 @@ def brand_agg(items: DataFrame) -> DataFrame:
 def global_agg(df: DataFrame, c: str) -> DataFrame:
     """Table-level statistics of one column."""
     return df.agg(F.count(c).alias("count"), F.min(c).alias("min"), F.max(c).alias("max"),
-                  F.avg(c).alias("mean"), F.median(c).alias("median"),
+                  F.avg(c).alias("mean"), exact_median(df, c).alias("median"),
                   F.count_distinct(c).alias("nunique"))
 
 
@@ -223,20 +225,21 @@ def interaction_features(txn: DataFrame, clicks: DataFrame) -> DataFrame:
 def dense_index(ids: DataFrame, c: str, out: str = "idx", partitions: int | None = None) -> DataFrame:
     """sorted distinct ids -> 0..n-1 without funnelling all ids into one task.
 
-    Distinct ids are range partitioned and sorted; each partition numbers its
-    rows locally and adds the total size of the partitions before it (a table
-    with one row per partition).  The exchange is shared by both branches of
-    the plan, so the partition boundaries are the same in both.
+    Distinct ids are range partitioned and sorted, and written with each row's
+    partition and local number; partition sizes are counted from the same
+    files, so rows and offsets agree whatever the optimizer does with either
+    branch.
     """
     d = ids.select(c).where(F.col(c).isNotNull()).distinct()
-    d = (d.repartitionByRange(partitions, c) if partitions else d.repartitionByRange(c))
-    d = d.withColumn("_pid", F.spark_partition_id())
-    local = d.withColumn("_local", F.row_number().over(Window.partitionBy("_pid").orderBy(c)) - 1)
+    d = (d.repartitionByRange(partitions, c) if partitions else d.repartitionByRange(c)).sortWithinPartitions(c)
+    local = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    d = materialised(d.withColumn("_pid", F.spark_partition_id()).withColumn("_local", local), "dense-index")
+    # one row per partition, so the unpartitioned window is small
     sizes = (d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
                .withColumn("_off", F.coalesce(F.sum("_n").over(
                    Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
-    return (local.join(F.broadcast(sizes.select("_pid", "_off")), "_pid")
-                 .select(c, (F.col("_off") + F.col("_local")).cast("long").alias(out)))
+    return (d.join(F.broadcast(sizes.select("_pid", "_off")), "_pid")
+             .select(c, (F.col("_off") + F.col("_local")).cast("long").alias(out)))
 
 
 def user_item_matrix(pairs: DataFrame, value: str = "avg_rating") -> DataFrame:

@@ -1,12 +1,11 @@
 """Data-quality operators.
 
-Per source, one aggregate pass builds a single *facts* row: row count, null
-count per column, range violations and min/max per ranged column, invalid
-counts per listed column.  Duplicate counts (a group-by over all columns and
-one over the key) are attached to that row as scalar subqueries.  Every
-report (missing values, ranges, issues, counts, score) is then a projection
-or an ``inline`` of that one row, so the source is scanned once for the
-profile and once for duplicates however many reports are asked for.
+Per source, one pass builds a single *facts* row: equal rows are counted, and
+row count, null counts, range violations, minima and maxima, invalid counts
+and both duplicate counts are summed from those counts.  Every report (missing
+values, ranges, issues, counts, score) is then a projection or an ``inline``
+of that one row, so the source is scanned once however many reports are asked
+for.
 """
 from __future__ import annotations
 
@@ -16,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from .quantiles import exact_quantiles
 
 ISSUE_COLUMNS = ["source", "type", "severity", "column", "details"]
 
@@ -64,21 +64,35 @@ def pk_duplicates(df: DataFrame, pk: str | None) -> DataFrame:
 
 
 def facts(df: DataFrame, source: str) -> DataFrame:
-    """One row of every scalar the quality checks need."""
+    """One row of every scalar the quality checks need, from one pass over the
+    source: equal rows are counted first, and all else is summed from those
+    counts, first per key and then over the keys."""
     _, ranges, allowed, _, pk = rules_for(source, df)
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    aggs += [F.count_if(F.col(c).isNull()).alias(_n(c)) for c in df.columns]
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_c"))
+    weight = F.col("_c")
+
+    def rows_where(cond: Column) -> Column:
+        return F.sum(F.when(cond, weight).otherwise(F.lit(0)))
+    adds = {"_rows": F.sum(weight), "total_duplicates": F.sum(weight - 1)}
+    adds |= {_n(c): rows_where(F.col(c).isNull()) for c in df.columns}
+    lows, highs = {}, {}
     for c, (lo, hi) in ranges.items():
         x = _numeric(c)
-        aggs += [F.count_if(x < F.lit(lo)).alias(f"below__{c}"), F.count_if(x > F.lit(hi)).alias(f"above__{c}"),
-                 F.min(x).alias(f"min__{c}"), F.max(x).alias(f"max__{c}")]
+        adds |= {f"below__{c}": rows_where(x < F.lit(lo)), f"above__{c}": rows_where(x > F.lit(hi))}
+        lows[f"min__{c}"], highs[f"max__{c}"] = F.min(x), F.max(x)
     for c, vals in allowed.items():
-        aggs.append(F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(*vals)).alias(f"invalid__{c}"))
-    row = df.agg(*aggs)
-    dup = duplicate_rows(df).select("total_duplicates").scalar()
-    pkd = pk_duplicates(df, pk).select("primary_key_duplicates").scalar()
-    return row.select("*", F.lit(len(df.columns)).alias("_ncols"),
-                      dup.alias("total_duplicates"), pkd.alias("primary_key_duplicates"))
+        adds[f"invalid__{c}"] = rows_where(F.col(c).isNotNull() & ~F.col(c).isin(*vals))
+    every = {**adds, **lows, **highs}
+    repeats = F.lit(0)
+    if pk is not None:
+        counted = counted.groupBy(pk).agg(*[x.alias(f"_{n}") for n, x in every.items()])
+        adds = {n: F.sum(f"_{n}") for n in adds}
+        lows, highs = {n: F.min(f"_{n}") for n in lows}, {n: F.max(f"_{n}") for n in highs}
+        repeats = F.sum(F.col("__rows") - 1)
+    none = F.lit(0).cast("long")
+    return counted.agg(*[F.coalesce(x, none).cast("long").alias(n) for n, x in adds.items()],
+                       *[x.alias(n) for n, x in (lows | highs).items()], F.lit(len(df.columns)).alias("_ncols"),
+                       F.coalesce(repeats, none).cast("long").alias("primary_key_duplicates"))
 
 
 def _pct(num: Column, rows: Column) -> Column:
@@ -172,38 +186,25 @@ def shape_and_types(df: DataFrame, source: str) -> DataFrame:
         F.lit(types).alias("column_types"))
 
 
-def summary_columns(df: DataFrame) -> list[str]:
-    """Numeric, non-boolean measure columns.  Identifier columns (``*_id``) are
-    left out: they are labels, and the exact quartiles of a unique key would
-    need every key in one buffer."""
-    return [c for c in S.numeric_columns(df.schema) if not c.endswith("_id")]
-
-
-def numeric_summary(df: DataFrame, source: str, exact: bool = True, accuracy: int = 100000) -> DataFrame:
-    """V8: count, mean, sample std, min, quartiles (linear interpolation), max.
-
-    ``exact`` uses ``percentile`` whose buffer holds one counter per distinct
-    value (bounded by the value domain, not by rows); ``exact=False`` switches
-    to ``percentile_approx`` for unbounded continuous columns.
-    """
-    cols = summary_columns(df)
+def numeric_summary(df: DataFrame, source: str) -> DataFrame:
+    """V8: count, mean, sample std, min, exact quartiles (linear interpolation)
+    and max of every numeric non-boolean column; null statistics for a column
+    without values."""
+    cols = S.numeric_columns(df.schema)
     schema = ("source string, column string, count long, mean double, std double, min double, p25 double,"
               " p50 double, p75 double, max double")
     if not cols:
         return df.sparkSession.createDataFrame([], schema)
-    qs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        q = F.percentile(x, qs) if exact else F.percentile_approx(x, qs, accuracy)
         aggs.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-                             F.stddev_samp(x).alias("std"), F.min(x).alias("min"), q.alias("_q"),
-                             F.max(x).alias("max")).alias(f"s__{c}"))
-    row = df.agg(*aggs)
-    return (row.select(F.inline(F.array(*[F.col(f"s__{c}") for c in cols])))
-               .select(F.lit(source).alias("source"), "column", "count", "mean", "std", "min",
-                       F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"),
-                       "max"))
+                             F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")).alias(f"s__{c}"))
+    rows = df.agg(*aggs).select(F.inline(F.array(*[F.col(f"s__{c}") for c in cols])))
+    at = exact_quantiles(df, cols, [0.25, 0.5, 0.75]).groupBy("column").agg(
+        *[F.max(F.when(F.col("q") == q, F.col("value"))).alias(n) for n, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))])
+    return rows.join(at, "column", "left").select(F.lit(source).alias("source"), "column", "count", "mean", "std", "min",
+                                                  "p25", "p50", "p75", "max")
 
 
 # ---------------------------------------------------------------------------

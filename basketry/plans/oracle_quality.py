@@ -138,7 +138,7 @@ def v7() -> str:
 
 def v8() -> str:
     def one(s):
-        cols = [c for c in S.numeric_columns(S.SOURCE_SCHEMAS[s]) if not c.endswith("_id")]
+        cols = [c for c in S.numeric_columns(S.SOURCE_SCHEMAS[s])]
         if not cols:
             return None, []
         parts = [f"SELECT '{s}' AS source, '{c}' AS \"column\", count({c}) AS count, avg({_d(c)}) AS mean,"

@@ -75,25 +75,27 @@ def table_metadata(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def ingestion_report(spark: SparkSession, loaders: dict, source_types: dict | None = None) -> DataFrame:
-    """One row per source with records, status, source type and error.
+INGESTION_REPORT = ("source string, records long, status string, source_type string, error string,"
+                    " started_at timestamp, ended_at timestamp")
+
+
+def ingestion_report(spark: SparkSession, loaders: dict, source_types: dict | None = None, clock=None) -> DataFrame:
+    """One row per source with records, status, source type, error, start
+    and end time.
 
     ``loaders`` maps a source name to a zero-argument callable returning a
-    DataFrame; a failure in one source is recorded and does not stop the
-    others.  Counts are Spark aggregates; only the per-source outcome is
-    assembled on the driver.
+    DataFrame.  Each source is loaded and counted in a job of its own, so a
+    failure while planning or while reading is recorded with its whole text and
+    does not stop the others; only the outcome rows pass through the driver.
     """
-    source_types = source_types or {}
-    schema = "source string, records long, status string, source_type string, error string"
-    parts = []
+    clock = clock or _dt.datetime.now
+    rows = []
     for name, load in loaders.items():
+        started, records, error = clock(), None, None
         try:
-            df = load()
-            parts.append(df.agg(F.count(F.lit(1)).alias("records")).select(
-                F.lit(name).alias("source"), "records", F.lit("success").alias("status"),
-                F.lit(source_types.get(name, "parquet")).alias("source_type"),
-                F.lit(None).cast("string").alias("error")))
+            records = load().count()
         except Exception as e:  # noqa: BLE001 - isolate per-source failures
-            parts.append(spark.createDataFrame([(name, None, "failed", source_types.get(name, "parquet"),
-                                                 str(e)[:500])], schema))
-    return reduce(DataFrame.unionByName, parts)
+            error = str(e)
+        rows.append((name, records, "failed" if error is not None else "success",
+                     (source_types or {}).get(name, "parquet"), error, started, clock()))
+    return spark.createDataFrame(rows, INGESTION_REPORT)
