@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -84,9 +84,14 @@ def interaction_pivot_long(txn: DataFrame, k: int = 50) -> DataFrame:
 
 
 def interaction_pivot(txn: DataFrame, k: int = 50) -> DataFrame:
-    """E5: user × product matrix of mean ratings (at most k × k cells)."""
-    long = interaction_pivot_long(txn, k)
-    return long.groupBy("user_id").pivot("product_id").agg(F.first("avg_rating"))
+    """E5: user × product matrix of mean ratings (at most k × k cells); column
+    ``p<i>`` is the i-th most purchased product, so the columns are known
+    without looking at the data."""
+    order = Window.orderBy(F.col("count").desc(), "product_id")
+    place = top_k(txn, "product_id", k).select("product_id", F.row_number().over(order).alias("place"))  # k rows
+    long = interaction_pivot_long(txn, k).join(F.broadcast(place), "product_id")
+    wide = long.groupBy("user_id").pivot("place", list(range(1, k + 1))).agg(F.first("avg_rating"))
+    return wide.toDF("user_id", *[f"p{i}" for i in range(1, k + 1)])
 
 
 def txn_by_hour(txn: DataFrame) -> DataFrame:

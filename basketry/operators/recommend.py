@@ -9,11 +9,11 @@ vectors, and a user's score for item j, Σ_{i∈history} cos(i, j), equals
 """
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions.exprs import hash_bucket
@@ -99,6 +99,23 @@ def svd_fit(train: DataFrame, n_factors: int = S.N_FACTORS, block: int | None =
                     [float(x) for x in sigma], len(sigma), n_users, n_items)
 
 
+def mean_deviation_model(train: DataFrame) -> SVDModel:
+    """A model with one factor per id: the deviation of the user's and the
+    item's mean rating from the global mean (0 for ids without a rating), all
+    rounded to six decimals.  A baseline that plain SQL can reproduce."""
+    train = materialised(train.select("user_id", "product_id", "avg_rating"), "deviation-train")
+    cells = rating_matrix(train)
+    facts = train.agg(F.count_distinct("user_id").alias("u"), F.count_distinct("product_id").alias("i"),
+                      F.round(F.avg(F.when(F.col("avg_rating") > 0, F.col("avg_rating"))), 6).alias("m")).first()
+    mean = float(facts["m"]) if facts["m"] is not None else 0.0
+
+    def factors(key: str) -> DataFrame:
+        dev = cells.groupBy(key).agg(F.round(F.avg("value") - F.lit(mean), 6).alias("f"))
+        return materialised(train.select(key).distinct().join(dev, key, "left").select(
+            key, F.array(F.coalesce("f", F.lit(0.0))).alias("vec")), "deviation-factors")
+    return SVDModel(mean, factors("user_id"), factors("product_id"), [1.0], 1, int(facts["u"]), int(facts["i"]))
+
+
 def _dot(a, b):
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
 
@@ -219,24 +236,29 @@ def holdout_history(all_pairs: DataFrame, test: DataFrame, users: DataFrame | No
 # M21 model tables
 # ---------------------------------------------------------------------------
 
-def model_tables(model: SVDModel, unit: DataFrame, metrics: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The fitted models as tables (factors, vectors, run metadata)."""
+METADATA = ("model string, algorithm string, n_factors int, n_users long, n_items long, global_mean double,"
+            " test_size double, random_state int, top_k int, run_id string, trained_at timestamp_ntz,"
+            " precision_at_k double, recall_at_k double, ndcg_at_k double, rmse double")
+
+
+def model_tables(model: SVDModel, unit: DataFrame, metrics: DataFrame | None = None, run_id: str | None = None,
+                 trained_at: _dt.datetime | None = None) -> dict[str, DataFrame]:
+    """The fitted models as tables: factors, singular values, item vectors,
+    and one metadata row per model with run id, time and its metrics."""
     spark = unit.sparkSession
-    meta = spark.createDataFrame(
-        [("collaborative_filtering", "SVD (Truncated)", model.n_factors, model.n_users, model.n_items,
-          model.global_mean, S.TEST_SIZE, S.RANDOM_STATE, S.TOP_K)],
-        T.StructType([T.StructField("model", T.StringType()), T.StructField("algorithm", T.StringType()),
-                      T.StructField("n_factors", T.IntegerType()), T.StructField("n_users", T.LongType()),
-                      T.StructField("n_items", T.LongType()), T.StructField("global_mean", T.DoubleType()),
-                      T.StructField("test_size", T.DoubleType()), T.StructField("random_state", T.IntegerType()),
-                      T.StructField("top_k", T.IntegerType())]))
-    cb_meta = unit.agg(F.count(F.lit(1)).alias("n_items")).select(
-        F.lit("content_based").alias("model"), F.lit("Cosine Similarity").alias("algorithm"),
-        F.lit(None).cast("int").alias("n_factors"), F.lit(None).cast("long").alias("n_users"), "n_items",
-        F.lit(None).cast("double").alias("global_mean"), F.lit(S.TEST_SIZE).alias("test_size"),
-        F.lit(S.RANDOM_STATE).alias("random_state"), F.lit(S.TOP_K).alias("top_k"))
-    out = {"cf_user_factors": model.user_factors, "cf_item_factors": model.item_factors,
-           "cb_item_vectors": unit, "model_metadata": meta.unionByName(cb_meta)}
+    trained_at = trained_at or _dt.datetime.now().replace(microsecond=0)
+    run_id = run_id or trained_at.strftime("run_%Y%m%d_%H%M%S")
+    got = {r["model"]: r.asDict() for r in metrics.collect()} if metrics is not None else {}  # one row per model
+    figures = lambda m: tuple(got.get(m, {}).get(k) for k in ("precision_at_k", "recall_at_k", "ndcg_at_k", "rmse"))
+    settings = (S.TEST_SIZE, S.RANDOM_STATE, S.TOP_K, run_id, trained_at)
+    meta = spark.createDataFrame([
+        ("collaborative_filtering", "SVD (Truncated)", model.n_factors, model.n_users, model.n_items, model.global_mean,
+         *settings, *figures("collaborative_filtering")),
+        ("content_based", "Cosine Similarity", None, None, unit.count(), None, *settings, *figures("content_based"))],
+        METADATA)
+    sigma = spark.createDataFrame([(i + 1, float(x)) for i, x in enumerate(model.sigma)], "factor int, sigma double")
+    out = {"cf_user_factors": model.user_factors, "cf_item_factors": model.item_factors, "cf_sigma": sigma,
+           "cb_item_vectors": unit, "model_metadata": meta}
     if metrics is not None:
         out["metrics"] = metrics
     return out

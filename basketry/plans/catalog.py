@@ -16,6 +16,7 @@ from .. import schemas as S
 from ..operators import cleaning as C
 from ..operators import features as FE
 from . import oracle as O
+from ..sources.shared import materialised
 from .context import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,20 +106,20 @@ def _c8(spark, d):
 @register("c9_min_max_scale", O.sql("SELECT product_id, price, price_normalized FROM products_clean",
                                     "products_clean"))
 def _c9(spark, d):
-    return C.min_max_scale(Tables(spark, d).raw["products"], "price", "price_normalized").select(
+    return C.min_max_scale(C.dedup_by_key(Tables(spark, d).raw["products"], "product_id"), "price", "price_normalized").select(
         "product_id", "price", "price_normalized")
 
 
 @register("c10_category_codes", O.sql("SELECT user_id, location, location_encoded FROM users_clean",
                                       "users_clean"))
 def _c10(spark, d):
-    return C.category_codes(Tables(spark, d).raw["users"], "location", "location_encoded").select(
+    return C.category_codes(C.dedup_by_key(Tables(spark, d).raw["users"], "user_id"), "location", "location_encoded").select(
         "user_id", "location", "location_encoded")
 
 
 @register("c11_map_encode", O.sql("SELECT user_id, gender, gender_encoded FROM users_clean", "users_clean"))
 def _c11(spark, d):
-    return C.map_encode(Tables(spark, d).raw["users"], "gender", S.GENDER_CODES, "gender_encoded").select(
+    return C.map_encode(C.dedup_by_key(Tables(spark, d).raw["users"], "user_id"), "gender", S.GENDER_CODES, "gender_encoded").select(
         "user_id", "gender", "gender_encoded")
 
 
@@ -126,7 +127,7 @@ def _c11(spark, d):
                                   "users_clean"))
 def _c12(spark, d):
     t = Tables(spark, d)
-    return C.days_since(t.raw["users"], "signup_date", "days_since_signup", t.as_of).select(
+    return C.days_since(C.dedup_by_key(t.raw["users"], "user_id"), "signup_date", "days_since_signup", t.as_of).select(
         "user_id", "signup_date", "days_since_signup")
 
 
@@ -600,22 +601,49 @@ def _m3(spark, d):
     return R.mean_center(R.rating_matrix(_split(spark, d)[0]))
 
 
-@register("m4_svd_fit")
+@register("m4_svd_fit", "SELECT CAST(i AS INTEGER) AS factor, CAST(1.0 AS DOUBLE) AS norm, TRUE AS within_tolerance,"
+          " TRUE AS in_order FROM range(1, 51) t(i)")
 def _m4(spark, d):
-    model = R.svd_fit(_split(spark, d)[0])
-    return model.item_factors
+    """What makes the pairs a truncated SVD: unit vectors v with |AᵀA v − σ² v|
+    ≤ tolerance·σ², recomputed from the ratings, and falling σ."""
+    from ..operators import linalg
+    train, _ = _split(spark, d)
+    train = materialised(train, "m4-train")
+    model = R.svd_fit(train)
+    cells = R.mean_center(R.rating_matrix(train)).where("value <> 0")
+    back = linalg.sum_vectors(cells.join(model.user_factors, "user_id").select(
+        "product_id", F.transform("vec", lambda x: x * F.col("value")).alias("vec")), "product_id")  # Aᵀ(A v)
+    both = model.item_factors.join(back.withColumnRenamed("vec", "back"), "product_id", "left")
+    sigma = F.array(*[F.lit(x) for x in model.sigma])
+    v = (both.select(F.posexplode(F.arrays_zip("vec", F.coalesce("back", F.transform("vec", lambda x: x * 0.0)).alias("back"),
+                                               sigma.alias("sigma"))))
+             .select((F.col("pos") + 1).alias("factor"), "col.vec", "col.back", "col.sigma"))
+    off = F.col("back") - F.col("sigma") * F.col("sigma") * F.col("vec")
+    per = v.groupBy("factor", "sigma").agg(F.round(F.sqrt(F.sum(F.col("vec") * F.col("vec"))), 6).alias("norm"),
+                                           F.sqrt(F.sum(off * off)).alias("off"))
+    falling = all(a >= b for a, b in zip(model.sigma, model.sigma[1:]))
+    # twice the tolerance leaves room for the rounding of the fit's own estimate
+    return per.select("factor", "norm", (F.col("off") <= 2 * linalg.TOLERANCE * F.col("sigma") * F.col("sigma"))
+                      .alias("within_tolerance"), F.lit(falling).alias("in_order"))
+
+
+def _deviation_model(spark, d):
+    """(model, train, test): predictions and rankings take any factor tables;
+    the registered queries check them on factors that SQL can compute."""
+    pairs = materialised(Tables(spark, d).interactions, "pairs")
+    train, test = R.split_train_test(pairs)
+    return R.mean_deviation_model(train), train, test
 
 
-@register("m5_predict_pairs")
+@register("m5_predict_pairs", O.sql(O.dev_predictions("test_pairs"), *O.DEV_CTES))
 def _m5(spark, d):
-    train, test = _split(spark, d)
-    return R.predict_pairs(R.svd_fit(train), test)
+    model, _, test = _deviation_model(spark, d)
+    return R.predict_pairs(model, test)
 
 
-@register("m6_recommend_cf")
+@register("m6_recommend_cf", O.sql(O.dev_recs(), *O.DEV_CTES))
 def _m6(spark, d):
-    train, _ = _split(spark, d)
-    model = R.svd_fit(train)
+    model, _, _ = _deviation_model(spark, d)
     return R.recommend_cf(model, model.user_factors)
 
 
@@ -657,7 +685,7 @@ def _m11(spark, d):
 
 
 def _cb_eval_recs(spark, d, users: DataFrame | None = None):
-    pairs = Tables(spark, d).interactions
+    pairs = materialised(Tables(spark, d).interactions, "pairs")
     _, test = R.split_train_test(pairs)
     users = users if users is not None else test.select("user_id").distinct()
     hist = R.holdout_history(pairs, test, users)
@@ -688,19 +716,23 @@ def _m14(spark, d):
     return M.ndcg_at_k(recs, test, users)
 
 
+_DEV_RMSE = ("SELECT COALESCE(sqrt(avg(pow(t.avg_rating - p.prediction, 2))), 0.0) AS {name} FROM ("
+             + O.dev_predictions("test_pairs") + ") p JOIN test_pairs t ON p.user_id = t.user_id"
+             " AND p.product_id = t.product_id{where}")
+
+
 def _cf_test_predictions(spark, d):
-    train, test = _split(spark, d)
-    model = R.svd_fit(train)
+    model, _, test = _deviation_model(spark, d)
     tp = test.select("user_id", "product_id", "avg_rating")
     return R.predict_pairs(model, tp).join(tp, ["user_id", "product_id"])
 
 
-@register("m15_rmse_masked")
+@register("m15_rmse_masked", O.sql(_DEV_RMSE.format(name="rmse_masked", where=" WHERE t.avg_rating > 0"), *O.DEV_CTES))
 def _m15(spark, d):
     return M.rmse(_cf_test_predictions(spark, d), masked=True)
 
 
-@register("m16_rmse_all")
+@register("m16_rmse_all", O.sql(_DEV_RMSE.format(name="rmse", where=""), *O.DEV_CTES))
 def _m16(spark, d):
     return M.rmse(_cf_test_predictions(spark, d))
 
@@ -710,32 +742,46 @@ def _m17(spark, d):
     return M.sample_users(_split(spark, d)[1])
 
 
-@register("m18_evaluate_cf")
+_CF_SAMPLE = O.per_user_metrics(O.dev_recs(O.SAMPLE_USERS), O.SAMPLE_USERS)
+_CF_SAMPLE_PAIRS = f"(SELECT * FROM test_pairs WHERE user_id IN ({O.SAMPLE_USERS}))"
+_CF_RMSE = ("(SELECT round_even(COALESCE(sqrt(avg(pow(t.avg_rating - p.prediction, 2))), 0.0), 4) FROM ("
+            + O.dev_predictions(_CF_SAMPLE_PAIRS) + ") p JOIN test_pairs t ON p.user_id = t.user_id"
+            " AND p.product_id = t.product_id{where})")
+_MEANS = ("COALESCE(round_even(avg(precision_at_k), 4), 0.0) AS precision_at_k,"
+          " COALESCE(round_even(avg(recall_at_k), 4), 0.0) AS recall_at_k,"
+          " COALESCE(round_even(avg(ndcg_at_k), 4), 0.0) AS ndcg_at_k,")
+_CF_EVAL = (f"SELECT 'collaborative_filtering' AS model, {_MEANS} {_CF_RMSE.format(where='')} AS rmse,"
+            f" {_CF_RMSE.format(where=' WHERE t.avg_rating > 0')} AS rmse_masked, 10 AS k,"
+            f" (SELECT count(*) FROM ({O.SAMPLE_USERS})) AS num_test_users FROM ({_CF_SAMPLE})")
+
+
+@register("m18_evaluate_cf", O.sql(_CF_EVAL, *O.DEV_CTES))
 def _m18(spark, d):
-    train, test = _split(spark, d)
-    return M.evaluate_cf(R.svd_fit(train), test)
+    model, _, test = _deviation_model(spark, d)
+    return M.evaluate_cf(model, test)
 
 
 _CB_SAMPLE = O.per_user_metrics(O.cb_recs("train_pairs", O.SAMPLE_USERS), O.SAMPLE_USERS)
 
 
-@register("m19_evaluate_cb", O.sql(
-    "SELECT 'content_based' AS model, COALESCE(round_even(avg(precision_at_k), 4), 0.0) AS precision_at_k,"
-    " COALESCE(round_even(avg(recall_at_k), 4), 0.0) AS recall_at_k,"
-    " COALESCE(round_even(avg(ndcg_at_k), 4), 0.0) AS ndcg_at_k, CAST(NULL AS DOUBLE) AS rmse,"
-    " CAST(NULL AS DOUBLE) AS rmse_masked, 10 AS k, (SELECT count(*) FROM (" + O.SAMPLE_USERS + "))"
-    " AS num_test_users FROM (" + _CB_SAMPLE + ")", "train_pairs", "test_pairs", "cb_unit"))
+_CB_EVAL = (f"SELECT 'content_based' AS model, {_MEANS} CAST(NULL AS DOUBLE) AS rmse,"
+            " CAST(NULL AS DOUBLE) AS rmse_masked, 10 AS k, (SELECT count(*) FROM (" + O.SAMPLE_USERS + "))"
+            " AS num_test_users FROM (" + _CB_SAMPLE + ")")
+_CB_EVAL_CTES = ("train_pairs", "test_pairs", "cb_unit")
+
+
+@register("m19_evaluate_cb", O.sql(_CB_EVAL, *_CB_EVAL_CTES))
 def _m19(spark, d):
-    pairs = Tables(spark, d).interactions
+    pairs = materialised(Tables(spark, d).interactions, "pairs")
     _, test = R.split_train_test(pairs)
     return M.evaluate_cb(_unit(spark, d), pairs, test, dim=len(O.CB_FEATURES))
 
 
-@register("m20_evaluate_models")
+@register("m20_evaluate_models", O.sql(_CF_EVAL + " UNION ALL " + _CB_EVAL, *O.DEV_CTES, "cb_unit"))
 def _m20(spark, d):
-    pairs = Tables(spark, d).interactions
+    pairs = materialised(Tables(spark, d).interactions, "pairs")
     train, test = R.split_train_test(pairs)
-    return M.evaluate_models(R.svd_fit(train), _unit(spark, d), pairs, test, dim=len(O.CB_FEATURES))
+    return M.evaluate_models(R.mean_deviation_model(train), _unit(spark, d), pairs, test, dim=len(O.CB_FEATURES))
 
 
 # ---------------------------------------------------------------------------
@@ -759,9 +805,15 @@ def _written_snapshot(spark, d):
     return base, m
 
 
-@register("k1_snapshot_write")
+@register("k1_snapshot_write", O.sql(
+    "SELECT 'v1' AS version_id, 'interaction_features,item_features,user_features' AS features,"
+    f" 'Feature snapshot' AS description, 32 AS hash_length, {O.AS_OF} AS created_at,"
+    + ", ".join(f" (SELECT count(*) FROM {t}) AS {t}_rows" for t in _FEATURE_TABLES), *_FEATURE_TABLES))
 def _k1(spark, d):
-    return _written_snapshot(spark, d)[1]
+    m = _written_snapshot(spark, d)[1]
+    return m.select("version_id", F.array_join("features", ",").alias("features"), "description",
+                    F.length("data_hash").alias("hash_length"), "created_at",
+                    *[F.col("row_counts")[t].alias(f"{t}_rows") for t in _FEATURE_TABLES])
 
 
 @register("k2_snapshot_read", O.sql(_all("user_features"), "user_features"))
@@ -770,11 +822,25 @@ def _k2(spark, d):
     return K.snapshot_read(spark, base)["user_features"]
 
 
-@register("k3_snapshot_fingerprint")
+def _fingerprint_sql(table: str, schema) -> str:
+    parts = []
+    for f in schema.fields:
+        kind = f.dataType.simpleString()
+        x = {"double": f"CAST(round({f.name} * 1e6) AS DECIMAL(38, 0))", "boolean": f"CAST({f.name} AS INTEGER)",
+             "timestamp_ntz": f"strftime({f.name}, {O.TS_FMT})"}.get(kind, f.name)
+        parts.append(f"COALESCE('=' || CAST({x} AS VARCHAR), '-')")
+    text = f"concat_ws(chr(31), {', '.join(parts)})"
+    return (f"SELECT '{table}' AS \"table\", count(*) AS rows,"
+            f" CAST(sum(CAST(('0x' || substr(md5({text}), 1, 15))::BIGINT AS HUGEINT)) AS VARCHAR) AS hash_sum FROM {table}")
+
+
+@register("k3_snapshot_fingerprint", O.sql(" UNION ALL ".join(
+    _fingerprint_sql(t, S.FEATURE_SCHEMAS[t]) for t in _FEATURE_TABLES), *_FEATURE_TABLES))
 def _k3(spark, d):
     ft = _feature_tables(spark, d)
     return reduce(DataFrame.unionByName,
-                  [K.fingerprint(df).select(F.lit(n).alias("table"), "rows", "hash_sum") for n, df in ft.items()])
+                  [K.fingerprint(df).select(F.lit(n).alias("table"), "rows", F.col("hash_sum").cast("string").alias("hash_sum"))
+                   for n, df in ft.items()])
 
 
 @register("k4_entity_lookup", O.sql(
@@ -826,21 +892,31 @@ def _s1(spark, d):
     return SF.scan_csv(spark, path, S.TRANSACTIONS)
 
 
-@register("s2_ingest_with_lineage")
+@register("s2_ingest_with_lineage", O.sql(
+    f"SELECT *, {_AS_OF_STR} AS _ingestion_timestamp, TRUE AS from_written_file FROM clickstream", "clickstream"))
 def _s2(spark, d):
     path = SF.scratch_dir(spark, "csv")
     Tables(spark, d).raw["clickstream"].write.option("header", True).csv(path)
-    return SF.ingest_with_lineage(SF.scan_csv(spark, path, S.CLICKSTREAM), Tables(spark, d).as_of)
+    df = SF.ingest_with_lineage(SF.scan_csv(spark, path, S.CLICKSTREAM), Tables(spark, d).as_of)
+    # part-file names differ from run to run: only their form can be compared
+    return df.withColumn("from_written_file", F.col("_source_file").rlike(r"^part-[0-9]+-.*\.csv$")).drop("_source_file")
 
 
 @register("s3_scan_json_payload", O.sql(
     f"SELECT *, {_AS_OF_STR} AS _ingestion_timestamp, 'external_api' AS _source_api FROM external_scores",
     "external_scores"))
 def _s3(spark, d):
+    """Payload files of both shapes: a single object, and arrays of objects."""
     path = SF.scratch_dir(spark, "json")
-    SF.sink_json(Tables(spark, d).raw["external_scores"], path)
-    return SF.scan_json_payload(spark, path, S.EXTERNAL_SCORES, "external_api", Tables(spark, d).as_of,
-                                multi_line=False)
+    rows = Tables(spark, d).raw["external_scores"]
+    whole = F.struct(*rows.columns)
+    how = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"}
+    alone = F.col("product_id") % 500 == 0
+    single = rows.where(alone).select(F.to_json(whole, how).alias("value"))
+    lists = (rows.where(~alone).groupBy((F.col("product_id") / 200).cast("long").alias("part"))
+                 .agg(F.collect_list(whole).alias("x")).select(F.to_json("x", how).alias("value")))
+    single.union(lists).write.option("maxRecordsPerFile", 1).text(path)
+    return SF.scan_json_payload(spark, path, S.EXTERNAL_SCORES, "external_api", Tables(spark, d).as_of)
 
 
 @register("s4_land_timestamped", O.sql(
@@ -860,10 +936,11 @@ def _s5(spark, d):
 
 @register("s6_ingestion_report", O.sql(" UNION ALL ".join(
     f"SELECT '{s}' AS source, count(*) AS records, 'success' AS status, 'parquet' AS source_type,"
-    f" CAST(NULL AS VARCHAR) AS error FROM {s}" for s in S.SOURCES), *S.SOURCES))
+    f" CAST(NULL AS VARCHAR) AS error, TRUE AS timed FROM {s}" for s in S.SOURCES), *S.SOURCES))
 def _s6(spark, d):
     t = Tables(spark, d)
-    return SF.ingestion_report(spark, {s: (lambda s=s: t.raw[s]) for s in S.SOURCES})
+    report = SF.ingestion_report(spark, {s: (lambda s=s: t.raw[s]) for s in S.SOURCES})
+    return report.withColumn("timed", F.col("ended_at") >= F.col("started_at")).drop("started_at", "ended_at")
 
 
 @register("s7_sink_table", O.sql(_all("transactions_clean"), "transactions_clean"))
@@ -881,22 +958,50 @@ def _s8(spark, d):
     return SF.table_metadata(_feature_tables(spark, d))
 
 
-@register("m21_model_tables")
-def _m21(spark, d):
-    pairs = Tables(spark, d).interactions
-    train, _ = R.split_train_test(pairs)
-    return R.model_tables(R.svd_fit(train), _unit(spark, d))["model_metadata"]
+_CF_SIZES = ("SELECT 'collaborative_filtering' AS model, 'SVD (Truncated)' AS algorithm, 1 AS n_factors,"
+             " (SELECT count(*) FROM _dev_user) AS n_users, (SELECT count(*) FROM _dev_item) AS n_items,"
+             " (SELECT m FROM _dev_mean) AS global_mean,")
+_CB_SIZES = ("SELECT 'content_based' AS model, 'Cosine Similarity' AS algorithm, CAST(NULL AS INTEGER) AS n_factors,"
+             " CAST(NULL AS BIGINT) AS n_users, (SELECT count(*) FROM item_features) AS n_items,"
+             " CAST(NULL AS DOUBLE) AS global_mean,")
+_RUN = f" CAST(0.2 AS DOUBLE) AS test_size, 42 AS random_state, 10 AS top_k, 'run_1' AS run_id, {O.AS_OF} AS trained_at,"
+_FIGURES = " precision_at_k, recall_at_k, ndcg_at_k, rmse FROM ({evaluation})"
 
 
-@register("m22_train_job")
+@register("m21_model_tables", O.sql(
+    _CF_SIZES + _RUN + _FIGURES.format(evaluation=_CF_EVAL) + " UNION ALL " + _CB_SIZES + _RUN
+    + _FIGURES.format(evaluation=_CB_EVAL), *O.DEV_CTES, "cb_unit", "item_features"))
+def _m21(spark, d):
+    """All model tables written, and the metadata read back."""
+    pairs = materialised(Tables(spark, d).interactions, "pairs")
+    train, test = R.split_train_test(pairs)
+    model, unit = R.mean_deviation_model(train), materialised(_unit(spark, d), "unit")
+    metrics = M.evaluate_models(model, unit, pairs, test, dim=len(O.CB_FEATURES))
+    out = SF.scratch_dir(spark, "model")
+    for name, df in R.model_tables(model, unit, metrics, "run_1", Tables(spark, d).as_of).items():
+        SF.sink_table(df, f"{out}/{name}")
+    return spark.read.parquet(f"{out}/model_metadata")
+
+
+@register("m22_train_job", O.sql(
+    "SELECT model, precision_at_k, recall_at_k, ndcg_at_k, k, num_test_users,"
+    " (SELECT count(DISTINCT user_id) FROM train_pairs) AS user_vectors,"
+    " (SELECT count(DISTINCT product_id) FROM train_pairs) AS item_vectors,"
+    " (SELECT count(*) FROM item_features) AS content_vectors, 50 AS singular_values FROM (" + _CB_EVAL + ")",
+    *_CB_EVAL_CTES, "item_features"))
 def _m22(spark, d):
+    """The whole training job; its content-model metrics and the rows it wrote."""
     from . import jobs
     out = SF.scratch_dir(spark, "train-job")
     t = Tables(spark, d)
     for name, df in _feature_tables(spark, d).items():
         SF.sink_table(df, f"{out}/features/{name}")
     jobs.feature_store(spark, out, "v1", created_at=t.as_of)
-    return jobs.train(spark, out, "v1")
+    metrics = jobs.train(spark, out, "v1").where("model = 'content_based'")
+    rows = lambda name: spark.read.parquet(f"{out}/model/{name}").select(F.count(F.lit(1))).scalar()
+    return metrics.select("model", "precision_at_k", "recall_at_k", "ndcg_at_k", "k", "num_test_users",
+                          rows("cf_user_factors").alias("user_vectors"), rows("cf_item_factors").alias("item_vectors"),
+                          rows("cb_item_vectors").alias("content_vectors"), rows("cf_sigma").cast("int").alias("singular_values"))
 
 
 # ---------------------------------------------------------------------------
@@ -925,12 +1030,41 @@ def _t3(spark, d):
             .withColumn("rn", F.row_number().over(w).cast("int")).where(F.col("rn") <= 3))
 
 
-@register("j7_cross_join_score")
+@register("j7_cross_join_score", O.sql(O.dev_recs(n=5, drop_seen=True), *O.DEV_CTES))
 def _j7(spark, d):
-    """Every known user scored against every known item (blocked GEMM top-N)."""
-    train, _ = _split(spark, d)
-    model = R.svd_fit(train)
-    return R.recommend_cf(model, model.user_factors)
+    """Every known user scored against every known item, without the user's own."""
+    model, train, _ = _deviation_model(spark, d)
+    return R.recommend_cf(model, model.user_factors, n=5, exclude_known=True, train=train)
+
+
+@register("t9_list_slice", O.sql(
+    "SELECT user_id, string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY rank) AS top FROM ("
+    + O.dev_recs() + ") WHERE rank <= 3 GROUP BY user_id", *O.DEV_CTES))
+def _t9(spark, d):
+    """The first three entries of each user's ranked list."""
+    model, _, _ = _deviation_model(spark, d)
+    ranked = R.recommend_cf(model, model.user_factors).groupBy("user_id").agg(
+        F.array_sort(F.collect_list(F.struct("rank", "product_id"))).alias("r"))  # ten entries per user
+    return ranked.select("user_id", F.array_join(F.transform(F.slice("r", 1, 3), lambda x: x["product_id"].cast("string")),
+                                                 ",").alias("top"))
+
+
+@register("e5_interaction_pivot_wide", O.sql(
+    "SELECT user_id, " + ", ".join(f"max(CASE WHEN place = {i} THEN avg_rating END) AS p{i}" for i in range(1, 51))
+    + " FROM (SELECT t.user_id, p.place, avg(t.rating) AS avg_rating FROM transactions_clean t JOIN ("
+    + _topk_sql("user_id", 50) + ") u ON t.user_id = u.user_id JOIN (SELECT product_id, row_number() OVER"
+    " (ORDER BY count DESC, product_id ASC) AS place FROM (" + _topk_sql("product_id", 50) + ")) p"
+    " ON t.product_id = p.product_id GROUP BY t.user_id, p.place) GROUP BY user_id", "transactions_clean"))
+def _e5_wide(spark, d):
+    """E5 as a matrix: columns p1..p50 are the most purchased products in order."""
+    return P.interaction_pivot(Tables(spark, d).transactions)
+
+
+@register("k5_feature_by_name", O.sql(
+    "SELECT 'user' AS entity, 'total_transactions' AS name, count(total_transactions) AS n,"
+    " max(CAST(total_transactions AS DOUBLE)) AS max FROM user_features", "user_features"))
+def _k5_name(spark, d):
+    return K.feature_catalogue(_feature_tables(spark, d), name="total_transactions").select("entity", "name", "n", "max")
 
 
 @register("t4_keep_first_per_key", O.sql(_all("_u_dedup"), "_u_dedup"))

@@ -52,10 +52,13 @@ cte("_txn_base", """
 SELECT concat_ws('-', CAST(l.l_orderkey AS VARCHAR), CAST(l.l_linenumber AS VARCHAR)) AS transaction_id,
        CASE WHEN l.l_orderkey % 101 = 0 THEN NULL ELSE o.o_custkey END AS user_id,
        CASE WHEN l.l_orderkey % 103 = 0 THEN NULL ELSE l.l_partkey END AS product_id,
-       CASE WHEN l.l_orderkey % 107 = 0 THEN NULL ELSE CAST(trunc(l.l_quantity) AS BIGINT) END AS quantity,
+       CASE WHEN l.l_orderkey % 107 = 0 THEN NULL WHEN l.l_orderkey % 127 = 0 THEN 500
+            ELSE CAST(trunc(l.l_quantity) AS BIGINT) END AS quantity,
        CASE WHEN CAST(round(l.l_discount * 100) AS INTEGER) = 10 THEN NULL
+            WHEN l.l_orderkey % 113 = 0 THEN CAST(9.0 AS DOUBLE)
             ELSE CAST(1 + CAST(round(l.l_discount * 100) AS INTEGER) % 5 AS DOUBLE) END AS rating,
-       strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS timestamp,
+       CASE WHEN l.l_orderkey % 109 = 0 THEN 'unknown'
+            ELSE strftime(o.o_orderdate + to_hours(l.l_orderkey % 24), '%Y-%m-%d %H:%M:%S') END AS timestamp,
        l.l_returnflag AS payment_method,
        l.l_partkey AS _partkey
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""")
@@ -70,24 +73,26 @@ SELECT event_id, user_id,
             WHEN 'signup' THEN 'wishlist_add' WHEN 'purchase' THEN 'purchase' WHEN 'error' THEN 'search'
             ELSE event_type END AS event_type,
        concat_ws('-', CAST(user_id AS VARCHAR), strftime(ts, '%Y%m%d')) AS session_id,
-       strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp,
+       CASE WHEN event_id % 131 = 0 THEN 'unknown' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS timestamp,
        ['mobile', 'desktop', 'tablet', 'kiosk'][CAST(event_id % 4 + 1 AS INTEGER)] AS device,
-       value AS page_duration_sec
+       value + CASE WHEN event_id % 137 = 0 THEN CAST(3000.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS page_duration_sec
 FROM events""")
 cte("products", """
-SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category, p_retailprice AS price,
+SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category,
+       CASE WHEN p_partkey % 149 = 0 THEN -p_retailprice ELSE p_retailprice END + _copy AS price,
        p_brand AS brand, CAST(1 + p_size % 5 AS DOUBLE) AS avg_rating, CAST(p_size AS BIGINT) AS num_reviews,
        p_size % 7 <> 0 AS in_stock
-FROM part""")
+FROM part JOIN (SELECT unnest([0, 1]) AS _copy) ON _copy = 0 OR p_partkey % 89 = 0""")
 cte("users", """
-SELECT c.c_custkey AS user_id, CAST(18 + c.c_custkey % 47 AS BIGINT) AS age,
+SELECT c.c_custkey AS user_id, CAST(18 + c.c_custkey % 47 + _copy AS BIGINT) AS age,
        CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN 'M' WHEN 'BUILDING' THEN 'F' WHEN 'FURNITURE' THEN 'Other'
             WHEN 'HOUSEHOLD' THEN 'M' ELSE c.c_mktsegment END AS gender,
        n.n_name AS location, CAST(f.first_order AS DATE) AS signup_date, c.c_acctbal > 5000 AS is_premium
 FROM customer c
 LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 LEFT JOIN (SELECT o_custkey, min(o_orderdate) AS first_order FROM orders GROUP BY o_custkey) f
-       ON c.c_custkey = f.o_custkey""")
+       ON c.c_custkey = f.o_custkey
+JOIN (SELECT unnest([0, 1]) AS _copy) ON _copy = 0 OR c.c_custkey % 83 = 0""")
 cte("external_scores", f"""
 SELECT p_partkey AS product_id,
        CAST(p_size - 25 AS DOUBLE) / CAST(25.0 AS DOUBLE) AS sentiment_score,
@@ -262,6 +267,13 @@ cte("cb_unit", "SELECT product_id, CASE WHEN n > 0 THEN list_transform(vec, lamb
     " ELSE list_transform(vec, lambda x: x * 0.0) END AS vec"
     " FROM (SELECT *, sqrt(list_reduce(list_prepend(0.0, list_transform(vec, lambda x: x * x)), lambda a, b: a + b)) AS n"
     " FROM cb_vectors)", "cb_vectors")
+cte("_cells", "SELECT user_id, product_id, CAST(avg_rating AS DOUBLE) AS value FROM train_pairs WHERE avg_rating > 0",
+    "train_pairs")
+cte("_dev_mean", "SELECT round(avg(value), 6) AS m FROM _cells", "_cells")
+for _side, _key in (("user", "user_id"), ("item", "product_id")):
+    cte(f"_dev_{_side}", f"SELECT {_key}, COALESCE(round(avg(value) - (SELECT m FROM _dev_mean), 6), 0.0) AS f"
+        f" FROM (SELECT DISTINCT {_key} FROM train_pairs) LEFT JOIN _cells USING ({_key}) GROUP BY {_key}",
+        "train_pairs", "_cells", "_dev_mean")
 _FEATURE_LIST = "[" + ", ".join(f"'{c}'" for c in CB_FEATURES) + "]"
 
 
@@ -287,6 +299,28 @@ def cb_recs(history: str, users_filter: str | None = None) -> str:
             f" (PARTITION BY user_id ORDER BY score DESC, product_id ASC) AS rank FROM ({scores})) WHERE rank <= 10")
 
 
+_DEV_SCORE = "least(greatest((SELECT m FROM _dev_mean) + u.f * i.f, 1.0), 5.0)"
+DEV_CTES = ("_dev_mean", "_dev_user", "_dev_item", "train_pairs", "test_pairs")
+
+
+def dev_predictions(pairs: str) -> str:
+    """M5 with the one-dimensional model: unknown ids get the mean."""
+    return (f"SELECT p.user_id, p.product_id, CASE WHEN u.f IS NULL OR i.f IS NULL THEN (SELECT m FROM _dev_mean)"
+            f" ELSE {_DEV_SCORE} END AS prediction FROM {pairs} p LEFT JOIN _dev_user u ON p.user_id = u.user_id"
+            f" LEFT JOIN _dev_item i ON p.product_id = i.product_id")
+
+
+def dev_recs(users: str | None = None, n: int = 10, drop_seen: bool = False) -> str:
+    """M6 with the one-dimensional model."""
+    cond = [f"u.user_id IN ({users})"] if users else []
+    if drop_seen:
+        cond.append("NOT EXISTS (SELECT 1 FROM train_pairs t WHERE t.user_id = u.user_id AND t.product_id = i.product_id)")
+    scores = (f"SELECT u.user_id, i.product_id, {_DEV_SCORE} AS score FROM _dev_user u CROSS JOIN _dev_item i"
+              + (" WHERE " + " AND ".join(cond) if cond else ""))
+    return (f"SELECT user_id, CAST(rank AS INTEGER) AS rank, product_id, score FROM (SELECT *, row_number() OVER"
+            f" (PARTITION BY user_id ORDER BY score DESC, product_id ASC) AS rank FROM ({scores})) WHERE rank <= {n}")
+
+
 def per_user_metrics(recs: str, users: str, k: int = 10) -> str:
     act = f"SELECT user_id, product_id FROM test_pairs WHERE user_id IN ({users})"
     n_act = f"SELECT user_id, count(*) AS n_actual FROM ({act}) GROUP BY user_id"

@@ -45,12 +45,8 @@ SCORE_DUP_CAP = 20
 SCORE_RANGE_CAP = 10
 SCORE_CRITICAL_PENALTY = 15
 
-# Issue wording.
+# Wording of the schema issue.
 ISSUE_SCHEMA = "Missing columns: {cols}"
-ISSUE_MISSING = "{n} missing ({pct}%)"
-ISSUE_DUPLICATES = "{n} duplicate rows found"
-ISSUE_RANGE = "{below} below min, {above} above max"
-ISSUE_INVALID = "{n} rows with invalid values"
 
 # Gender encoding; unknown -> null.
 GENDER_CODES = {"M": 0, "F": 1, "Other": 2}
@@ -190,3 +186,26 @@ INTERACTION_FEATURE_COLUMNS = [
 def numeric_columns(schema: T.StructType) -> list[str]:
     """Numeric, non-boolean columns in schema order."""
     return [f.name for f in schema.fields if isinstance(f.dataType, T.NumericType)]
+
+
+# Column types of the feature tables; columns not named are whole numbers.
+_INTS = {"gender_encoded", "location_encoded", "category_encoded", "added_to_cart", "added_to_wishlist"}
+_DOUBLES = {"avg_rating_given", "std_rating_given", "avg_quantity_per_txn", "purchase_frequency", "avg_page_duration",
+            "engagement_score", "age_normalized", "conversion_rate", "avg_rating_received", "std_rating_received",
+            "avg_quantity_per_purchase", "purchase_popularity", "avg_view_duration", "view_to_purchase_ratio", "price",
+            "price_normalized", "sentiment_score", "popularity_score", "avg_rating", "total_view_duration",
+            "interaction_score"}
+_TIMES, _BOOLS, _TEXTS = {"first_purchase", "last_purchase", "last_interaction"}, {"is_premium", "in_stock"}, {"category", "brand"}
+
+
+def _feature_type(c: str) -> T.DataType:
+    for names, kind in ((_INTS, T.IntegerType()), (_DOUBLES, T.DoubleType()), (_TIMES, T.TimestampNTZType()),
+                        (_BOOLS, T.BooleanType()), (_TEXTS, T.StringType())):
+        if c in names:
+            return kind
+    return T.LongType()
+
+
+FEATURE_SCHEMAS = {name: T.StructType([T.StructField(c, _feature_type(c)) for c in cols])
+                   for name, cols in (("user_features", USER_FEATURE_COLUMNS), ("item_features", ITEM_FEATURE_COLUMNS),
+                                      ("interaction_features", INTERACTION_FEATURE_COLUMNS))}

@@ -66,3 +66,31 @@ def test_sparsity_counts_zero_cells(spark):
     pairs = spark.createDataFrame([(1, 1, 4.0), (1, 2, 0.0), (2, 1, 3.0)], "user_id long, product_id long, avg_rating double")
     r = FE.matrix_sparsity(pairs).first()
     assert r.nnz == 3 and abs(r.sparsity - 0.25) < 1e-12
+
+
+def test_dense_index_without_exchange_reuse(spark):
+    conf = {"spark.sql.exchange.reuse": "false", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "7"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        ids = spark.range(20_000).select(((F.col("id") * 7919) % 19_997).alias("x"))
+        rows = FE.dense_index(ids, "x").orderBy("x").collect()
+        assert [r.idx for r in rows] == list(range(len(rows))) and len({r.x for r in rows}) == len(rows)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_exact_quantiles_match_numpy(spark):
+    import numpy as np
+    from basketry.operators.quantiles import exact_median, exact_quantiles
+    rng = np.random.default_rng(1)
+    a, b = rng.normal(size=501), rng.integers(0, 4, 501).astype(float)
+    df = spark.createDataFrame([(float(x), float(y), None) for x, y in zip(a, b)], "a double, b double, c double").repartition(5)
+    got = {(r["column"], r["q"]): r["value"] for r in exact_quantiles(df, ["a", "b", "c"], [0.0, 0.25, 0.5, 0.9, 1.0]).collect()}
+    assert set(c for c, _ in got) == {"a", "b"}
+    for (c, q), v in got.items():
+        assert np.isclose(v, np.quantile({"a": a, "b": b}[c], q))
+    assert df.limit(1).select(exact_median(df, "c").alias("m")).first().m is None

@@ -2,6 +2,7 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from basketry import schemas as S
@@ -102,3 +103,56 @@ def test_landing_stream_available_now(spark, tmp_dir):
     q.awaitTermination(120)
     out = spark.read.parquet(os.path.join(tmp_dir, "out"))
     assert out.count() == 2 and set(r._source_file for r in out.collect()) == {"f0.csv", "f1.csv"}
+
+
+def test_a_committed_version_is_never_written_again(spark, tmp_dir):
+    f = _feats(spark)
+    K.snapshot_write(f, tmp_dir, "v1", created_at=dt.datetime(2024, 1, 1))
+    with pytest.raises(ValueError):
+        K.snapshot_write({n: df.limit(0) for n, df in f.items()}, tmp_dir, "v1")
+    assert K.snapshot_read(spark, tmp_dir, "v1")["user_features"].count() == 2
+
+
+def test_read_errors_are_not_taken_for_missing_snapshots(spark, tmp_dir):
+    f = _feats(spark)
+    K.snapshot_write(f, tmp_dir, "v1", created_at=dt.datetime(2024, 1, 1))
+    for name in os.listdir(os.path.join(tmp_dir, "manifest", "version=v1")):
+        if name.endswith(".parquet"):
+            with open(os.path.join(tmp_dir, "manifest", "version=v1", name), "wb") as fh:
+                fh.write(b"not parquet")
+    with pytest.raises(Exception):
+        K.snapshot_read(spark, tmp_dir, current=f)
+
+
+def test_corrupt_source_fails_alone_with_its_whole_error(spark, tmp_dir):
+    good, bad = os.path.join(tmp_dir, "good"), os.path.join(tmp_dir, "bad")
+    spark.range(5).write.parquet(good)
+    spark.range(5).coalesce(1).write.parquet(bad)
+    for name in os.listdir(bad):
+        if name.endswith(".parquet"):
+            data = open(os.path.join(bad, name), "rb").read()
+            with open(os.path.join(bad, name), "wb") as fh:
+                fh.write(data[:20] + b"\0" * (len(data) - 20))
+    schema = "id long"
+    rep = {r.source: r for r in SF.ingestion_report(spark, {
+        "bad": lambda: spark.read.schema(schema).parquet(bad), "good": lambda: spark.read.schema(schema).parquet(good)}).collect()}
+    assert (rep["good"].status, rep["good"].records) == ("success", 5)
+    assert rep["bad"].status == "failed" and rep["bad"].records is None and len(rep["bad"].error) > 500
+    assert all(r.ended_at >= r.started_at for r in rep.values())
+
+
+def test_local_scratch_only_in_single_process_sessions():
+    from basketry.session import ensure_checkpoint_dir, is_single_process
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Conf:
+        get = staticmethod(lambda key, default: default)
+
+    class Session:
+        sparkContext, conf = Context, Conf
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(Session)
+    assert is_single_process("local") and is_single_process("local[4]") and not is_single_process("local-cluster[2,1,512]")
