@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from . import chat, decontam, embeddings, langid, packing, sharding, simhash, tokencount, tokenfile, warc
 from .common import fresh_path, written
+from .oracle import ORACLE  # noqa: F401 - registered with the queries
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(fn):
