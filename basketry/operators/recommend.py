@@ -165,10 +165,11 @@ def cb_feature_select(item_features: DataFrame) -> list[str]:
 def cb_vectorise(item_features: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """M8: (product_id, vec) with nulls -> 0 and each column min-max scaled
     to [0, 1]; a constant column scales to 0.  All minima/maxima come from
-    one aggregate attached as a scalar subquery."""
+    one aggregate over the written numbers."""
     cols = cols or cb_feature_select(item_features)
     filled = item_features.select("product_id", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
                                                   for c in cols])
+    filled = materialised(filled, "item-numbers")  # read twice below
     # fitting the scaler: one aggregate (partial per partition, one row out);
     # the 2·d bounds are then literals of the projection
     st = filled.agg(*[F.min(c).alias(f"lo_{i}") for i, c in enumerate(cols)],
