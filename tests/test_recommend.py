@@ -159,10 +159,10 @@ def test_block_products_sums_and_inner_products(spark):
     y = linalg.product(tiled, z, 3)
     assert np.allclose(table(y, rows, "u", 3), (a @ zm)[used])
     assert np.allclose(table(linalg.product(tiled, y, 3, transpose=True), cols, "p", 3), a.T @ a @ zm)
-    m1, m2 = rng.random((3, 2)), rng.random((3, 2))
-    assert np.allclose(table(linalg.combine([(z, m1), (z, m2)]), cols, "p", 2), zm @ (m1 + m2))
-    (g,) = linalg.inner_products([(z, 3)], z, 3)
-    assert np.allclose(g, zm.T @ zm)
+    state = z.withColumnRenamed("data", "x").join(z.withColumnRenamed("data", "q"), "blk")
+    m = rng.random((3, 2))
+    assert np.allclose(table(linalg.each_block(state, 3, 3, lambda q, x: x @ m - q @ (2 * m)), cols, "p", 2), -zm @ m)
+    assert np.allclose(linalg.small_sum(state, 3, 3, 3, lambda q, x: q.T @ x), zm.T @ zm)
 
 
 def test_recommend_cf_exclude_known(spark):
