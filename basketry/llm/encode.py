@@ -15,7 +15,8 @@ import re
 import unicodedata
 from array import array
 
-CACHE = 400_000
+#: Chunks in each half of the cache.
+CACHE = 200_000
 
 _SPACE_RUN = re.compile(r" (?=\s|$)")
 _CUT = re.compile(r" (?=\S)")
@@ -51,6 +52,7 @@ class Encoder:
             rule + (r"\p{L}+|\p{N}|[^\s\p{L}\p{N}]+" if self.words
                     else r" ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"))
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def pretokens(self, chunk: str) -> list[str]:
         if self.words:
@@ -58,33 +60,45 @@ class Encoder:
         return self.split.findall(chunk)
 
     def _pretoken(self, token: str) -> bytes:
-        letters = token if token.isalpha() and token.isascii() else \
-            token.encode("utf-8").decode("latin-1").translate(self.letters)
+        if token.isascii():
+            letters = token if token.isalpha() else token.translate(self.letters)
+        else:
+            letters = token.encode("utf-8").decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def _encode(self, chunk: str) -> bytes:
-        """Ids of a chunk that is not in the cache; its pre-tokens may be."""
-        cache = self.cache
-        if len(cache) >= CACHE:
-            cache.clear()
-        tokens = self.pretokens(chunk)
-        parts = []
-        for t in tokens:
-            ids = cache.get(t)
-            if ids is None:
-                ids = cache[t] = self._pretoken(t)
-            parts.append(ids)
-        out = cache[chunk] = b"".join(parts) if len(parts) != 1 else parts[0]
+        """Ids of a chunk that the young half of the cache does not hold."""
+        out = self.old.get(chunk)
+        if out is None:
+            if self.words and not chunk.islower():
+                tokens = self.pretokens(chunk)
+            elif chunk.isascii() and (chunk.isalpha() or not self.words and chunk[1:].isalpha() and chunk[0] == " "):
+                tokens = [chunk]
+            else:
+                tokens = self.pretokens(chunk)
+            if len(tokens) == 1:
+                out = self._pretoken(tokens[0]) if tokens[0] == chunk else self._known(tokens[0])
+            else:
+                out = b"".join([self._known(t) for t in tokens])
+        self._keep(chunk, out)
         return out
 
-    def count(self, token: str) -> int:
-        """Tokens of one pre-token of a byte vocabulary."""
+    def _known(self, token: str) -> bytes:
+        """Ids of one pre-token, through the cache."""
         ids = self.cache.get(token)
         if ids is None:
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
-            ids = self.cache[token] = self._pretoken(token)
-        return len(ids) // 4
+            ids = self.old.get(token)
+            self._keep(token, ids := self._pretoken(token) if ids is None else ids)
+        return ids
+
+    def _keep(self, chunk: str, ids: bytes) -> None:
+        if len(self.cache) >= CACHE:  # what was not asked for since the last turn is forgotten
+            self.old, self.cache = self.cache, {}
+        self.cache[chunk] = ids
+
+    def count(self, token: str) -> int:
+        """Tokens of one pre-token of a byte vocabulary."""
+        return len(self.cache.get(token) or self._known(token)) // 4
 
     def chunks(self, text: str) -> list[str]:
         if self.words:

@@ -34,7 +34,7 @@ LEXICON_DOCS = 5
 EPOCHS = 3
 CHAIN = 64
 BLOCK = 64
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 19
 #: Hash bits of the 2-, 3- and 4-byte n-gram tables and of the lexicon table.
 BITS = {2: 16, 3: 17, 4: 18}
 LEX_BITS = 17
@@ -99,6 +99,15 @@ def featurize(texts: list[bytes]) -> Words:
     return Words(doc, grams, hashes)
 
 
+def _together(parts: list[Words], texts: int) -> Words:
+    """The words of lists of ``texts`` texts each as of one list."""
+    first = np.cumsum([0, *[len(p.hashes) for p in parts]]).astype(np.int32)
+    return Words(np.concatenate([p.doc + texts * i for i, p in enumerate(parts)]),
+                 [(np.concatenate([p.grams[k][0] for p in parts]),
+                   np.concatenate([p.grams[k][1] + f for p, f in zip(parts, first)])) for k in range(len(BITS))],
+                 np.concatenate([p.hashes for p in parts]))
+
+
 def _lex_slot(hashes: np.ndarray) -> np.ndarray:
     return ((hashes * _P) >> np.uint64(64 - LEX_BITS)).astype(np.int64)
 
@@ -185,7 +194,7 @@ def fit(texts: list[str], langs: list[str], epochs: int = EPOCHS, seed: int = 7)
     labels = sorted(set(langs))
     k = len(labels)
     rng = np.random.default_rng(seed)
-    words = featurize([_plain(t) for t in texts])
+    words = _together([featurize([_plain(t) for t in texts[i:i + 100]]) for i in range(0, max(1, len(texts)), 100)], 100)
     gold_doc = np.array([labels.index(x) for x in langs], np.int64)
     gold = gold_doc[words.doc] if len(words.doc) else np.empty(0, np.int64)
     model = Model(labels, [np.zeros((1 << b, k), np.float32) for b in BITS.values()],
@@ -208,7 +217,8 @@ def fit(texts: list[str], langs: list[str], epochs: int = EPOCHS, seed: int = 7)
         if cuts else np.empty(0, np.int64)
     chains = stream[:len(stream) // CHAIN * CHAIN].reshape(-1, CHAIN) if len(stream) >= CHAIN else \
         np.empty((0, CHAIN), np.int64)
-    first = [np.searchsorted(owner, np.arange(len(gold) + 1)) for _, owner in words.grams]
+    first = [np.searchsorted(owner, np.arange(len(gold) + 1)).astype(np.int32) for _, owner in words.grams]
+    words.grams = [(row, None) for row, _ in words.grams]  # the starts stand for the owners
     lex_slot = _lex_slot(words.hashes)
     lex_hit = model.lex_hash[lex_slot] == words.hashes
     tables = [*model.tables, model.lex]
@@ -298,8 +308,12 @@ def training_sample(docs: DataFrame, lang: str = "lang", text: str = "text", lim
     """At most ``limit`` distinct texts per language value, smallest hash first."""
     rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
-    few = (rows.groupBy("lang", "h").count()
-           .withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("h")))
+    distinct = rows.groupBy("lang", "h").count()
+    # about twice the limit by a share of the hash range, then exactly the smallest
+    share = distinct.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(2.0 * limit) / F.count("*")).alias("share"))
+    place = (F.pmod("h", F.lit(1 << 53)) / F.lit(float(1 << 53))).alias("place")
+    few = (distinct.select("lang", "h", place).join(share, "lang").filter(F.col("place") <= F.col("share"))
+           .withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("place", "h")))
            .filter(F.col("r") <= limit).select("lang", "h"))  # bounded by limit and the number of languages
     return rows.join(F.broadcast(few), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
 
