@@ -64,6 +64,15 @@ def numbered(df: DataFrame, order: list[str], name: str) -> tuple[DataFrame, int
     return rows, int(total)
 
 
+def hash_sample(df: DataFrame, key, rows: int) -> DataFrame:
+    """About ``rows`` rows, never more: those whose key's hash lies in the
+    matching share of its range.  For samples that are sent to the driver."""
+    n = df.count()
+    share = min(1.0, rows / max(1, n))
+    low = F.pmod(F.xxhash64(key), F.lit(1 << 53)) < F.lit(int(share * (1 << 53)) + 1)
+    return df.filter(low).limit(rows)
+
+
 def components(edges: DataFrame, a: str, b: str, name: str) -> DataFrame:
     """Connected components of an undirected edge list: ``node, component``
     (the smallest node reachable) for every node that has an edge.
@@ -77,7 +86,7 @@ def components(edges: DataFrame, a: str, b: str, name: str) -> DataFrame:
     seen = None
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (both.filter("v > u").join(low, "u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct())
         large = written(large, name)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, written
+from .common import components, hash_sample, written
 
 SAMPLE = 20_000
 ROTATIONS = 3
@@ -99,7 +99,7 @@ def find_links(classes: DataFrame, dim: int, threshold: float, sample: int = SAM
     """``kind`` 0: (class a, number of other vectors in linked classes b);
     ``kind`` 1: an edge a - b of a star.  ``classes``: ``cls, n, v``."""
     spark = classes.sparkSession
-    few = classes.orderBy(F.xxhash64("v"), "cls").limit(sample).select("v").toArrow()  # bounded by ``sample``
+    few = hash_sample(classes.select("v"), F.col("v"), sample).toArrow()
     model = spark.sparkContext.broadcast(
         (*learn_rotations(_unit(few["v"].combine_chunks(), dim)), key_width(classes.count())))
 

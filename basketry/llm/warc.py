@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_path, open_fs, written
+from .common import fresh_path, hash_sample, open_fs, written
 
 SKIPPABLE = (0x184D2A5D).to_bytes(4, "little")
 REVISIT_BYTES = 1000
@@ -175,8 +175,9 @@ def learn_dictionary(pages: DataFrame) -> bytes:
     """A dictionary from a bounded sample of pages (empty if they are too few
     or too small to learn from)."""
     import zstandard
-    few = (pages.filter(F.length("html") > 0).orderBy(F.xxhash64("page_id")).limit(SAMPLE_PAGES)
-           .select(F.substring(F.col("html").cast("binary"), 1, SAMPLE_BYTES).alias("b")).collect())
+    heads = pages.filter(F.length("html") > 0).select(
+        "page_id", F.substring(F.col("html").cast("binary"), 1, SAMPLE_BYTES).alias("b"))
+    few = hash_sample(heads, F.col("page_id"), SAMPLE_PAGES).collect()
     try:
         return zstandard.train_dictionary(DICT_BYTES, [bytes(r["b"]) for r in few]).as_bytes()
     except zstandard.ZstdError:
