@@ -121,7 +121,7 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         cell = np.r_[cell, batch["cell"].to_numpy(np.int64)]
         fp = np.r_[fp, batch["fp"].to_numpy(np.int64)]
-        last = np.searchsorted(cell, cell[-1])
+        last = np.searchsorted(cell, cell[-1]) if len(cell) else 0
         if last:
             yield links(cell[:last], fp[:last])
             cell, fp = cell[last:], fp[last:]
