@@ -1,13 +1,17 @@
 """Embedding near-duplicates by iterative quantisation (ITQ).
 
 A rotation is learned on a bounded sample so that the signs of the rotated,
-centred vectors are balanced codes; a few rotations from different starts give
-``ROTATIONS`` codes each as long as the vector.  Codes are cut into keys, one
-hash table per key (multi-index Hamming look-up: codes that differ in fewer
-bits than there are tables agree in one key at least).  Every vector is put
-into all tables; vectors that share a bucket are compared by the cosine of
-their original values in double precision, and a pair counts in the first
-table that brings it together only.
+centred vectors are balanced codes; rotations from different starts give codes
+each as long as the vector.  Codes are cut into keys, one hash table per key
+(multi-index Hamming look-up: codes that differ in fewer bits than there are
+tables agree in one key at least).  Keys get longer as the table grows, so the
+number of rotations is not fixed: from ``ROTATIONS`` on they are added until
+``RECALL`` of made-up neighbours of the sample, at a cosine of exactly the
+threshold, share a key; where ``MOST_BITS`` of code do not reach that, keys
+get shorter.  The neighbours are of vectors that the rotations have not seen,
+unless the sample is the whole table.  Every vector is put into all tables; vectors that share a bucket
+are compared by the cosine of their original values in double precision, and
+a pair counts in the first table that brings it together only.
 
 Equal vectors form one class before all this.  Buckets over ``BLOCK`` rows are
 cut into blocks, and each pair of blocks is one cell, so a cell never holds
@@ -35,7 +39,13 @@ from pyspark.sql import functions as F
 from .common import components, hash_sample, written
 
 SAMPLE = 20_000
+#: Rotations at least and at most, and bits of all codes of a vector at most.
 ROTATIONS = 3
+MOST_ROTATIONS = 128
+MOST_BITS = 4096
+#: Share of the pairs at exactly the threshold that must meet in a table.
+RECALL = 0.999
+PROBES = 20_000
 ITERATIONS = 40
 BLOCK = 1024
 #: Cells of up to so many rows are compared row against shifted row, all together.
@@ -70,11 +80,48 @@ def key_width(n: int) -> int:
 def table_keys(unit: np.ndarray, mean: np.ndarray, rotation: np.ndarray, width: int) -> np.ndarray:
     """One key per table and row: consecutive, disjoint bits of the codes."""
     bits = (unit - mean) @ rotation >= 0
+    if not width:  # one table with one bucket
+        return np.zeros((len(unit), 1), np.int64)
     tables = bits.shape[1] // width
     weights = 1 << np.arange(width, dtype=np.int64)
     return bits[:, :tables * width].reshape(len(unit), tables, width) @ weights
 
 
+def neighbours(sample: np.ndarray, threshold: float, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors of the sample, each next to one at a cosine of
+    ``threshold`` in a random direction."""
+    dim = sample.shape[1]
+    n = min(PROBES, max(PROBES // 10, (1 << 21) // dim)) if len(sample) else 0
+    a = sample[np.arange(n) % max(1, len(sample))]
+    away = np.random.default_rng(seed).standard_normal(a.shape)
+    away -= (away * a).sum(axis=1, keepdims=True) * a
+    away /= np.maximum(np.linalg.norm(away, axis=1, keepdims=True), 1e-9)
+    cos = min(1.0, max(-1.0, threshold)) if dim > 1 else 1.0
+    return a, cos * a + math.sqrt(1 - cos * cos) * away
+
+
+def learn_tables(sample: np.ndarray, n: int, threshold: float) -> tuple[np.ndarray, np.ndarray, int]:
+    """(mean, rotations, key width) for ``n`` vectors: as many rotations as the
+    width needs for ``RECALL`` at the threshold."""
+    kept = np.arange(len(sample)) % 5 == 0 if n > len(sample) > 5 else np.zeros(len(sample), bool)
+    pairs = neighbours(sample[kept] if kept.any() else sample, threshold)
+    sample = sample[~kept]
+    mean, learned = learn_rotations(sample)
+    dim, least = len(mean), learned.shape[1] // len(mean)
+    most = max(least, min(MOST_ROTATIONS, MOST_BITS // dim))
+    for width in range(key_width(n), -1, -1):
+        a, b = pairs
+        for k in range(least, most + 1):
+            if learned.shape[1] < k * dim:
+                learned = np.hstack([learned, learn_rotations(sample, 1, seed=10 + k)[1]])
+            rotation = learned[:, :k * dim]
+            apart = (table_keys(a, mean, rotation, width) != table_keys(b, mean, rotation, width)).all(axis=1)
+            a, b = a[apart], b[apart]
+            if len(a) <= (1 - RECALL) * len(pairs[0]):
+                return mean, rotation, width
+    raise AssertionError("without keys all pairs meet")
+
+
 def _unit(column: pa.Array, dim: int) -> np.ndarray:
     """Unit vectors in double precision of a list column without nulls."""
     x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
@@ -101,7 +148,7 @@ def find_links(classes: DataFrame, dim: int, threshold: float, sample: int = SAM
     spark = classes.sparkSession
     few = hash_sample(classes.select("v"), F.col("v"), sample).toArrow()
     model = spark.sparkContext.broadcast(
-        (*learn_rotations(_unit(few["v"].combine_chunks(), dim)), key_width(classes.count())))
+        learn_tables(_unit(few["v"].combine_chunks(), dim), classes.count(), threshold))
 
     def add_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mean, rotation, width = model.value

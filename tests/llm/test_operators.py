@@ -586,6 +586,33 @@ def test_embedding_links_match_brute_force(spark, monkeypatch, block):
     assert sorted(got) == brute_links(rows)
 
 
+@pytest.mark.parametrize("width", [17, 20, 24])
+def test_long_keys_find_pairs_at_the_threshold(monkeypatch, width):
+    """Production parameters, keys as long as on tables of millions of rows."""
+    monkeypatch.setattr(embeddings, "KEY_BITS", (width, width))
+    rng = np.random.default_rng(6)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    sample, a = (unit(rng.normal(size=(embeddings.SAMPLE, 64))) for _ in range(2))
+    away = rng.normal(size=a.shape)
+    away = unit(away - (away * a).sum(axis=1, keepdims=True) * a)
+    b = 0.951 * a + np.sqrt(1 - 0.951 ** 2) * away
+    mean, rotation, used = embeddings.learn_tables(sample, 1 << (width + 4), 0.95)
+    ka, kb = (embeddings.table_keys(x, mean, rotation, used) for x in (a, b))
+    recall = (ka == kb).any(axis=1).mean()
+    assert used == width and recall >= 0.998
+
+
+@pytest.mark.parametrize("dim", [1, 2, 3])
+def test_short_vectors_have_tables(dim):
+    rng = np.random.default_rng(7)
+    sample = rng.normal(size=(300, dim))
+    sample /= np.linalg.norm(sample, axis=1, keepdims=True)
+    mean, rotation, width = embeddings.learn_tables(sample, len(sample), 0.95)
+    keys = embeddings.table_keys(sample, mean, rotation, width)
+    near = sample @ sample.T >= 0.95
+    assert (keys[:, None] == keys[None]).any(axis=2)[near].mean() >= 0.998
+
+
 def test_embeddings_without_usable_vectors(spark):
     df = spark.createDataFrame([(1, None), (2, [])], "vec_id long, embedding array<float>")
     assert sorted(plain_rows(embeddings.near_duplicates(df))) == [(1, 0, 1, True), (2, 0, 2, True)]
