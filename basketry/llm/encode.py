@@ -1,6 +1,8 @@
 """Tokenizer helpers used inside tasks: the public vocabulary files through
 the ``tokenizers`` library, with a bounded cache of encoded chunks.
 
+A text is first split at the file's added tokens, which stand for their own
+ids, as the library does by default; what follows holds for the parts between.
 Both vocabularies split a text before any merge, so a text can be cut into
 chunks whose ids do not depend on each other, and repeated chunks are encoded
 once per worker.  ``byte`` texts are cut before each single space that a
@@ -14,6 +16,7 @@ import os
 import re
 import unicodedata
 from array import array
+from collections.abc import Iterator
 
 #: Chunks in each half of the cache.
 CACHE = 200_000
@@ -42,7 +45,14 @@ class Encoder:
             import public_tokenizers
             path = public_tokenizers.path(name)
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added.values()):
+            raise ValueError("added tokens must match as they are")
+        self.added = {t.content: array("I", [i]).tobytes() for i, t in added.items()}
+        #: characters of the longest added token
+        self.longest = max(map(len, self.added), default=0)
+        self.at_added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") \
+            if added else None
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         # word vocabularies normalise first; byte vocabularies have no normalizer
@@ -100,6 +110,25 @@ class Encoder:
         """Tokens of one pre-token of a byte vocabulary."""
         return len(self.cache.get(token) or self._known(token)) // 4
 
+    def parts(self, text: str) -> list[str]:
+        """Text and added token in turn, from text to text (which may be empty)."""
+        for token in self.added:
+            if token in text:
+                return self.at_added.split(text)
+        return [text]
+
+    def borders(self, text: str, first: int = 0) -> Iterator[tuple[int, int, int]]:
+        """(first character, end, tokens) of each pre-token and added token of a
+        byte vocabulary, from a border on."""
+        for k, part in enumerate(self.parts(text[first:])):
+            end = first + len(part)
+            if k % 2:
+                yield first, end, 1
+            else:  # the pattern must not see what follows the part
+                for m in self.split.finditer(text, first, end):
+                    yield m.start(), m.end(), self.count(m.group())
+            first = end
+
     def chunks(self, text: str) -> list[str]:
         if self.words:
             return text.replace("\n", " ").split(" ")
@@ -111,6 +140,13 @@ class Encoder:
         """Ids of the text, as little-endian unsigned 32-bit bytes."""
         if not text:
             return b""
+        parts = self.parts(text)
+        if len(parts) > 1:
+            return b"".join([self.added[p] if k % 2 else self._plain(p) for k, p in enumerate(parts) if p])
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
         get, encode = self.cache.get, self._encode
         return b"".join([x if (x := get(c)) is not None else encode(c) for c in self.chunks(text)])
 

@@ -1,6 +1,7 @@
 """Edit-aware token counts: a segment tree of pre-token blocks per document.
 
-Pre-tokens are encoded independently of each other, so a document's token
+Pre-tokens are encoded independently of each other (an added token of the
+vocabulary file is a pre-token of its own, with one id), so a document's token
 count is the sum over its pre-tokens.  A document's state is a segment tree
 whose leaves are blocks of ``LEAF`` consecutive pre-tokens with their length in
 characters and their tokens; inner nodes hold the sums.  An edit (start,
@@ -31,8 +32,9 @@ from pyspark.sql import types as T
 from .encode import Encoder, encoder
 
 LEAF = 32
-#: A border that lies this many characters before an edit cannot move: the
-#: longest look-ahead of the pre-token pattern is two characters.
+#: A border that lies this many characters, and the longest added token's,
+#: before an edit cannot move: the longest look-ahead of the pre-token pattern
+#: is two characters, and an edit may complete or break an added token.
 CONTEXT = 3
 
 STATE = "text string, tree_chars array<int>, tree_tokens array<int>, n_tokens long, n_encoded long, n_edits long"
@@ -56,8 +58,12 @@ class CountTree:
     def _scan(self, text: str) -> list[tuple[int, int]]:
         """(characters, tokens) of each pre-token."""
         out = []
-        for t in self.code.split.findall(text):
-            out.append((len(t), self.code.count(t)))
+        for k, part in enumerate(self.code.parts(text)):
+            if k % 2:
+                out.append((len(part), 1))
+                continue
+            for t in self.code.split.findall(part):
+                out.append((len(t), self.code.count(t)))
         self.encoded += len(out)
         return out
 
@@ -100,18 +106,18 @@ class CountTree:
         if not old:
             self._build(self._blocks(self._scan(self.text)))
             return
-        low, first = self._find(max(0, start - CONTEXT))
+        low, first = self._find(max(0, start - CONTEXT - self.code.longest))
         high, _ = self._find(start + length)
         shift = len(new) - length
         # go on until a pre-token ends where, moved by the shift, an old block at or after ``high`` ends
         pairs, leaf, end = [], low, first + self.chars[self.half + low]
         last = self.half - 1
-        for m in self.code.split.finditer(self.text, first):
-            pairs.append((m.end() - m.start(), self.code.count(m.group())))
-            while leaf < self.half - 1 and (leaf < high or end + shift < m.end()):
+        for begin, stop, count in self.code.borders(self.text, first):
+            pairs.append((stop - begin, count))
+            while leaf < self.half - 1 and (leaf < high or end + shift < stop):
                 leaf += 1
                 end += self.chars[self.half + leaf]
-            if leaf >= high and end + shift == m.end() >= start + len(new):
+            if leaf >= high and end + shift == stop >= start + len(new):
                 last = leaf
                 break
         self.encoded += len(pairs)

@@ -430,6 +430,32 @@ def test_encoder_equals_library(name):
         assert np.frombuffer(code.ids(t), "<u4").tolist() == want, repr(t)
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_added_tokens_as_the_library_reads_them(name):
+    import public_tokenizers
+    import tokenizers
+    library, code = tokenizers.Tokenizer.from_file(public_tokenizers.path(name)), Encoder(name)
+    rng = np.random.default_rng(3)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|endoftext|", "|>", "<|ENDOFTEXT|>", "a", " ", "  ", "\n", "'", "é", "́", "Σ", "!"]
+    texts = ["end <|endoftext|> next", "<|endoftext|>", "a  <|endoftext|>  b", *("".join(rng.choice(parts, 25)) for _ in range(300))]
+    for t in texts:
+        assert np.frombuffer(code.ids(t), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_edits_make_and_break_added_tokens(byte_code):
+    import public_tokenizers
+    import tokenizers
+    library = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = np.random.default_rng(5)
+    parts = ["<|endoftext|>", "<|endof", "text|>", "<|", "|>", ">", "end", "a ", "  ", "!!", "\n"]
+    for _ in range(150):
+        tree = tokencount.CountTree("".join(rng.choice(parts, 200)), byte_code)
+        for _ in range(8):
+            at = int(rng.integers(0, len(tree.text) + 1))
+            tree.edit(at, int(rng.choice([0, 1, 2, 9])), "".join(rng.choice(parts, rng.integers(0, 3))))
+            assert tree.total == len(library.encode(tree.text, add_special_tokens=False).ids)
+
+
 def test_edited_trees_equal_full_encoding(byte_code):
     rng = np.random.default_rng(4)
     parts = ["a", "b", " ", "  ", "\n", "'", "'re", "'s", "1", "é", "日", "!", " the", "\t", "x y z", "word " * 300]
