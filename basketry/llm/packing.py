@@ -166,7 +166,8 @@ def pack(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", capacity: int =
     if capacity % step:
         raise ValueError("capacity must be a multiple of step")
     spark = docs.sparkSession
-    pieces = written(cut_pieces(docs, vocabulary, capacity, step, end_id, with_ids), "pack-pieces")
+    pieces = written(cut_pieces(docs, vocabulary, capacity, step, end_id, with_ids), "pack-pieces",
+                     compression="zstd" if with_ids else None)
     counts = pieces.groupBy("class", "part").agg(F.count("*").alias("n"))
     demand = {r[0]: r[1] for r in counts.groupBy("class").agg(F.sum("n")).collect()}  # at most capacity/step rows
     before = W.partitionBy("class").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
@@ -175,7 +176,8 @@ def pack(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", capacity: int =
         rank_ranges(plan_patterns(demand, capacity // step)),
         "class int, low long, high long, per long, first_sequence long, slot long")
     at = F.col("rank") - F.col("low")
-    ranked = pieces.join(offsets, ["class", "part"]).withColumn("rank", F.col("before") + F.col("nth"))
+    # at most capacity/step rows per input task, so the ids are not shuffled for it
+    ranked = pieces.join(F.broadcast(offsets), ["class", "part"]).withColumn("rank", F.col("before") + F.col("nth"))
     placed = (ranked.join(F.broadcast(places), ["class"]).filter("rank >= low and rank < high")
               .withColumn("sequence_id", F.col("first_sequence") + F.floor(at / F.col("per")))
               .withColumn("slot", F.col("slot") + at % F.col("per")))
@@ -185,14 +187,40 @@ def pack(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", capacity: int =
                          *(["ids"] if with_ids else []))
 
 
-def sequences(packed: DataFrame, capacity: int = CAPACITY, pad_id: int = 0) -> DataFrame:
+def sequences(packed: DataFrame, capacity: int = CAPACITY, pad_id: int = 0, with_pieces: bool = False) -> DataFrame:
     """The token rows of ``pack(..., with_ids=True)``: ``sequence_id,
     n_tokens, ids`` (binary), padded to the capacity unless the length is a
-    power of two."""
+    power of two (and ``pieces``, the documents' places in it, if asked for)."""
+    place = ["doc_id", "start", "length", "doc_tokens"] if with_pieces else []
     rows = packed.groupBy("sequence_id").agg(
         F.sum("length").alias("n_tokens"),
-        F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("p"))
+        F.array_sort(F.collect_list(F.struct("offset", "ids", *place))).alias("p"))
     ids = F.reduce(F.col("p.ids"), F.lit(b""), lambda a, b: F.concat(a, b))
     power = F.col("n_tokens").bitwiseAND(F.col("n_tokens") - 1) == 0
     pad = F.unhex(F.repeat(F.lit(pad_id.to_bytes(4, "little").hex()), (F.lit(capacity) - F.col("n_tokens")).cast("int")))
-    return rows.select("sequence_id", "n_tokens", F.when(power, ids).otherwise(F.concat(ids, pad)).alias("ids"))
+    pieces = F.transform("p", lambda p: F.struct(p["offset"].alias("offset"), *[p[c].alias(c) for c in place]))
+    return rows.select("sequence_id", "n_tokens", F.when(power, ids).otherwise(F.concat(ids, pad)).alias("ids"),
+                       *([pieces.alias("pieces")] if with_pieces else []))
+
+
+def read_pieces(rows: DataFrame, with_ids: bool = False) -> DataFrame:
+    """The pieces cut out of token rows ``sequences(..., with_pieces=True)``, with
+    length and CRC-32 of the ids found there: the columns of ``pack``."""
+    def cut(p):
+        return F.substring(F.col("ids"), (p["offset"] * 4 + 1).cast("int"), (p["length"] * 4).cast("int"))
+    found = F.transform("pieces", lambda p: F.struct(
+        p["doc_id"].alias("doc_id"), p["start"].alias("start"), p["doc_tokens"].alias("doc_tokens"),
+        p["offset"].alias("offset"), cut(p).alias("ids")))
+    return rows.select("sequence_id", F.explode(found).alias("p")).select(
+        "p.doc_id", "p.start", (F.octet_length("p.ids") / 4).cast("long").alias("length"),
+        F.crc32("p.ids").alias("ids_crc32"), "p.doc_tokens", "sequence_id", "p.offset", *(["p.ids"] if with_ids else []))
+
+
+def pack_and_read(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", capacity: int = CAPACITY, end_id: int = 0,
+                  with_ids: bool = False) -> DataFrame:
+    """Packs, writes the padded token rows to the shared folder, and returns
+    the pieces as read from them."""
+    packed = pack(docs, vocabulary, capacity, end_id=end_id, with_ids=True)
+    rows = written(sequences(packed, capacity, pad_id=end_id, with_pieces=True), "pack-sequences",
+                   compression="zstd")
+    return read_pieces(rows, with_ids)

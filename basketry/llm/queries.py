@@ -82,8 +82,8 @@ def op7_edit_counts(spark, sf_dir):
 
 @query
 def op8_pack_sequences(spark, sf_dir):
-    """All documents packed into sequences of 1024 ids."""
-    return packing.pack(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", capacity=1024, end_id=0)
+    """All documents packed into written sequences of 1024 ids, and read from them."""
+    return packing.pack_and_read(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", capacity=1024, end_id=0)
 
 
 @query

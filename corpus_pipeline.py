@@ -38,8 +38,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of 1024 ids."""
-    return packing.pack(docs, "byte_bpe_50k.json", capacity=1024, end_id=0)
+    """Pieces of the documents with their ids, read from written sequences of 1024 ids."""
+    return packing.pack_and_read(docs, "byte_bpe_50k.json", capacity=1024, end_id=0, with_ids=True)
 
 
 STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("decontaminate", decontaminate),

@@ -518,6 +518,28 @@ def test_packing_places_every_id_once(spark, byte_code):
     assert packing.pack(d.limit(0)).count() == 0
 
 
+def test_pieces_are_read_from_written_token_rows(spark, byte_code, monkeypatch):
+    texts = [None, "", LONG, "a <|endoftext|> b", *[f"text {i} " * (i % 90) for i in range(120)]]
+    d = docs_of(spark, texts, ids=[None, *range(1, len(texts))])
+    want = packing.pack(d).collect()
+    got = packing.pack_and_read(d, with_ids=True)
+    assert got.columns == [*packing.pack(d).columns, "ids"]
+    assert sorted(map(repr, plain_rows(got.drop("ids")))) == sorted(repr(tuple(r)) for r in want)
+    by_doc = collections.defaultdict(bytes)
+    for r in sorted(got.collect(), key=lambda r: r["start"]):
+        by_doc[r["doc_id"]] += bytes(r["ids"])
+    assert all(by_doc[i or None] == byte_code.ids(t) + b"\0\0\0\0" for i, t in enumerate(texts))
+    # the registered query reads what was written: other rows there give other digests
+    def spoiled(df, name, **options):
+        out = common.written(df, name, **options)
+        return out.withColumn("ids", F.reverse(F.col("ids").cast("string")).cast("binary")) if name == "pack-sequences" else out
+    monkeypatch.setattr(packing, "written", spoiled)
+    from basketry.llm.queries import QUERIES
+    monkeypatch.setattr("basketry.llm.queries.table", lambda *a: d)
+    bad = QUERIES["op8_pack_sequences"](spark, "")
+    assert sorted(r["ids_crc32"] for r in bad.collect()) != sorted(r["ids_crc32"] for r in want)
+
+
 @pytest.mark.parametrize("demand", [{128: 7}, {1: 5}, {65: 100, 63: 99}, {c: 1000 + c for c in range(1, 129)},
                                     {43: 1_000_000, 42: 3, 1: 10}, {90: 10, 38: 10, 19: 21}])
 def test_patterns_cover_the_histogram(demand):
