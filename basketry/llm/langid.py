@@ -273,10 +273,12 @@ def fit(texts: list[str], langs: list[str], epochs: int = EPOCHS, seed: int = 7)
     return model
 
 
-def label_texts(texts: list[str | None], model: Model, spans: bool = False):
+def label_texts(texts: list[str | None], model: Model, spans: bool = False, certainty: bool = False):
     """(label, score) per text; with ``spans`` also the runs of words with one
-    most probable label, as lists of (label, first word, words)."""
-    out = [(UNKNOWN, 0.0, [])] * len(texts)
+    most probable label, as lists of (label, first word, words); with
+    ``certainty`` also how far the words' best marginals are above chance on
+    average (0 to 1; 1 if there is one label)."""
+    out = [(UNKNOWN, 0.0, [], 0.0)[:4 if certainty else 3]] * len(texts)
     usable = [i for i, t in enumerate(texts) if model.labels and has_letter(t)]
     at = 0
     while at < len(usable):
@@ -292,6 +294,9 @@ def label_texts(texts: list[str | None], model: Model, spans: bool = False):
             / np.maximum(lengths, 1)[:, None]
         best = share.argmax(axis=1)
         top = prob.argmax(axis=1) if spans else None
+        k = len(model.labels)
+        sure = np.bincount(words.doc, prob.max(axis=1), len(part)) / np.maximum(lengths, 1)
+        sure = (sure - 1 / k) / (1 - 1 / k) if k > 1 else np.ones(len(part))
         first = np.r_[0, np.cumsum(lengths)]
         for j, (i, _) in enumerate(part):
             runs = []
@@ -300,7 +305,8 @@ def label_texts(texts: list[str | None], model: Model, spans: bool = False):
                 cut = np.flatnonzero(np.r_[True, mine[1:] != mine[:-1]]) if len(mine) else np.empty(0, int)
                 runs = [(model.labels[mine[c]], int(c), int(n)) for c, n in zip(cut, np.diff(np.r_[cut, len(mine)]))]
             if lengths[j]:
-                out[i] = (model.labels[best[j]], float(min(1.0, share[j, best[j]])), runs)
+                out[i] = (model.labels[best[j]], float(min(1.0, share[j, best[j]])), runs,
+                          float(min(1.0, max(0.0, sure[j]))))[:4 if certainty else 3]
     return out
 
 
@@ -324,17 +330,18 @@ def train(labelled: DataFrame, limit: int = SAMPLE) -> Model:
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", spans: bool = False, out: str = "language") -> DataFrame:
-    """Adds to every row a struct ``out`` of ``lang_pred``, ``score`` and
+    """Adds to every row a struct ``out`` of ``lang_pred``, ``score``, ``certainty`` and
     ``lang_spans`` (runs of words of one language, if asked for), from its text
     alone.  A column of that name is replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
-    kind = "struct<lang_pred:string,score:double,lang_spans:array<struct<lang:string,first_word:int,n_words:int>>>"
+    kind = "struct<lang_pred:string,score:double,certainty:double,lang_spans:array<struct<lang:string,first_word:int,n_words:int>>>"
 
     @F.pandas_udf(kind)
     def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            got = label_texts(batch.tolist(), shared.value, spans)
+            got = label_texts(batch.tolist(), shared.value, spans, certainty=True)
             yield pd.DataFrame({"lang_pred": [g[0] for g in got], "score": [g[1] for g in got],
+                                "certainty": [g[3] for g in got],
                                 "lang_spans": [[{"lang": a, "first_word": b, "n_words": c} for a, b, c in g[2]]
                                                for g in got]})
     return docs.withColumn(out, label(F.col(text)))

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from basketry.llm import decontam, langid, packing, simhash
 from basketry.llm.common import unused, written
 
-#: A document is rejected as of no language if its best language has a smaller
-#: expected share of its words than this.
-LEAST_SHARE = 0.4
+#: A document is rejected as of no language if its words' best labels are less
+#: certain than this on average (0 is chance), however many languages share it.
+LEAST_CERTAINTY = 0.25
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +23,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train(docs.filter(~langid.held_out()).select("lang", "text"))
     out = unused(docs, "language")
     seen = langid.identify(docs, model, out=out)
-    return seen.filter((F.col(f"{out}.lang_pred") != langid.UNKNOWN) & (F.col(f"{out}.score") >= LEAST_SHARE)) \
+    return seen.filter((F.col(f"{out}.lang_pred") != langid.UNKNOWN) & (F.col(f"{out}.certainty") >= LEAST_CERTAINTY)) \
         .select(*docs.columns)
 
 

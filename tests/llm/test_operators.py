@@ -337,6 +337,16 @@ def test_language_edge_cases(spark, lid):
     assert langid.identify(d.limit(0), model).count() == 0
 
 
+def test_even_mixtures_stay_in_the_pipeline(spark):
+    import corpus_pipeline
+    rng = np.random.default_rng(15)
+    langs = [list(VOCAB)[i % 3] for i in range(150)]
+    rows = [(i, sentence(rng, x, 40), x, "s", 0) for i, x in enumerate(langs)]
+    rows += [(900, " ".join(sentence(rng, x, 40) for x in VOCAB), None, "s", 0), (901, "12 --", None, "s", 0)]
+    left = corpus_pipeline.language_id(spark, spark.createDataFrame(rows, DOC), "").collect()
+    assert {r["doc_id"] for r in left} == {r[0] for r in rows} - {901}
+
+
 def test_language_contract(spark):
     rng = np.random.default_rng(9)
     langs = [list(VOCAB)[i % 3] for i in range(150)]
