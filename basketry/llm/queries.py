@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, embeddings, langid, packing, sharding, simhash, tokencount, tokenfile, warc
+from . import (chat, decontam, embeddings, langid, packing, prefixtrie, rtree, sharding, simhash, tokencount, tokenfile,
+               toxicity, warc)
 from .common import fresh_path, written
 from .oracle import ORACLE  # noqa: F401 - registered with the queries
 
@@ -113,3 +114,21 @@ def op5_language_crf(spark, sf_dir):
 def op10_itq_near_duplicates(spark, sf_dir):
     """Embeddings linked at a cosine of 0.95 or more."""
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+@query
+def op11_rtree_hard_negatives(spark, sf_dir):
+    """Hard negatives of every anchor among all embeddings."""
+    return rtree.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_toxicity_mil(spark, sf_dir):
+    """Toxicity of all documents, learned from those not held out."""
+    return toxicity.document_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_prefix_trie(spark, sf_dir):
+    """Nodes of the prefix trie of all conversations, rebuilt with shared heads."""
+    return prefixtrie.conversation_trie(table(spark, sf_dir, "conversations"))
