@@ -76,3 +76,42 @@ def hash_order_key(seed: int, c) -> Column:
 def minmax_scale(c, lo: Column, hi: Column) -> Column:
     """(x - min) / (max - min); constant column -> null (division by zero)."""
     return F.try_divide(col_(c) - lo, hi - lo)
+
+
+#: Exact sums count in these parts of one.
+UNITS = 1_000_000
+
+
+def _units(c) -> Column:
+    return F.round(col_(c).cast("double") * F.lit(float(UNITS))).cast("decimal(20,0)")
+
+
+def exact_sum(c) -> Column:
+    """Sum in whole millionths, kept as a decimal: the same for any order and
+    partitioning of the rows, as a sum of doubles is not."""
+    return F.sum(_units(c)).cast("double") / F.lit(float(UNITS))
+
+
+def exact_mean(c) -> Column:
+    """Mean from the exact sum; null without values."""
+    return F.try_divide(F.sum(_units(c)).cast("double"), F.count(col_(c)).cast("double") * F.lit(float(UNITS)))
+
+
+def exact_std(c) -> Column:
+    """Sample standard deviation from exact sums of values and squares; null
+    for fewer than two values."""
+    n, u = F.count(col_(c)), _units(c)
+    s, q = F.sum(u).cast("decimal(38,0)"), F.sum((u * u).cast("decimal(38,0)"))
+    spread = (n.cast("decimal(20,0)") * q).cast("decimal(38,0)") - (s * s).cast("decimal(38,0)")
+    return F.when(n > 1, F.sqrt(spread.cast("double") / (n * (n - 1)).cast("double")) / F.lit(float(UNITS)))
+
+
+def double_text(c) -> Column:
+    """A double as text that stands for its very bits (0 and -0 alike), the same
+    in any engine: sign, whole part and two runs of 52 binary places."""
+    sign = F.when(col_(c) < 0, "-").otherwise("")
+    x, places = F.abs(col_(c)), F.lit(float(1 << 52))  # taking off the whole part of |x| is exact
+    first = (x - F.floor(x).cast("double")) * places
+    second = (first - F.floor(first).cast("double")) * places
+    digits = F.concat_ws(":", *[F.floor(p).cast("string") for p in (x, first, second)])
+    return F.when(x < F.lit(float(1 << 62)), F.concat(sign, digits)).otherwise(col_(c).cast("string"))

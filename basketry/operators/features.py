@@ -5,7 +5,8 @@ aggregate, so hot keys are combined map-side), then join the one-row-per-key
 results.  Both sides of those joins come out of aggregates already hash
 partitioned on the key, so the join adds no further exchange; dimension
 tables are joined last and broadcast by the planner when their measured size
-allows.
+allows.  Sums, means and deviations of doubles are taken in exact units, so a
+feature has the same bits whatever the partitioning.
 """
 from __future__ import annotations
 
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.exprs import as_of_literal, whole_days_between
+from ..functions.exprs import as_of_literal, exact_mean, exact_std, exact_sum, whole_days_between
 from ..sources.roles import DEFAULT_AS_OF
 from ..sources.shared import materialised
 from .quantiles import exact_median
@@ -36,8 +37,8 @@ def user_txn_agg(txn: DataFrame) -> DataFrame:
     return (txn.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(
         F.count("transaction_id").alias("total_transactions"),
         F.coalesce(F.sum("quantity"), F.lit(0)).cast("long").alias("total_quantity"),
-        F.avg("rating").alias("avg_rating_given"),
-        F.coalesce(F.stddev_samp("rating"), F.lit(0.0)).alias("std_rating_given"),
+        exact_mean("rating").alias("avg_rating_given"),
+        F.coalesce(exact_std("rating"), F.lit(0.0)).alias("std_rating_given"),
         F.count_distinct("product_id").alias("unique_products_bought"),
         F.avg("quantity").alias("avg_quantity_per_txn"),
         F.min("timestamp").alias("first_purchase"),
@@ -50,7 +51,7 @@ def user_click_agg(clicks: DataFrame) -> DataFrame:
     return (clicks.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(
         F.count("event_id").alias("total_events"),
         F.count_distinct("session_id").alias("total_sessions"),
-        F.avg("page_duration_sec").alias("avg_page_duration"),
+        exact_mean("page_duration_sec").alias("avg_page_duration"),
         F.count_distinct("product_id").alias("unique_products_viewed"),
         _count_eq("event_type", "add_to_cart").alias("cart_adds"),
         _count_eq("event_type", "search").alias("searches"),
@@ -62,8 +63,8 @@ def item_txn_agg(txn: DataFrame) -> DataFrame:
     return (txn.where(F.col("product_id").isNotNull()).groupBy("product_id").agg(
         F.count("transaction_id").alias("total_purchases"),
         F.count_distinct("user_id").alias("unique_buyers"),
-        F.avg("rating").alias("avg_rating_received"),
-        F.coalesce(F.stddev_samp("rating"), F.lit(0.0)).alias("std_rating_received"),
+        exact_mean("rating").alias("avg_rating_received"),
+        F.coalesce(exact_std("rating"), F.lit(0.0)).alias("std_rating_received"),
         F.coalesce(F.sum("quantity"), F.lit(0)).cast("long").alias("total_quantity_sold"),
         F.avg("quantity").alias("avg_quantity_per_purchase"),
     ))
@@ -74,7 +75,7 @@ def item_click_agg(clicks: DataFrame) -> DataFrame:
     return (clicks.where(F.col("product_id").isNotNull()).groupBy("product_id").agg(
         F.count("event_id").alias("total_views"),
         F.count_distinct("user_id").alias("unique_viewers"),
-        F.avg("page_duration_sec").alias("avg_view_duration"),
+        exact_mean("page_duration_sec").alias("avg_view_duration"),
         _count_eq("event_type", "add_to_cart").alias("cart_add_count"),
         _count_eq("event_type", "wishlist_add").alias("wishlist_count"),
     ))
@@ -84,7 +85,7 @@ def pair_txn_agg(txn: DataFrame) -> DataFrame:
     """A5: per (user, product) purchase statistics."""
     return (txn.where(F.col("user_id").isNotNull() & F.col("product_id").isNotNull())
                .groupBy("user_id", "product_id").agg(
-        F.avg("rating").alias("avg_rating"),
+        exact_mean("rating").alias("avg_rating"),
         F.count("rating").alias("num_interactions"),
         F.coalesce(F.sum("quantity"), F.lit(0)).cast("long").alias("total_quantity"),
         F.max("timestamp").alias("last_interaction"),
@@ -96,7 +97,7 @@ def pair_click_agg(clicks: DataFrame) -> DataFrame:
     return (clicks.where(F.col("user_id").isNotNull() & F.col("product_id").isNotNull())
                   .groupBy("user_id", "product_id").agg(
         F.count("event_id").alias("view_count"),
-        F.coalesce(F.sum("page_duration_sec"), F.lit(0.0)).alias("total_view_duration"),
+        F.coalesce(exact_sum("page_duration_sec"), F.lit(0.0)).alias("total_view_duration"),
         _flag_any("event_type", "add_to_cart").alias("added_to_cart"),
         _flag_any("event_type", "wishlist_add").alias("added_to_wishlist"),
     ))

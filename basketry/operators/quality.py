@@ -1,11 +1,13 @@
 """Data-quality operators.
 
-Per source, one pass builds a single *facts* row: equal rows are counted, and
-row count, null counts, range violations, minima and maxima, invalid counts
-and both duplicate counts are summed from those counts.  Every report (missing
+Per source, one *facts* row holds every scalar that the checks need: row
+count, null counts, range violations, minima, maxima and invalid counts from
+one aggregate without a key, and both duplicate counts.  Every report (missing
 values, ranges, issues, counts, score) is then a projection or an ``inline``
-of that one row, so the source is scanned once however many reports are asked
-for.
+of that one row.
+
+Duplicate rows are found in two stages: 128-bit row keys are counted, and only
+rows whose key occurs twice are compared whole.
 """
 from __future__ import annotations
 
@@ -15,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..sources.shared import materialised
 from .quantiles import exact_quantiles
 
 ISSUE_COLUMNS = ["source", "type", "severity", "column", "details"]
@@ -47,11 +50,24 @@ def rules_for(source: str, df: DataFrame):
 # Single-pass facts
 # ---------------------------------------------------------------------------
 
+def row_keys(df: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of a whole row, nulls told apart from values."""
+    nulls = F.array(*[F.col(c).isNull() for c in df.columns])
+    return [F.xxhash64(F.lit(i), nulls, *df.columns).alias(f"_k{i}") for i in (1, 2)]
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """V3 core: rows repeating an earlier row over all columns (null == null).
-    The group-by combines map-side, so heavily repeated rows shrink before
-    the shuffle."""
-    return (df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_c"))
+
+    Row keys are counted first, combined map-side: two longs and a count per
+    distinct row cross the shuffle.  The keys that occur twice are written;
+    rows that have one of them (a broadcast look-up while the planner finds the
+    keys small) are then counted whole, so equal keys of unequal rows do no
+    harm."""
+    twice = materialised(df.select(*row_keys(df)).groupBy("_k1", "_k2").agg(F.count(F.lit(1)).alias("_c"))
+                         .where("_c > 1").select("_k1", "_k2"), "row-keys")
+    again = df.select("*", *row_keys(df)).join(twice, ["_k1", "_k2"], "left_semi")
+    return (again.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_c"))
               .agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("long").alias("total_duplicates")))
 
 
@@ -64,35 +80,21 @@ def pk_duplicates(df: DataFrame, pk: str | None) -> DataFrame:
 
 
 def facts(df: DataFrame, source: str) -> DataFrame:
-    """One row of every scalar the quality checks need, from one pass over the
-    source: equal rows are counted first, and all else is summed from those
-    counts, first per key and then over the keys."""
+    """One row of every scalar the quality checks need.  What needs no key comes
+    from one aggregate that sends a row per task; the duplicate counts are
+    scalar subqueries over row keys and over the primary key alone."""
     _, ranges, allowed, _, pk = rules_for(source, df)
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_c"))
-    weight = F.col("_c")
-
-    def rows_where(cond: Column) -> Column:
-        return F.sum(F.when(cond, weight).otherwise(F.lit(0)))
-    adds = {"_rows": F.sum(weight), "total_duplicates": F.sum(weight - 1)}
-    adds |= {_n(c): rows_where(F.col(c).isNull()) for c in df.columns}
-    lows, highs = {}, {}
+    rows_where = lambda cond: F.count_if(F.coalesce(cond, F.lit(False))).cast("long")
+    facts_ = {"_rows": F.count(F.lit(1))} | {_n(c): rows_where(F.col(c).isNull()) for c in df.columns}
     for c, (lo, hi) in ranges.items():
         x = _numeric(c)
-        adds |= {f"below__{c}": rows_where(x < F.lit(lo)), f"above__{c}": rows_where(x > F.lit(hi))}
-        lows[f"min__{c}"], highs[f"max__{c}"] = F.min(x), F.max(x)
+        facts_ |= {f"below__{c}": rows_where(x < F.lit(lo)), f"above__{c}": rows_where(x > F.lit(hi)),
+                   f"min__{c}": F.min(x), f"max__{c}": F.max(x)}
     for c, vals in allowed.items():
-        adds[f"invalid__{c}"] = rows_where(F.col(c).isNotNull() & ~F.col(c).isin(*vals))
-    every = {**adds, **lows, **highs}
-    repeats = F.lit(0)
-    if pk is not None:
-        counted = counted.groupBy(pk).agg(*[x.alias(f"_{n}") for n, x in every.items()])
-        adds = {n: F.sum(f"_{n}") for n in adds}
-        lows, highs = {n: F.min(f"_{n}") for n in lows}, {n: F.max(f"_{n}") for n in highs}
-        repeats = F.sum(F.col("__rows") - 1)
-    none = F.lit(0).cast("long")
-    return counted.agg(*[F.coalesce(x, none).cast("long").alias(n) for n, x in adds.items()],
-                       *[x.alias(n) for n, x in (lows | highs).items()], F.lit(len(df.columns)).alias("_ncols"),
-                       F.coalesce(repeats, none).cast("long").alias("primary_key_duplicates"))
+        facts_[f"invalid__{c}"] = rows_where(F.col(c).isNotNull() & ~F.col(c).isin(*vals))
+    return df.agg(*[x.alias(n) for n, x in facts_.items()], F.lit(len(df.columns)).alias("_ncols")).select(
+        "*", duplicate_rows(df).scalar().alias("total_duplicates"),
+        pk_duplicates(df, pk).scalar().alias("primary_key_duplicates"))
 
 
 def _pct(num: Column, rows: Column) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.exprs import hash_bucket
+from ..functions.exprs import exact_mean, hash_bucket
 from ..sources.shared import materialised
 from . import linalg
 from .scoring import top_n_dot
@@ -54,7 +54,7 @@ def rating_matrix(train: DataFrame) -> DataFrame:
 
 def mean_center(cells: DataFrame) -> DataFrame:
     """M3: subtract the mean of the stored (non-zero) cells."""
-    mean = cells.select(F.avg("value")).scalar()
+    mean = cells.select(exact_mean("value")).scalar()
     return cells.select("user_id", "product_id", (F.col("value") - mean).alias("value"))
 
 
@@ -70,13 +70,14 @@ class SVDModel:
 
 
 def svd_fit(train: DataFrame, n_factors: int = S.N_FACTORS, block: int | None = None, tol: float = linalg.TOLERANCE,
-            seed: int = S.RANDOM_STATE, tile: int = linalg.TILE) -> SVDModel:
+            seed: int = S.RANDOM_STATE, tile: int = linalg.TILE, folder: str | None = None) -> SVDModel:
     """M4: truncated SVD of the mean-centred rating matrix, k = min(n_factors, min(U, I) - 1).
 
     Known users/items are all ids of the training pairs (click-only pairs are
     zero cells: their users/items exist in the model with zero factors).  The
     factor tables hold a vector for every known id and are written to the
     shared folder, so scoring, prediction and saving do not replay the fit.
+    With ``folder`` a fit that was stopped goes on after its last written pass.
     """
     train = materialised(train.select("user_id", "product_id", "avg_rating"), "svd-train")
     counts = train.agg(F.count_distinct("user_id").alias("u"), F.count_distinct("product_id").alias("i"),
@@ -89,7 +90,8 @@ def svd_fit(train: DataFrame, n_factors: int = S.N_FACTORS, block: int | None =
     if k == 0 or not cells.where("value <> 0").head(1):
         none = F.array().cast("array<double>").alias("vec")
         return SVDModel(mean, users.select("user_id", none), items.select("product_id", none), [], 0, n_users, n_items)
-    uf, vf, sigma = linalg.truncated_svd(cells, "user_id", "product_id", k, block=block, tol=tol, seed=seed, tile=tile)
+    uf, vf, sigma = linalg.truncated_svd(cells, "user_id", "product_id", k, block=block, tol=tol, seed=seed, tile=tile,
+                                         folder=folder)
 
     def all_known(ids: DataFrame, factors: DataFrame, key: str) -> DataFrame:
         zero = F.array_repeat(F.lit(0.0), len(sigma))

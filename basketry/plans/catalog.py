@@ -593,10 +593,12 @@ def _m2(spark, d):
     return R.rating_matrix(_split(spark, d)[0])
 
 
+O.cte("_cells_once", "SELECT * FROM _cells", "_cells", materialized=True)
+O.cte("_cells_mean", f"SELECT {O.exact_mean('value')} AS m FROM _cells_once", "_cells_once", materialized=True)
+
+
 @register("m3_mean_center", O.sql(
-    "SELECT user_id, product_id, value - (SELECT avg(value) FROM c) AS value FROM c".replace(
-        "FROM c", "FROM (SELECT user_id, product_id, CAST(avg_rating AS DOUBLE) AS value FROM train_pairs"
-        " WHERE avg_rating > 0)"), "train_pairs"))
+    "SELECT user_id, product_id, value - m AS value FROM _cells_once CROSS JOIN _cells_mean", "_cells_once", "_cells_mean"))
 def _m3(spark, d):
     return R.mean_center(R.rating_matrix(_split(spark, d)[0]))
 
@@ -664,8 +666,21 @@ def _m8(spark, d):
     return _long(R.cb_vectorise(items), R.cb_feature_select(items))
 
 
-@register("m9_cosine_similarity", O.sql(O.long_vectors("cb_unit"), "cb_unit"))
+SIMILAR = 0.98
+
+
+@register("m9_cosine_similarity", O.sql(
+    "SELECT a.product_id, b.product_id AS other_id, least(list_dot_product(a.vec, b.vec), 1.0) AS similarity"
+    " FROM cb_unit a JOIN cb_unit b ON a.product_id < b.product_id"
+    f" WHERE list_dot_product(a.vec, b.vec) >= {SIMILAR}", "cb_unit"))
 def _m9(spark, d):
+    """All pairs of items with a cosine of at least SIMILAR."""
+    from ..operators import similarity
+    return similarity.similar_pairs(R.cb_vectorise(Tables(spark, d).item_features), SIMILAR)
+
+
+@register("m9_unit_vectors", O.sql(O.long_vectors("cb_unit"), "cb_unit"))
+def _m9_unit(spark, d):
     items = Tables(spark, d).item_features
     return _long(R.unit_vectors(R.cb_vectorise(items)), R.cb_feature_select(items))
 
@@ -822,13 +837,21 @@ def _k2(spark, d):
     return K.snapshot_read(spark, base)["user_features"]
 
 
+def _double_text(c: str) -> str:
+    places, x = "CAST(4503599627370496.0 AS DOUBLE)", f"abs({c})"
+    first = f"(({x} - floor({x})) * {places})"
+    second = f"(({first} - floor({first})) * {places})"
+    digits = " || ':' || ".join(f"CAST(CAST(floor({p}) AS BIGINT) AS VARCHAR)" for p in (x, first, second))
+    return f"CASE WHEN {c} < 0 THEN '-' ELSE '' END || {digits}"
+
+
 def _fingerprint_sql(table: str, schema) -> str:
     parts = []
     for f in schema.fields:
         kind = f.dataType.simpleString()
-        x = {"double": f"CAST(round({f.name} * 1e6) AS DECIMAL(38, 0))", "boolean": f"CAST({f.name} AS INTEGER)",
+        x = {"double": _double_text(f.name), "boolean": f"CAST({f.name} AS INTEGER)",
              "timestamp_ntz": f"strftime({f.name}, {O.TS_FMT})"}.get(kind, f.name)
-        parts.append(f"COALESCE('=' || CAST({x} AS VARCHAR), '-')")
+        parts.append(f"COALESCE('=' || {x if kind == 'double' else f'CAST({x} AS VARCHAR)'}, '-')")
     text = f"concat_ws(chr(31), {', '.join(parts)})"
     return (f"SELECT '{table}' AS \"table\", count(*) AS rows,"
             f" CAST(sum(CAST(('0x' || substr(md5({text}), 1, 15))::BIGINT AS HUGEINT)) AS VARCHAR) AS hash_sum FROM {table}")
@@ -847,8 +870,9 @@ def _k3(spark, d):
     "SELECT * FROM user_features WHERE user_id IN (SELECT user_id FROM clickstream_clean)",
     "user_features", "clickstream_clean"))
 def _k4(spark, d):
-    t = Tables(spark, d)
-    return K.entity_lookup(t.user_features, t.clickstream, "user_id")
+    """Features of every user in the clickstream, looked up in a snapshot."""
+    base, _ = _written_snapshot(spark, d)
+    return K.snapshot_lookup(spark, base, "user_features", Tables(spark, d).clickstream.select("user_id"))
 
 
 def _catalogue_sql() -> str:
@@ -923,8 +947,9 @@ def _s3(spark, d):
     "SELECT *, '20020101_000000' AS load_ts FROM products", "products"))
 def _s4(spark, d):
     base = SF.scratch_dir(spark, "landing")
-    load = SF.land_timestamped(Tables(spark, d).raw["products"], base, "products", Tables(spark, d).as_of)
-    return spark.read.parquet(f"{base}/products").where(F.col("load_ts") == load)
+    for _ in range(2):  # the second is a repetition of the first and changes nothing
+        SF.land_timestamped(Tables(spark, d).raw["products"], base, "products", Tables(spark, d).as_of)
+    return SF.read_landed(spark, base, "products")
 
 
 @register("s5_sink_json", O.sql(_all("clickstream"), "clickstream"))
@@ -939,7 +964,7 @@ def _s5(spark, d):
     f" CAST(NULL AS VARCHAR) AS error, TRUE AS timed FROM {s}" for s in S.SOURCES), *S.SOURCES))
 def _s6(spark, d):
     t = Tables(spark, d)
-    report = SF.ingestion_report(spark, {s: (lambda s=s: t.raw[s]) for s in S.SOURCES})
+    report = SF.ingestion_report(spark, {s: (lambda s=s: t.raw[s]) for s in S.SOURCES}, SF.scratch_dir(spark, "ingest"))
     return report.withColumn("timed", F.col("ended_at") >= F.col("started_at")).drop("started_at", "ended_at")
 
 
@@ -955,7 +980,7 @@ def _s7(spark, d):
     f" FROM {n}" for n, cols in (("user_features", S.USER_FEATURE_COLUMNS), ("item_features", S.ITEM_FEATURE_COLUMNS),
                                  ("interaction_features", S.INTERACTION_FEATURE_COLUMNS))), *_FEATURE_TABLES))
 def _s8(spark, d):
-    return SF.table_metadata(_feature_tables(spark, d))
+    return SF.sink_tables(_feature_tables(spark, d), SF.scratch_dir(spark, "tables"))
 
 
 _CF_SIZES = ("SELECT 'collaborative_filtering' AS model, 'SVD (Truncated)' AS algorithm, 1 AS n_factors,"

@@ -12,10 +12,13 @@ AS_OF = "TIMESTAMP '2002-01-01 00:00:00'"
 TS_FMT = "'%Y-%m-%d %H:%M:%S'"
 
 _CTES: dict[str, tuple[str, tuple[str, ...]]] = {}
+_ONCE: set[str] = set()
 
 
-def cte(name: str, body: str, *deps: str) -> None:
+def cte(name: str, body: str, *deps: str, materialized: bool = False) -> None:
     _CTES[name] = (body, deps)
+    if materialized:
+        _ONCE.add(name)
 
 
 def sql(body: str, *names: str) -> str:
@@ -32,7 +35,7 @@ def sql(body: str, *names: str) -> str:
         visit(n)
     if not order:
         return body
-    parts = [f"{n} AS (\n{_CTES[n][0]}\n)" for n in order]
+    parts = [f"{n} AS {'MATERIALIZED ' if n in _ONCE else ''}(\n{_CTES[n][0]}\n)" for n in order]
     return "WITH " + ",\n".join(parts) + "\n" + body
 
 
@@ -41,6 +44,25 @@ def _days_between(start: str, end: str) -> str:
             f" / 86400000000.0) AS BIGINT)")
 
 
+def _units(c: str) -> str:
+    return f"CAST(round({c} * CAST(1000000.0 AS DOUBLE)) AS HUGEINT)"
+
+
+def exact_sum(c: str) -> str:
+    return f"CAST(sum({_units(c)}) AS DOUBLE) / CAST(1000000.0 AS DOUBLE)"
+
+
+def exact_mean(c: str) -> str:
+    return f"CAST(sum({_units(c)}) AS DOUBLE) / (CAST(count({c}) AS DOUBLE) * CAST(1000000.0 AS DOUBLE))"
+
+
+def exact_std(c: str) -> str:
+    u = _units(c)
+    spread = f"(CAST(count({c}) AS HUGEINT) * CAST(sum({u} * {u}) AS HUGEINT) - CAST(sum({u}) AS HUGEINT) * CAST(sum({u}) AS HUGEINT))"
+    return (f"CASE WHEN count({c}) > 1 THEN sqrt(CAST({spread} AS DOUBLE) / CAST(count({c}) * (count({c}) - 1) AS DOUBLE))"
+            f" / CAST(1000000.0 AS DOUBLE) END")
+
+
 def _clip(c: str, lo, hi) -> str:
     return f"CASE WHEN {c} < {lo} THEN {lo} WHEN {c} > {hi} THEN {hi} ELSE {c} END"
 
@@ -168,15 +190,15 @@ SELECT *, {_days_between('last_purchase', AS_OF)} AS days_since_last_purchase,
          / (CAST({_days_between('first_purchase', 'last_purchase')} + 1 AS DOUBLE) / CAST(30.0 AS DOUBLE)) AS purchase_frequency
 FROM (SELECT user_id, count(transaction_id) AS total_transactions,
              CAST(COALESCE(sum(quantity), 0) AS BIGINT) AS total_quantity,
-             avg(rating) AS avg_rating_given, COALESCE(stddev_samp(rating), 0.0) AS std_rating_given,
+             {exact_mean('rating')} AS avg_rating_given, COALESCE({exact_std('rating')}, 0.0) AS std_rating_given,
              count(DISTINCT product_id) AS unique_products_bought, avg(quantity) AS avg_quantity_per_txn,
              min(timestamp) AS first_purchase, max(timestamp) AS last_purchase
       FROM transactions_clean WHERE user_id IS NOT NULL GROUP BY user_id)""", "transactions_clean")
-cte("user_clicks", """
+cte("user_clicks", f"""
 SELECT *, total_events * CAST(0.3 AS DOUBLE) + avg_page_duration * CAST(0.3 AS DOUBLE)
           + cart_adds * CAST(0.2 AS DOUBLE) + unique_products_viewed * CAST(0.2 AS DOUBLE) AS engagement_score
 FROM (SELECT user_id, count(event_id) AS total_events, count(DISTINCT session_id) AS total_sessions,
-             avg(page_duration_sec) AS avg_page_duration, count(DISTINCT product_id) AS unique_products_viewed,
+             {exact_mean('page_duration_sec')} AS avg_page_duration, count(DISTINCT product_id) AS unique_products_viewed,
              count_if(event_type = 'add_to_cart') AS cart_adds, count_if(event_type = 'search') AS searches
       FROM clickstream_clean WHERE user_id IS NOT NULL GROUP BY user_id)""", "clickstream_clean")
 cte("user_features", """
@@ -190,17 +212,17 @@ SELECT t.user_id, total_transactions, total_quantity, avg_rating_given, std_rati
        END AS conversion_rate
 FROM user_txn t LEFT JOIN user_clicks c ON t.user_id = c.user_id
 LEFT JOIN users_clean u ON t.user_id = u.user_id""", "user_txn", "user_clicks", "users_clean")
-cte("item_txn", """
+cte("item_txn", f"""
 SELECT *, CAST(total_purchases AS DOUBLE) / CAST(max(total_purchases) OVER () AS DOUBLE) AS purchase_popularity
 FROM (SELECT product_id, count(transaction_id) AS total_purchases, count(DISTINCT user_id) AS unique_buyers,
-             avg(rating) AS avg_rating_received, COALESCE(stddev_samp(rating), 0.0) AS std_rating_received,
+             {exact_mean('rating')} AS avg_rating_received, COALESCE({exact_std('rating')}, 0.0) AS std_rating_received,
              CAST(COALESCE(sum(quantity), 0) AS BIGINT) AS total_quantity_sold,
              avg(quantity) AS avg_quantity_per_purchase
       FROM transactions_clean WHERE product_id IS NOT NULL GROUP BY product_id)""", "transactions_clean")
-cte("item_clicks", """
+cte("item_clicks", f"""
 SELECT *, CAST(cart_add_count AS DOUBLE) / CAST(greatest(total_views, 1) AS DOUBLE) AS view_to_purchase_ratio
 FROM (SELECT product_id, count(event_id) AS total_views, count(DISTINCT user_id) AS unique_viewers,
-             avg(page_duration_sec) AS avg_view_duration,
+             {exact_mean('page_duration_sec')} AS avg_view_duration,
              count_if(event_type = 'add_to_cart') AS cart_add_count,
              count_if(event_type = 'wishlist_add') AS wishlist_count
       FROM clickstream_clean WHERE product_id IS NOT NULL GROUP BY product_id)""", "clickstream_clean")
@@ -219,14 +241,14 @@ SELECT i.*, b.brand_total_purchases
 FROM _item_joined i LEFT JOIN (SELECT brand, CAST(sum(total_purchases) AS BIGINT) AS brand_total_purchases
                                FROM _item_joined WHERE brand IS NOT NULL GROUP BY brand) b
   ON i.brand = b.brand""", "_item_joined")
-cte("pair_txn", """
-SELECT user_id, product_id, avg(rating) AS avg_rating, count(rating) AS num_interactions,
+cte("pair_txn", f"""
+SELECT user_id, product_id, {exact_mean('rating')} AS avg_rating, count(rating) AS num_interactions,
        CAST(COALESCE(sum(quantity), 0) AS BIGINT) AS total_quantity, max(timestamp) AS last_interaction
 FROM transactions_clean WHERE user_id IS NOT NULL AND product_id IS NOT NULL
 GROUP BY user_id, product_id""", "transactions_clean")
-cte("pair_clicks", """
+cte("pair_clicks", f"""
 SELECT user_id, product_id, count(event_id) AS view_count,
-       COALESCE(sum(page_duration_sec), 0.0) AS total_view_duration,
+       COALESCE({exact_sum('page_duration_sec')}, 0.0) AS total_view_duration,
        max(CAST(event_type = 'add_to_cart' AS INTEGER)) AS added_to_cart,
        max(CAST(event_type = 'wishlist_add' AS INTEGER)) AS added_to_wishlist
 FROM clickstream_clean WHERE user_id IS NOT NULL AND product_id IS NOT NULL

@@ -8,14 +8,17 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import as_of_literal
 from ..session import ensure_checkpoint_dir
+from .shared import read_if_there
+
+WORKERS = 4  # independent tables that are written side by side
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -49,14 +52,42 @@ def scan_json_payload(spark: SparkSession, path: str, schema: T.StructType, sour
                      F.lit(source).alias("_source_api"))
 
 
+def write_counted(df: DataFrame, path: str, *more: Column, **options: str) -> dict:
+    """Writes a table (replacing what is there) and returns what was counted on
+    the way: ``rows`` and the aggregates ``more``.  Nothing is read again."""
+    seen = Observation()
+    (df.observe(seen, F.count(F.lit(1)).alias("rows"), *more).write.mode("overwrite").options(**options).parquet(path))
+    return seen.get
+
+
+LOADS = "load_ts string, records long, committed_at timestamp_ntz"
+
+
 def land_timestamped(df: DataFrame, base: str, name: str, loaded_at=None) -> str:
-    """Append a load under ``{base}/{name}/load_ts=YYYYmmdd_HHMMSS``; earlier
-    loads are never overwritten.  Returns the load id."""
+    """Land a load under ``{base}/{name}/load_ts=YYYYmmdd_HHMMSS``; returns
+    the load id.
+
+    A load is committed by its row under ``{base}/loads/{name}``, written after
+    the data.  A load that was stopped before can be repeated: what it left is
+    replaced.  A committed load is never written again, so repeating it changes
+    nothing, and other loads are not touched."""
     load = (loaded_at or _dt.datetime.now()).strftime("%Y%m%d_%H%M%S")
-    df.withColumn("load_ts", F.lit(load)).write.mode("append").partitionBy("load_ts").parquet(f"{base}/{name}")
+    spark, done = df.sparkSession, f"{base}/loads/{name}/id={load}"
+    committed = read_if_there(spark, done, LOADS)
+    if committed is None or not committed.head(1):
+        records = write_counted(df, f"{base}/{name}/load_ts={load}")["rows"]
+        row = spark.createDataFrame([(load, records, _dt.datetime.now().replace(microsecond=0))], LOADS)
+        row.coalesce(1).write.mode("overwrite").parquet(done)
     return load
 
 
+def read_landed(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """Rows of all committed loads with their ``load_ts``."""
+    loads = spark.read.parquet(f"{base}/loads/{name}").select("load_ts")  # one row per load
+    rows = spark.read.parquet(f"{base}/{name}").withColumn("load_ts", F.col("load_ts").cast("string"))
+    return rows.join(loads, "load_ts", "left_semi")
+
+
 def sink_json(df: DataFrame, path: str) -> None:
     """Keep the raw payload as JSON lines beside the table."""
     df.write.mode("overwrite").json(path)
@@ -67,35 +98,42 @@ def sink_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def table_metadata(tables: dict[str, DataFrame]) -> DataFrame:
-    """Record count and column list of each table."""
-    parts = [df.agg(F.count(F.lit(1)).alias("record_count")).select(
-        F.lit(name).alias("table"), "record_count", F.lit(len(df.columns)).alias("n_columns"),
-        F.lit(",".join(df.columns)).alias("columns")) for name, df in tables.items()]
-    return reduce(DataFrame.unionByName, parts)
+def sink_tables(tables: dict[str, DataFrame], base: str) -> DataFrame:
+    """S7 + S8: write independent tables, some at a time, and return record
+    count and column list of each, counted while they were written."""
+    def one(item):
+        name, df = item
+        return (name, write_counted(df, f"{base}/{name}")["rows"], len(df.columns), ",".join(df.columns))
+    with ThreadPoolExecutor(WORKERS) as pool:
+        rows = list(pool.map(one, tables.items()))
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame(rows, "table string, record_count long, n_columns int, columns string")
 
 
 INGESTION_REPORT = ("source string, records long, status string, source_type string, error string,"
                     " started_at timestamp, ended_at timestamp")
 
 
-def ingestion_report(spark: SparkSession, loaders: dict, source_types: dict | None = None, clock=None) -> DataFrame:
-    """One row per source with records, status, source type, error, start
-    and end time.
+def ingestion_report(spark: SparkSession, loaders: dict, base: str, source_types: dict | None = None,
+                     clock=None) -> DataFrame:
+    """Loads each source into ``{base}/{name}``; one row per source with
+    records, status, source type, error, start and end time.
 
     ``loaders`` maps a source name to a zero-argument callable returning a
-    DataFrame.  Each source is loaded and counted in a job of its own, so a
-    failure while planning or while reading is recorded with its whole text and
-    does not stop the others; only the outcome rows pass through the driver.
+    DataFrame.  Each source is written in a job of its own and counted on the
+    way, so a failure while planning or while reading is recorded with its whole
+    text and does not stop the others; only the outcome rows pass through the
+    driver.
     """
     clock = clock or _dt.datetime.now
-    rows = []
-    for name, load in loaders.items():
-        started, records, error = clock(), None, None
+
+    def one(item):
+        (name, load), started, records, error = item, clock(), None, None
         try:
-            records = load().count()
+            records = write_counted(load(), f"{base}/{name}")["rows"]
         except Exception as e:  # noqa: BLE001 - isolate per-source failures
             error = str(e)
-        rows.append((name, records, "failed" if error is not None else "success",
-                     (source_types or {}).get(name, "parquet"), error, started, clock()))
-    return spark.createDataFrame(rows, INGESTION_REPORT)
+        return (name, records, "failed" if error is not None else "success",
+                (source_types or {}).get(name, "parquet"), error, started, clock())
+    with ThreadPoolExecutor(WORKERS) as pool:
+        return spark.createDataFrame(list(pool.map(one, loaders.items())), INGESTION_REPORT)

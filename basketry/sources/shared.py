@@ -4,13 +4,27 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 
 
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A folder under that of ``spark.checkpoint.dir`` not used before."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/basketry-cut/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def materialised(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table under the folder of ``spark.checkpoint.dir``."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/basketry-cut/{name}-{uuid.uuid4().hex[:12]}"
+    path = fresh_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def read_if_there(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """The Parquet table at ``path``; None if there is none.  With a schema, a
+    folder that a stopped write left without files is an empty table."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return None
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from basketry.operators import features as FE
@@ -94,3 +95,38 @@ def test_exact_quantiles_match_numpy(spark):
     for (c, q), v in got.items():
         assert np.isclose(v, np.quantile({"a": a, "b": b}[c], q))
     assert df.limit(1).select(exact_median(df, "c").alias("m")).first().m is None
+
+
+def test_quantiles_move_only_bracketed_values(spark):
+    from basketry.operators import quantiles as QU
+    rng = np.random.default_rng(11)
+    values = rng.normal(size=200_000)
+    df = spark.createDataFrame([(float(x), float(i % 5)) for i, x in enumerate(values)], "a double, b double").repartition(4)
+    got = {(r["column"], r["q"]): r["value"] for r in QU.exact_quantiles(df, ["a", "b"], [0.25, 0.5, 0.75]).collect()}
+    for q in (0.25, 0.5, 0.75):
+        assert got["a", q] == np.quantile(values, q) and got["b", q] == np.quantile(np.arange(200_000) % 5, q)
+    inside = 0
+    for c, q, lo, hi, under, at in QU.brackets(df, ["a"], [0.25, 0.5, 0.75]):
+        assert under <= at and (values < lo).sum() == under
+        inside += ((values >= lo) & (values <= hi)).sum()
+    assert inside < 0.01 * len(values)
+
+
+def test_brackets_that_miss_are_widened(spark, monkeypatch):
+    from basketry.operators import quantiles as QU
+    df = spark.createDataFrame([(float(i),) for i in range(1000)], "a double")
+    monkeypatch.setattr(QU.F, "percentile_approx", lambda c, p, a: QU.F.array(*[QU.F.lit(x) for x in (900.0, 901.0)]))
+    assert QU.exact_quantiles(df, ["a"], [0.25]).first()["value"] == 249.75
+
+
+def test_exact_aggregates(spark):
+    from basketry.functions.exprs import exact_mean, exact_std, exact_sum
+    rng = np.random.default_rng(5)
+    x = rng.random(3000).round(6) * 1000
+    df = spark.createDataFrame([(int(i % 3), float(v)) for i, v in enumerate(x)] + [(7, None), (8, 1.5)], "k long, v double")
+    agg = lambda d: {r.k: r[1:] for r in d.groupBy("k").agg(exact_sum("v"), exact_mean("v"), exact_std("v")).collect()}
+    got = agg(df.repartition(2))
+    assert got == agg(df.repartition(9, "v"))  # to the last bit
+    for k in range(3):
+        assert np.allclose(got[k], (x[k::3].sum(), x[k::3].mean(), x[k::3].std(ddof=1)), rtol=1e-9)
+    assert got[7] == (None, None, None) and got[8] == (1.5, 1.5, None)

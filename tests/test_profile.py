@@ -34,9 +34,9 @@ def test_interaction_pivot_wide(spark):
     rows = [(1, 10, 4.0), (1, 10, 2.0), (1, 11, 5.0), (2, 11, 1.0), (3, 12, 3.0)]
     df = spark.createDataFrame(rows, "user_id long, product_id long, rating double")
     wide = {r.user_id: r.asDict() for r in P.interaction_pivot(df, k=2).collect()}
-    # top-2 users: 1 (3 rows), then 2 and 3 tie at 1 row -> 2; top-2 products: 10, 11
+    # top-2 users: 1 (3 rows), then 2 and 3 tie at 1 row -> 2; top-2 products in order: p1 is 10, p2 is 11
     assert set(wide) == {1, 2}
-    assert wide[1]["10"] == 3.0 and wide[1]["11"] == 5.0 and wide[2]["10"] is None
+    assert wide[1]["p1"] == 3.0 and wide[1]["p2"] == 5.0 and wide[2]["p1"] is None
 
 
 def test_sparsity_counts_rows_not_pairs(spark):

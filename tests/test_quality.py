@@ -25,6 +25,22 @@ def test_duplicates_and_pk_with_nulls(spark):
     assert d.primary_key_duplicates == 4    # T1 x4 -> 3 repeats, null x2 -> 1 repeat
 
 
+def test_rows_with_one_key_are_compared_whole(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    rows = [(f"T{i % 7}", None, i % 3, 1, 3.0, "t", None) for i in range(40)] + [("T1", 1, None, 1, 3.0, "t", "c")] * 2
+    df = _txn(spark, rows)
+    want = len(rows) - len(set(rows))
+    assert Q.duplicate_rows(df).first().total_duplicates == want
+    monkeypatch.setattr(Q, "row_keys", lambda df: [F.lit(1).alias("_k1"), F.lit(2).alias("_k2")])
+    assert Q.duplicate_rows(df).first().total_duplicates == want
+    assert Q.duplicate_rows(df.limit(0)).first().total_duplicates == 0
+
+
+def test_nulls_in_other_columns_give_other_keys(spark):
+    df = spark.createDataFrame([("a", None), (None, "a")], "x string, y string")
+    assert df.select(*Q.row_keys(df)).distinct().count() == 2
+
+
 def test_ranges_coerce_and_all_null(spark):
     df = spark.createDataFrame([("0.5",), ("9",), ("x",), ("3",)], "rating string")
     r = {x.column: x for x in Q.ranges(df.withColumnRenamed("rating", "rating"), "transactions").collect()}

@@ -1,8 +1,12 @@
+import glob
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from basketry.operators import linalg, metrics as M, recommend as R
+from basketry.operators import scoring
 from basketry.operators.scoring import top_n_dot
 
 
@@ -151,18 +155,76 @@ def test_block_products_sums_and_inner_products(spark):
     cells = spark.createDataFrame([(int(i), int(j), float(a[i, j])) for i, j in zip(*np.nonzero(a))],
                                   "u long, p long, value double")
     rows, cols = linalg.key_blocks(cells, "u", 6), linalg.key_blocks(cells, "p", 4)
-    tiled = linalg.tiles(cells, rows, cols, "u", "p")
+    tiled = linalg.tiles(cells, rows, cols, "u", "p", most=8)
+    assert max(len(r.v) for r in tiled.collect()) <= 16
     z = linalg.start_block(cols, 3, 1)
+    both = linalg.Tiled(tiled)
     table = lambda df, blocks, key, w: np.array([r.vec for r in linalg.to_vectors(df, blocks, key, w).orderBy(key).collect()])
     zm = table(z, cols, "p", 3)
     used = sorted({int(i) for i in np.nonzero(a)[0]})
-    y = linalg.product(tiled, z, 3)
+    y = both.product(z, 3)
     assert np.allclose(table(y, rows, "u", 3), (a @ zm)[used])
-    assert np.allclose(table(linalg.product(tiled, y, 3, transpose=True), cols, "p", 3), a.T @ a @ zm)
-    state = z.withColumnRenamed("data", "x").join(z.withColumnRenamed("data", "q"), "blk")
-    m = rng.random((3, 2))
-    assert np.allclose(table(linalg.each_block(state, 3, 3, lambda q, x: x @ m - q @ (2 * m)), cols, "p", 2), -zm @ m)
-    assert np.allclose(linalg.small_sum(state, 3, 3, 3, lambda q, x: q.T @ x), zm.T @ zm)
+    assert np.allclose(table(both.product(y, 3, transpose=True), cols, "p", 3), a.T @ a @ zm)
+    t, m = rng.random((3, 2)), rng.random((5, 3))
+    panels = [linalg.Panel(z, t), linalg.Panel(z, np.eye(3))]
+    q = np.hstack([zm @ t, zm])
+    assert np.allclose(table(both.product(z, 2, t=t), rows, "u", 2), (a @ zm @ t)[used])
+    assert np.allclose(linalg.inner_products(z, 3, panels), np.vstack([q.T @ zm, zm.T @ zm]))
+    assert np.allclose(table(linalg.combine(z, 3, panels, m), cols, "p", 3), zm + q @ m)
+    assert np.allclose(table(linalg.combine(None, 0, panels, m), cols, "p", 3), q @ m)
+    both.release()
+
+
+def test_interrupted_fit_goes_on_after_its_last_pass(spark, tmp_dir, monkeypatch):
+    df, rows = _pairs(spark, 60, 50, seed=9)
+    cells = df.withColumnRenamed("avg_rating", "value")
+    fit = lambda folder: linalg.truncated_svd(cells, "user_id", "product_id", 4, block=5, tol=1e-6, tile=16, folder=folder)
+    whole = fit(os.path.join(tmp_dir, "whole"))
+    plain, seen = linalg._Folder.commit, []
+
+    def stop(self, n, **small):
+        plain(self, n, **small)
+        seen.append(n)
+        if n == 4:
+            raise KeyboardInterrupt
+    monkeypatch.setattr(linalg._Folder, "commit", stop)
+    with pytest.raises(KeyboardInterrupt):
+        fit(os.path.join(tmp_dir, "part"))
+    made = {f: os.path.getmtime(f) for f in glob.glob(os.path.join(tmp_dir, "part", "*", "*", "part-*"))}
+    again = fit(os.path.join(tmp_dir, "part"))
+    assert seen[:5] == [0, 1, 2, 3, 4] and seen[5] == 5  # no pass twice
+    assert all(os.path.getmtime(f) == t for f, t in made.items())  # and nothing written anew
+    assert np.array_equal(again[2], whole[2])
+    for a, b in zip(again[:2], whole[:2]):
+        key = a.columns[0]
+        assert [r.vec for r in a.orderBy(key).collect()] == [r.vec for r in b.orderBy(key).collect()]
+
+
+def test_passes_write_alike_and_read_two_panels(spark, tmp_dir):
+    df, _ = _pairs(spark, 90, 80, density=0.7, seed=2)
+    linalg.truncated_svd(df.withColumnRenamed("avg_rating", "value"), "user_id", "product_id", 3, block=4, tol=1e-4, tile=32,
+                         folder=tmp_dir)
+    size = lambda name: sum(map(os.path.getsize, glob.glob(os.path.join(tmp_dir, "*", name, "part-*"))))
+    panels = [size(f"panel-{n}") for n in range(1, 5)]
+    products = [size(f"product-{n}") for n in range(1, 5)]
+    assert max(panels) < 1.2 * min(panels) and max(products) < 1.2 * min(products)
+
+
+def test_one_item_block_keeps_all_tasks_busy(spark):
+    rng = np.random.default_rng(6)
+    queries = spark.createDataFrame([(i, rng.random(3).tolist()) for i in range(3000)], "qid long, vec array<double>")
+    items = spark.createDataFrame([(i, rng.random(3).tolist()) for i in range(50)], "item long, vec array<double>")
+    want = sorted(map(tuple, top_n_dot(queries, items, 3).collect()))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met, _, n_items = scoring._meetings(queries, items, scoring.ITEM_BLOCK, scoring.QUERY_BLOCK)
+        assert n_items == 1 and met.select(F.spark_partition_id()).distinct().count() == 40  # tasks that score
+        assert sorted(map(tuple, top_n_dot(queries, items, 3).collect())) == want
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
 def test_recommend_cf_exclude_known(spark):

@@ -43,6 +43,54 @@ def test_entity_lookup_unknown_ids(spark):
     assert [r.user_id for r in K.entity_lookup(u, ids, "user_id").collect()] == [2]
 
 
+def test_snapshot_lookup_opens_only_files_that_hold_an_id(spark, tmp_dir):
+    users = spark.range(0, 4000, 2).select(F.col("id").alias("user_id"), (F.col("id") * 1.5).alias("a"))
+    items = spark.createDataFrame([(f"P{i:04d}", i) for i in range(300)] + [(None, -1)], "product_id string, n long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several files of so few rows
+    try:
+        K.snapshot_write({"user_features": users, "item_features": items, "none": spark.range(2)}, tmp_dir, "v1",
+                         created_at=dt.datetime(2024, 1, 1))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    every = spark.read.parquet(os.path.join(tmp_dir, "tables", "table=user_features", "version=v1")).inputFiles()
+    assert len(every) > 2
+    ids = spark.createDataFrame([(10,), (12,), (12,), (13,), (None,), (99999,)], "user_id long")
+    got = K.snapshot_lookup(spark, tmp_dir, "user_features", ids)
+    assert sorted(map(tuple, got.collect())) == [(10, 15.0), (12, 18.0)] and len(got.inputFiles()) == 1
+    assert K.snapshot_lookup(spark, tmp_dir, "user_features", ids.where("user_id > 5000")).collect() == []
+    many = spark.range(3000).select(F.col("id").alias("user_id"))
+    got = K.snapshot_lookup(spark, tmp_dir, "user_features", many, "v1")
+    assert got.count() == 1500 and len(got.inputFiles()) < len(every)
+    got = K.snapshot_lookup(spark, tmp_dir, "item_features", spark.createDataFrame([("P0007",), ("P02",)], "product_id string"))
+    assert [tuple(r) for r in got.collect()] == [("P0007", 7)]
+
+
+def test_features_computed_again_have_the_same_fingerprint(spark):
+    from basketry.plans.context import Tables
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    prints = []
+    try:
+        for n in (8, 13, 40):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            t = Tables(spark, "/root/testdata/sf0.001")
+            prints.append([tuple(K.fingerprint(df).first()) for df in (t.user_features, t.item_features, t.interactions)])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert prints[0] == prints[1] == prints[2]
+
+
+def test_fingerprint_tells_the_last_bit(spark):
+    import numpy as np
+    tiny = [1.0, 43.0921875, 1e-9, 5e-324, 0.1, -0.1, 1e18, 1e300, float("inf"), None]
+    one = lambda x: spark.createDataFrame([(x,)], "a double")
+    base = {x: K.fingerprint(one(x)).first()["hash_sum"] for x in tiny}
+    assert len(set(base.values())) == len(tiny)
+    assert base[5e-324] == K.fingerprint(one(0.0)).first()["hash_sum"]  # no bit down to 2^-104
+    for x in (43.0921875, 0.1, -0.1, 1e-9):
+        assert K.fingerprint(one(float(np.nextafter(x, 1e9)))).first()["hash_sum"] != base[x]
+    assert K.fingerprint(one(-0.0)).first() == K.fingerprint(one(0.0)).first()
+
+
 def test_catalogue_filter_by_entity(spark):
     tables = {"user_features": spark.createDataFrame([(1, 3)], "user_id long, total_transactions long"),
               "item_features": spark.createDataFrame([(1, 5)], "product_id long, total_purchases long"),
@@ -75,11 +123,13 @@ def test_json_payload_list_or_object(spark, tmp_dir):
     assert len(r) == 1 and r[0]._source_api == "api"
 
 
-def test_ingestion_report_isolates_failures(spark):
+def test_ingestion_report_isolates_failures(spark, tmp_dir):
     def boom():
         raise RuntimeError("source down")
-    rep = {r.source: r for r in SF.ingestion_report(spark, {"ok": lambda: spark.range(3), "bad": boom}).collect()}
-    assert rep["ok"].records == 3 and rep["ok"].status == "success"
+    rep = {r.source: r for r in SF.ingestion_report(spark, {"ok": lambda: spark.range(3), "bad": boom, "none": lambda: spark.range(0)},
+                                                    tmp_dir).collect()}
+    assert rep["ok"].records == 3 and rep["ok"].status == "success" and rep["none"].records == 0
+    assert spark.read.parquet(os.path.join(tmp_dir, "ok")).count() == 3
     assert rep["bad"].status == "failed" and "source down" in rep["bad"].error
 
 
@@ -87,8 +137,23 @@ def test_land_timestamped_appends(spark, tmp_dir):
     df = spark.range(2).withColumnRenamed("id", "x")
     l1 = SF.land_timestamped(df, tmp_dir, "t", dt.datetime(2024, 1, 1, 0, 0, 0))
     l2 = SF.land_timestamped(df, tmp_dir, "t", dt.datetime(2024, 1, 1, 0, 0, 1))
-    out = spark.read.parquet(os.path.join(tmp_dir, "t"))
-    assert l1 != l2 and out.count() == 4
+    assert l1 != l2 and SF.read_landed(spark, tmp_dir, "t").groupBy("load_ts").count().orderBy("load_ts").collect() == [(l1, 2), (l2, 2)]
+
+
+def test_a_load_stopped_half_way_and_repeated_gives_each_row_once(spark, tmp_dir):
+    df = spark.range(20).repartition(4).withColumnRenamed("id", "x")
+    SF.land_timestamped(df, tmp_dir, "t", dt.datetime(2024, 1, 1, 0, 0, 0))
+    at = dt.datetime(2024, 1, 1, 0, 0, 1)
+    stops = F.when(F.col("x") == 13, F.raise_error(F.lit("executor lost"))).otherwise(F.col("x")).alias("x")
+    with pytest.raises(Exception, match="executor lost"):
+        SF.land_timestamped(df.select(stops), tmp_dir, "t", at)
+    # as if the data had been written and the commit had not
+    df.limit(7).write.mode("append").parquet(os.path.join(tmp_dir, "t", "load_ts=20240101_000001"))
+    assert SF.read_landed(spark, tmp_dir, "t").count() == 20
+    for _ in range(2):
+        load = SF.land_timestamped(df, tmp_dir, "t", at)
+        rows = SF.read_landed(spark, tmp_dir, "t")
+        assert sorted(r.x for r in rows.where(F.col("load_ts") == load).collect()) == list(range(20)) and rows.count() == 40
 
 
 def test_landing_stream_available_now(spark, tmp_dir):
@@ -135,7 +200,8 @@ def test_corrupt_source_fails_alone_with_its_whole_error(spark, tmp_dir):
                 fh.write(data[:20] + b"\0" * (len(data) - 20))
     schema = "id long"
     rep = {r.source: r for r in SF.ingestion_report(spark, {
-        "bad": lambda: spark.read.schema(schema).parquet(bad), "good": lambda: spark.read.schema(schema).parquet(good)}).collect()}
+        "bad": lambda: spark.read.schema(schema).parquet(bad), "good": lambda: spark.read.schema(schema).parquet(good)},
+        os.path.join(tmp_dir, "landed")).collect()}
     assert (rep["good"].status, rep["good"].records) == ("success", 5)
     assert rep["bad"].status == "failed" and rep["bad"].records is None and len(rep["bad"].error) > 500
     assert all(r.ended_at >= r.started_at for r in rep.values())
