@@ -11,7 +11,8 @@ every ``<`` + backslashes + ``turn``/``/turn`` gets one more backslash, so no
 text contains a marker and unescaping is exact.
 
 Defined results: null text or role counts as empty; a null tree key is a tree
-of its own; a parent that is not in the tree makes its child a root; of
+of its own, and a null node a message like any other, to which nothing replies;
+a null parent, or one that is not in the tree, makes its child a root; of
 messages with one key the smallest (parent, score) and the smallest (role,
 text) hold; nodes on a parent cycle have
 no root and are left out; an empty table gives no rows; other columns are
@@ -63,10 +64,22 @@ def masked_text(formatted: Column, spans: Column) -> Column:
         spans, lambda s: unescape_text(F.substr(formatted, s["start"], s["length"]))))
 
 
+def _keyed(messages: DataFrame) -> DataFrame:
+    """Keys as structs, which are equal if both are null."""
+    parent = F.col("parent").cast(messages.schema["node"].dataType)
+    return messages.withColumns({"tree": F.struct(F.col("tree").alias("k")), "node": F.struct(F.col("node").alias("k")),
+                                 "parent": F.when(parent.isNotNull(), F.struct(parent.alias("k")))})
+
+
 def reply_paths(messages: DataFrame, top_k: int | None = 1) -> DataFrame:
     """Root-to-leaf paths: ``tree, leaf, branch_rank, branch_score, node, up``
     (``up``: steps from the leaf).  A branch scores the sum of its messages'
     scores (null: 0); the ``top_k`` best per tree are kept (None: all)."""
+    keys = {c: F.col(f"{c}.k") for c in ("tree", "leaf", "node")}
+    return _paths(_keyed(messages), top_k).withColumns(keys)
+
+
+def _paths(messages: DataFrame, top_k: int | None) -> DataFrame:
     nodes = written(messages.groupBy("tree", "node")
                     .agg(F.min(F.struct("parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score")))
                          .alias("m")).select("tree", "node", "m.parent", "m.score"), "chat-nodes")
@@ -110,6 +123,7 @@ def format_trees(messages: DataFrame, top_k: int | None = 1, loss_role: str = "a
     chosen path: ``tree, leaf, branch_rank, branch_score, n_turns, formatted,
     loss_spans`` (1-based start and length in code points of each text whose
     role is ``loss_role``, as escaped in ``formatted``)."""
+    messages = _keyed(messages)
     texts = messages.groupBy("tree", "node").agg(F.min(F.struct(
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))).alias("m"))
     texts = texts.select("tree", "node", "m.role", escape_text(F.col("m.text")).alias("body"),
@@ -117,7 +131,7 @@ def format_trees(messages: DataFrame, top_k: int | None = 1, loss_role: str = "a
     size = F.length("head") + F.length("body") + F.lit(len(CLOSE))
     path = ["tree", "leaf"]
     order = W.partitionBy(*path).orderBy(F.desc("up"))
-    turns = (reply_paths(messages, top_k).join(texts, ["tree", "node"])
+    turns = (_paths(messages, top_k).join(texts, ["tree", "node"])
              .withColumn("end", F.sum(size.cast("long")).over(order.rowsBetween(W.unboundedPreceding, 0))))
     piece = F.struct(
         (-F.col("up")).alias("at"), F.concat("head", "body", F.lit(CLOSE)).alias("piece"),
@@ -128,7 +142,7 @@ def format_trees(messages: DataFrame, top_k: int | None = 1, loss_role: str = "a
                                     F.min("branch_score").alias("branch_score"),
                                     F.count("*").alias("n_turns"),
                                     F.array_sort(F.collect_list(piece)).alias("p"))
-    return rows.select(*path, "branch_rank", "branch_score", "n_turns",
+    return rows.select(*[F.col(f"{c}.k").alias(c) for c in path], "branch_rank", "branch_score", "n_turns",
                        F.concat_ws("", F.col("p.piece")).alias("formatted"),
                        F.filter(F.col("p.span"), lambda s: s.isNotNull()).alias("loss_spans"))
 

@@ -33,35 +33,42 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def kept_apart(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` with its columns of the given names renamed by underscores before
+    them, so that an operator can add columns of these names."""
+    for name in names:
+        clash = next((c for c in df.columns if c.lower() == name.lower()), None)
+        if clash:
+            df = df.withColumnRenamed(clash, unused(df, "_" + clash))
+    return df
+
+
 def text_key(text: str = "text"):
     """64-bit key of a text; null and empty differ."""
     return F.xxhash64(F.col(text), F.length(text))
 
 
-def numbered(df: DataFrame, order: list[str], name: str) -> tuple[DataFrame, int]:
-    """Adds ``row_number`` 0..n-1 in the order of the given columns (nulls
-    first) and returns the table with n.
+def numbered(df: DataFrame, order: list[str], name: str, out: str = "row_number") -> tuple[DataFrame, int]:
+    """Adds a column ``out`` (not one of the table's) with 0..n-1 in the order of
+    the given columns (nulls first) and returns the table with n.
 
     Rows are range-partitioned and sorted, and each row's partition and local
     position are *written*, so counts and rows come from the same files.  A
     seeded random column breaks ties, so that equal rows spread over
     partitions; equal rows get consecutive numbers in any order.
     """
-    ranged = (df.withColumn("_tie", F.rand(7))
-              .repartitionByRange(*[F.col(c).asc_nulls_first() for c in order], F.col("_tie"))
-              .sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order], F.col("_tie"))
-              .drop("_tie")
-              .withColumn("_part", F.spark_partition_id())
-              .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
+    tie, part, local, n, first = (unused(df, c) for c in ("_tie", "_part", "_local", "_n", "_before"))
+    by = [*[F.col(c).asc_nulls_first() for c in order], F.col(tie)]
+    ranged = (df.withColumn(tie, F.rand(7)).repartitionByRange(*by).sortWithinPartitions(*by).drop(tie)
+              .withColumn(part, F.spark_partition_id())
+              .withColumn(local, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
     t = written(ranged, name)
-    counts = t.groupBy("_part").agg(F.count("*").alias("_n"))
+    counts = t.groupBy(part).agg(F.count("*").alias(n))
     # one row per partition, so the unpartitioned window is small
-    before = F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    offsets = counts.select("_part", before.alias("_before"))
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    rows = (t.join(offsets, "_part").withColumn("row_number", F.col("_before") + F.col("_local"))
-             .drop("_part", "_local", "_before"))
-    return rows, int(total)
+    before = F.coalesce(F.sum(n).over(W.orderBy(part).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select(part, before.alias(first))
+    total = counts.agg(F.sum(n)).first()[0] or 0
+    return t.join(offsets, part).withColumn(out, F.col(first) + F.col(local)).drop(part, local, first), int(total)
 
 
 def hash_sample(df: DataFrame, key, rows: int) -> DataFrame:

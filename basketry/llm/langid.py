@@ -9,7 +9,8 @@ Forward-backward gives each word's label probabilities; a document's language
 is the label with the largest expected share of words, that share its score.
 
 Training uses a bounded sample: at most ``SAMPLE`` distinct texts per language
-value, the smallest by text hash, whole.  Every document is predicted from all
+value, the smallest by text hash, whole, and ``SAMPLE_BYTES`` of text together
+(a language whose texts are all longer than its part of that is not learned).  Every document is predicted from all
 of its text, in blocks of words whose transfer matrices are multiplied, so a
 very long text takes no longer per word than a short one.
 
@@ -30,6 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 SAMPLE = 400
+#: Bytes of all sampled texts together, in even parts for the languages.
+SAMPLE_BYTES = 32 << 20
 LEXICON_DOCS = 5
 EPOCHS = 3
 CHAIN = 64
@@ -310,17 +313,22 @@ def label_texts(texts: list[str | None], model: Model, spans: bool = False, cert
     return out
 
 
-def training_sample(docs: DataFrame, lang: str = "lang", text: str = "text", limit: int = SAMPLE) -> DataFrame:
-    """At most ``limit`` distinct texts per language value, smallest hash first."""
+def training_sample(docs: DataFrame, lang: str = "lang", text: str = "text", limit: int = SAMPLE,
+                    most_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """At most ``limit`` distinct texts per language value, smallest hash first,
+    and at most ``most_bytes`` of text for all languages together."""
     rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
-    distinct = rows.groupBy("lang", "h").count()
+    every = rows.groupBy("lang", "h").agg(F.max(F.octet_length("text").cast("long")).alias("size"))
+    room = F.lit(most_bytes) / F.greatest(F.lit(1), every.select(F.count_distinct("lang")).scalar())
+    distinct = every.filter(F.col("size") <= room)
     # about twice the limit by a share of the hash range, then exactly the smallest
     share = distinct.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(2.0 * limit) / F.count("*")).alias("share"))
     place = (F.pmod("h", F.lit(1 << 53)) / F.lit(float(1 << 53))).alias("place")
-    few = (distinct.select("lang", "h", place).join(share, "lang").filter(F.col("place") <= F.col("share"))
-           .withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("place", "h")))
-           .filter(F.col("r") <= limit).select("lang", "h"))  # bounded by limit and the number of languages
+    few = (distinct.select("lang", "h", "size", place).join(share, "lang").filter(F.col("place") <= F.col("share"))
+           .withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("place", "h"))).filter(F.col("r") <= limit)
+           .withColumn("used", F.sum("size").over(W.partitionBy("lang").orderBy("r"))).filter(F.col("used") <= room)
+           .select("lang", "h"))  # bounded by limit and the number of languages
     return rows.join(F.broadcast(few), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
 
 

@@ -9,7 +9,8 @@ sizes differ by one row at most and slots have no gaps.
 
 Defined results: a null text has no bytes and CRC 0; null order values come
 first; equal rows each get a place of their own; an empty table gives no
-rows; other columns are kept apart from the ones named here.
+rows; other columns are kept, those called position, shard or slot with an
+underscore before their name.
 """
 from __future__ import annotations
 
@@ -18,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_path, numbered
+from .common import fresh_path, kept_apart, numbered, unused
 
 ROUNDS = 8
 MAX_WALK = 64
@@ -76,13 +77,15 @@ def permute(x: Column, n: int, seed: int) -> Column:
 
 def assign_shards(rows: DataFrame, order: list[str], shards: int, seed: int = 42) -> DataFrame:
     """Adds ``position, shard, slot`` to every row."""
-    t, n = numbered(rows, order, "shard-rows")
+    rows = kept_apart(rows, "position", "shard", "slot")
+    number = unused(rows, "row_number")
+    t, n = numbered(rows, order, "shard-rows", out=number)
     if n >= 1 << 53:
         raise ValueError("more than 2^53 rows")
-    place = permute(F.col("row_number"), n, seed) if n else F.lit(None).cast("long")
+    place = permute(F.col(number), n, seed) if n else F.lit(None).cast("long")
     return (t.withColumn("position", place)
              .withColumn("shard", (F.col("position") % shards).cast("int"))
-             .withColumn("slot", F.floor(F.col("position") / shards).cast("long")))
+             .withColumn("slot", F.floor(F.col("position") / shards).cast("long")).drop(number))
 
 
 def document_shards(docs: DataFrame, shards: int, seed: int = 42) -> DataFrame:

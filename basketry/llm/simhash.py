@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, text_key, unused, written
+from .common import components, kept_apart, text_key, unused, written
 
 SEED = 42
 MAX_DISTANCE = 2
@@ -68,11 +68,12 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 
 def with_fingerprint(docs: DataFrame, text: str = "text", shingle: int = 3) -> DataFrame:
-    """Adds ``fp`` (the fingerprint's 64 bits as a signed long)."""
+    """Adds ``fp`` (the fingerprint's 64 bits as a signed long); a column of that
+    name goes on with an underscore before it."""
     @F.pandas_udf("long")
     def simhash(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64))
-    return docs.withColumn("fp", simhash(F.col(text)))
+    return kept_apart(docs.withColumn(out := unused(docs, "fp_"), simhash(F.col(text))), "fp").withColumnRenamed(out, "fp")
 
 
 def distances(fps: np.ndarray) -> np.ndarray:

@@ -12,7 +12,8 @@ under a name of its own in the shared folder and returns it in a manifest, so
 a repeated task leaves no trace in the result.  Tasks stream: a chunk of ids
 is all they hold.
 
-Defined results: a null or empty text is the end id alone; null doc_ids come
+Defined results: a null or empty text is the end id alone; doc_ids are integers
+(a table with others is refused before anything is read); null doc_ids come
 first; repeated ids keep a row each, next to each other; an empty table
 gives no rows; other columns are ignored.
 """
@@ -28,6 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from .common import fresh_path, open_fs, written
@@ -164,6 +166,8 @@ def write_files(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", end_id:
                 folder: str | None = None) -> DataFrame:
     """Writes all documents in ascending id order; returns the manifest
     ``part, path, n_docs, n_ids, first_id`` (ids in the files before)."""
+    if not isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        raise TypeError("doc_id must be of an integer type")
     folder = folder or fresh_path(docs.sparkSession, "token-files")
     tail = end_id.to_bytes(4, "little")
 

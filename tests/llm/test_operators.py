@@ -609,11 +609,14 @@ def test_token_files_round_trip(spark):
 # --- embeddings -----------------------------------------------------------
 
 def brute_links(rows, threshold=0.95):
-    ok = [i for i, (_, v) in enumerate(rows) if v is not None and len(v) == 8
+    ok = [i for i, (_, v) in enumerate(rows) if v is not None
           and all(x is not None and np.isfinite(x) for x in v) and any(v)]
-    x = np.array([rows[i][1] for i in ok], dtype=np.float32).astype(float)
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    near = x @ x.T >= threshold
+    near = np.zeros((len(ok), len(ok)), bool)
+    for d in {len(rows[i][1]) for i in ok}:
+        at = np.array([k for k, i in enumerate(ok) if len(rows[i][1]) == d])
+        x = np.array([rows[ok[k]][1] for k in at], dtype=np.float32).astype(float)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        near[np.ix_(at, at)] = x @ x.T >= threshold
     np.fill_diagonal(near, False)
     group = np.arange(len(ok))
     while True:
@@ -627,9 +630,10 @@ def brute_links(rows, threshold=0.95):
     return sorted((a, b, c, a == c) for a, b, c in out.values())
 
 
-@pytest.mark.parametrize("block", [embeddings.BLOCK, 16])
-def test_embedding_links_match_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, rare", [(embeddings.BLOCK, embeddings.RARE), (16, 20)])
+def test_embedding_links_match_brute_force(spark, monkeypatch, block, rare):
     monkeypatch.setattr(embeddings, "BLOCK", block)
+    monkeypatch.setattr(embeddings, "RARE", rare)
     monkeypatch.setattr(embeddings, "KEY_BITS", (3, 28))  # eight dimensions: enough tables of three bits
     monkeypatch.setattr(embeddings, "ROTATIONS", 16)
     monkeypatch.setattr(embeddings.learn_rotations, "__defaults__", (16, 20, 11))
@@ -639,6 +643,8 @@ def test_embedding_links_match_brute_force(spark, monkeypatch, block):
     rows += [(400 + i, list(rows[5][1])) for i in range(30)]  # copies
     rows += [(500, [2 * x for x in rows[7][1]]), (501, None), (502, [0.0] * 8), (503, [float("nan")] * 8), (504, [None] * 8),
              (505, [1.0]), (506, []), (507, [float("inf")] + [0.0] * 7), (508, [-0.0] + rows[9][1][1:]), (509, [0.0] + rows[9][1][1:])]
+    rows += [(600 + i, [float(np.float32(x)) for x in rng.normal(size=2)]) for i in range(60)]  # other lengths, one frequent
+    rows += [(700, [3.0, 4.0]), (701, [3.0, 4.0]), (702, [6.0, 8.0]), (710, [1.0] * 5), (711, [2.0] * 5), (712, [-1.0] * 5), (713, [7.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("cls", F.lit(1)).withColumn("n", F.lit(2))
     got = plain_rows(embeddings.near_duplicates(df))
     assert sorted(got) == brute_links(rows)
@@ -654,10 +660,16 @@ def test_long_keys_find_pairs_at_the_threshold(monkeypatch, width):
     away = rng.normal(size=a.shape)
     away = unit(away - (away * a).sum(axis=1, keepdims=True) * a)
     b = 0.951 * a + np.sqrt(1 - 0.951 ** 2) * away
-    mean, rotation, used = embeddings.learn_tables(sample, 1 << (width + 4), 0.95)
+    mean, rotation, used, reach = embeddings.learn_tables(sample, 1 << (width + 4), 0.95)
     ka, kb = (embeddings.table_keys(x, mean, rotation, used) for x in (a, b))
     recall = (ka == kb).any(axis=1).mean()
     assert used == width and recall >= 0.998
+    ca, cb = (embeddings.codes(x, mean, rotation) for x in (a, b))
+    assert (embeddings.code_keys(ca, used, rotation.shape[1]) == ka).all()
+    apart = np.bitwise_count(ca ^ cb).sum(axis=1)
+    assert (apart <= reach).mean() >= 0.9999  # the filter on codes loses no pairs worth speaking of
+    strangers = np.bitwise_count(ca ^ np.roll(cb, 1, axis=0)).sum(axis=1)
+    assert (strangers <= reach).mean() < 0.01
 
 
 @pytest.mark.parametrize("dim", [1, 2, 3])
@@ -665,7 +677,7 @@ def test_short_vectors_have_tables(dim):
     rng = np.random.default_rng(7)
     sample = rng.normal(size=(300, dim))
     sample /= np.linalg.norm(sample, axis=1, keepdims=True)
-    mean, rotation, width = embeddings.learn_tables(sample, len(sample), 0.95)
+    mean, rotation, width, _ = embeddings.learn_tables(sample, len(sample), 0.95)
     keys = embeddings.table_keys(sample, mean, rotation, width)
     near = sample @ sample.T >= 0.95
     assert (keys[:, None] == keys[None]).any(axis=2)[near].mean() >= 0.998
@@ -686,3 +698,49 @@ def test_components_of_chains_and_stars(spark):
     got = dict(plain_rows(common.components(spark.createDataFrame(edges, "a long, b long"), "a", "b", "t")))
     assert got == {**{i: 0 for i in range(61)}, **{1000 + k: 1000 for k in range(50)}, 500: 499, 499: 499}
     assert common.components(spark.createDataFrame([], "a long, b long"), "a", "b", "t").count() == 0
+
+
+# --- names and keys that clash or are null --------------------------------
+
+def test_null_trees_and_nodes_are_formatted(spark):
+    rows = [(None, 1, None, "user", "a", 1.0), (None, 2, 1, "assistant", "b", 1.0),
+            ("t", None, None, "user", "null node", 5.0), ("t", 7, None, "user", "c", 1.0), ("t", 8, 7, "assistant", "d", 1.0),
+            ("u", 1, None, "user", "e", 0.0), ("u", None, 1, "assistant", "f", 1.0), ("u", 3, 1, "assistant", "g", 3.0)]
+    df = spark.createDataFrame(rows, "tree string, node long, parent long, role string, text string, score double")
+    got = {(r["tree"], r["leaf"]): (r["branch_rank"], [t["text"] for t in r["turns"]]) for r in
+           chat.format_trees(df, top_k=None).withColumn("turns", chat.parse_chat(F.col("formatted"))).collect()}
+    assert got == {(None, 2): (1, ["a", "b"]), ("t", None): (1, ["null node"]), ("t", 8): (2, ["c", "d"]),
+                   ("u", 3): (1, ["e", "g"]), ("u", None): (2, ["e", "f"])}
+    assert {(r["tree"], r["leaf"]) for r in chat.format_trees(df).collect()} == {(None, 2), ("t", None), ("u", 3)}
+    paths = chat.reply_paths(df, None)
+    assert paths.columns == ["tree", "leaf", "branch_rank", "branch_score", "node", "up"] and paths.count() == 9
+
+
+def test_shards_keep_columns_of_clashing_names(spark):
+    names = ["_part", "_tie", "_local", "_n", "_before", "row_number", "position", "shard", "SLOT"]
+    df = spark.range(30).select("id", *[F.col("id").alias(c) for c in names])
+    out = sharding.assign_shards(df, ["id"], 4)
+    assert out.columns == ["id", *names[:6], "_position", "_shard", "_SLOT", "position", "shard", "slot"]
+    plain = {r["id"]: (r["position"], r["shard"], r["slot"]) for r in sharding.assign_shards(spark.range(30), ["id"], 4).collect()}
+    for r in out.collect():
+        assert all(r[c] == r["id"] for c in out.columns[1:10]) and tuple(r[c] for c in ("position", "shard", "slot")) == plain[r["id"]]
+
+
+def test_fingerprint_keeps_a_column_of_its_name(spark):
+    df = spark.createDataFrame([("a b c", 5, 6)], "text string, fp long, _fp long")
+    r = simhash.with_fingerprint(df).first().asDict()
+    assert r == {"text": "a b c", "__fp": 5, "_fp": 6, "fp": r["fp"]} and r["fp"] & (1 << 64) - 1 == simhash.fingerprint("a b c")
+
+
+def test_token_files_refuse_ids_that_are_no_integers(spark):
+    with pytest.raises(TypeError):
+        tokenfile.write_files(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
+
+
+def test_language_sample_is_bounded_in_bytes(spark):
+    rows = [(lang, f"{lang} {i} " + "x" * 100) for lang in "ab" for i in range(50)] + [("a", "y" * 5000), ("c", "z" * 9000)]
+    df = spark.createDataFrame(rows, "lang string, text string")
+    got = langid.training_sample(df, limit=20).collect()
+    assert sorted(r["lang"] for r in got).count("a") == 20 and len(got) == 41
+    got = langid.training_sample(df, limit=40, most_bytes=6000).collect()
+    assert {r["lang"] for r in got} == {"a", "b"} and sum(len(r["text"]) for r in got) <= 4000 and len(got) > 30

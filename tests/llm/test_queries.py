@@ -1,12 +1,17 @@
 """Registered queries: against their DuckDB SQL, and the pipeline's stages
 against what each must keep."""
+import zlib
+
 import duckdb
 import numpy as np
+import public_tokenizers
 import pytest
+import tokenizers
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from basketry.llm import common, decontam, simhash
+from basketry.llm import common, decontam, langid, simhash
 from basketry.llm.queries import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -41,6 +46,67 @@ def test_other_queries_cover_their_table(spark, name, columns):
     assert {r[0] for r in df.select("doc_id").collect()} == ids
 
 
+def docs_sf():
+    return duckdb.sql(f"SELECT doc_id, text, lang FROM read_parquet('{SF}/documents.parquet') ORDER BY doc_id").fetchall()
+
+
+def test_simhash_query_value_by_value(spark):
+    fps = {i: simhash.fingerprint(t, 3) for i, t, _ in docs_sf()}
+    assert simhash.fingerprint("A b") == int(xxhash.xxh64_hexdigest(b"a b", 42), 16)  # one shingle: its hash
+    low = {i: i for i in fps}
+    while True:
+        new = {i: min(low[j] for j in fps if (fps[i] ^ fps[j]).bit_count() <= 2) for i in fps}
+        if new == low:
+            break
+        low = new
+    got = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in QUERIES["op3_simhash_pivots"](spark, SF).collect()}
+    assert got == {i: (f"{fps[i]:016x}", low[i]) for i in fps}
+
+
+def test_language_query_value_by_value(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.train(docs.filter(~langid.held_out()).select("lang", "text"))
+    got = {r["doc_id"]: r for r in QUERIES["op5_language_crf"](spark, SF).collect()}
+    right = 0
+    for i, text, lang in docs_sf():
+        label, score = langid.label_texts([text], model)[0][:2]
+        assert got[i]["lang_pred"] == label and abs(got[i]["score"] - score) < 1e-9
+        assert got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 4 == 2)
+        right += got[i]["held_out"] and label == lang
+    assert right >= 0.9 * sum(r["held_out"] for r in got.values())
+
+
+def library_ids(name, end):
+    code = tokenizers.Tokenizer.from_file(public_tokenizers.path(name))
+    return {i: np.array([*code.encode(t or "", add_special_tokens=False).ids, end], "<u4") for i, t, _ in docs_sf()}
+
+
+def test_packing_query_value_by_value(spark):
+    ids = library_ids("byte_bpe_50k.json", 0)
+    by_doc, by_sequence = {i: [] for i in ids}, {}
+    for r in QUERIES["op8_pack_sequences"](spark, SF).collect():
+        piece = ids[r["doc_id"]][r["start"]:r["start"] + r["length"]]
+        assert r["doc_tokens"] == len(ids[r["doc_id"]]) and r["ids_crc32"] == zlib.crc32(piece.tobytes()) and len(piece) == r["length"]
+        by_doc[r["doc_id"]].append((r["start"], r["length"]))
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for spans, total in [(s, len(ids[i])) for i, s in by_doc.items()] + [(s, None) for s in by_sequence.values()]:
+        at = 0
+        for start, length in sorted(spans):
+            assert start == at and length > 0
+            at += length
+        assert at == total if total else at <= 1024
+    assert len(by_sequence) <= 1.02 * sum(map(len, ids.values())) / 1024 + 2
+
+
+def test_token_file_query_value_by_value(spark):
+    start, want = 0, {}
+    for i, x in library_ids("word_bpe_49k.json", 1).items():
+        want[i] = (start, len(x), zlib.crc32(x.tobytes()))
+        start += len(x)
+    got = {r["doc_id"]: (r["start"], r["n_tokens"], r["ids_crc32"]) for r in QUERIES["op9_token_planes"](spark, SF).collect()}
+    assert got == want
+
+
 def test_edit_counts_query_equals_full_encoding(spark):
     from basketry.llm.encode import Encoder
     from basketry.llm.queries import revision
