@@ -9,9 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import ensure_checkpoint_dir
 
 
+def session_folder(spark: SparkSession) -> str:
+    """This session's own folder under that of ``spark.checkpoint.dir``."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/basketry-cut/{spark.sparkContext.applicationId}"
+
+
 def fresh_folder(spark: SparkSession, name: str) -> str:
-    """A folder under that of ``spark.checkpoint.dir`` not used before."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/basketry-cut/{name}-{uuid.uuid4().hex[:12]}"
+    """A folder in the session's own not used before."""
+    return f"{session_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def discard_intermediates(spark: SparkSession) -> None:
+    """Deletes what this session has written in between.  To be called when the
+    results that read it (lazily) are written or no longer wanted."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(session_folder(spark))
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def materialised(df: DataFrame, name: str) -> DataFrame:

@@ -21,6 +21,7 @@ def main() -> None:
     from basketry.session import build_session
     from basketry.sources.files import scratch_dir
     from basketry.sources.roles import DEFAULT_AS_OF
+    from basketry.sources.shared import discard_intermediates
 
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2))
     out = scratch_dir(spark, "bench")
@@ -47,6 +48,7 @@ def main() -> None:
     print(json.dumps({"metric": "end_to_end_total", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(sf.group(1)) if sf else sf_dir, "cpus": cpus,
                       "model_metrics": m}))
+    discard_intermediates(spark)
     spark.stop()
 
 

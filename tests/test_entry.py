@@ -78,7 +78,8 @@ def test_every_query_matches_its_oracle(spark, duck):
     assert {n: w for n, w in wrong.items() if w} == {}
 
 
-@pytest.mark.parametrize("name", ["c13_clean_transactions", "v12_dq_report_all", "f13_dense_index"])
+@pytest.mark.parametrize("name", ["c13_clean_transactions", "v12_dq_report_all", "f13_dense_index",
+                                  "k3_snapshot_fingerprint"])
 def test_results_do_not_depend_on_partitioning(spark, name):
     name = next(n for n in QUERIES if n.startswith(name))
     first = ordered(map(tuple, QUERIES[name](spark, SF).collect()))

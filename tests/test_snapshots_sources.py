@@ -207,6 +207,16 @@ def test_corrupt_source_fails_alone_with_its_whole_error(spark, tmp_dir):
     assert all(r.ended_at >= r.started_at for r in rep.values())
 
 
+def test_only_this_sessions_intermediates_are_deleted(spark, tmp_dir, monkeypatch):
+    from basketry.sources import shared
+    monkeypatch.setattr(shared, "ensure_checkpoint_dir", lambda spark: tmp_dir)
+    other = os.path.join(tmp_dir, "basketry-cut", "other-session", "x")
+    spark.range(3).write.parquet(other)
+    assert shared.materialised(spark.range(5), "t").count() == 5
+    shared.discard_intermediates(spark)
+    assert os.listdir(os.path.join(tmp_dir, "basketry-cut")) == ["other-session"] and spark.read.parquet(other).count() == 3
+
+
 def test_local_scratch_only_in_single_process_sessions():
     from basketry.session import ensure_checkpoint_dir, is_single_process
 
