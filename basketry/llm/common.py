@@ -2,18 +2,16 @@
 numbers, connected components, and files in the session's shared folder."""
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..session import ensure_checkpoint_dir
+from ..sources.shared import fresh_folder
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder (``spark.checkpoint.dir``) not used before."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
+    return fresh_folder(spark, f"llm-{name}")
 
 
 def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
