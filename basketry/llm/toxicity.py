@@ -32,13 +32,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from .common import text_key, written
 
 THRESHOLD = 0.3
 SAMPLE = 4000
-SAMPLE_BYTES = 16 << 20
+SAMPLE_BYTES = 12 << 20
 LONGEST = 16
 BITS = 18
 #: Passes over the sample, texts of a step, AdaGrad's rate, what its squares
@@ -155,8 +154,11 @@ def fit(texts: list[str], toxic: list[int], share: tuple[float, float] | None =
     del ids
     # features of fewer than LEAST_DOCS texts go to one place that stays zero
     seen = np.unique(np.repeat(doc, size).astype(np.int64) * len(feats) + token)
-    at = np.unique(np.repeat(seen // len(feats), feats.shape[1]) << BITS | feats[seen % len(feats)].ravel())
-    docs_with = np.bincount(at & ((1 << BITS) - 1), minlength=1 << BITS)
+    docs_with = np.zeros(1 << BITS, np.int64)
+    for column in feats.T:
+        at = np.unique((seen // len(feats)) << BITS | column[seen % len(feats)])
+        docs_with += np.bincount(at & ((1 << BITS) - 1), minlength=1 << BITS)
+    del seen, at
     feats = np.where(docs_with[feats] >= LEAST_DOCS, feats, 1 << BITS)
     first_sentence = np.searchsorted(doc, np.arange(len(texts) + 1))
     first_token = np.r_[0, np.cumsum(size)]
@@ -196,19 +198,22 @@ def fit(texts: list[str], toxic: list[int], share: tuple[float, float] | None =
     return Model(w[:-1].astype(np.float32), float(bias))
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, text, toxic`` of the documents with a label (0 or 1)."""
-    marks = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+def marks(labels: DataFrame) -> DataFrame:
+    """``doc_id, toxic`` (0 or 1) of the documents with a label."""
+    known = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
-    return docs.select("doc_id", "text").join(marks.filter("toxic is not null"), "doc_id")
-
-
-def train(rows: DataFrame, limit: int = SAMPLE, most_bytes: int = SAMPLE_BYTES) -> Model:
-    """The model from ``rows(text, toxic)``: the texts with the smallest hashes,
-    at most ``limit`` of each label and ``most_bytes`` together."""
-    rows = rows.filter(F.col("text").isNotNull())
-    keys = written(rows.select("toxic", text_key().alias("key"), F.octet_length("text").cast("long").alias("size"))
-                   .groupBy("toxic", "key").agg(F.count("*").alias("n"), F.max("size").alias("size")), "mil-keys")
+    return known.filter("toxic is not null")
+
+
+def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE, most_bytes: int = SAMPLE_BYTES) -> Model:
+    """The model from ``docs(doc_id, text)`` and ``labels(doc_id, toxic)``: the
+    labelled texts with the smallest hashes, at most ``limit`` of each label and
+    ``most_bytes`` together.  Only keys and sizes of texts are joined to the
+    labels; of the texts themselves, no others than the sample's are moved."""
+    docs = docs.filter(F.col("text").isNotNull()).select("doc_id", "text", text_key().alias("key"))
+    keys = written(docs.select("doc_id", "key", F.octet_length("text").cast("long").alias("size"))
+                   .join(marks(labels), "doc_id").groupBy("toxic", "key")
+                   .agg(F.count("*").alias("n"), F.max("size").alias("size")), "mil-keys")
     total = {r["toxic"]: (r["n"], r["texts"]) for r in keys.groupBy("toxic").agg(
         F.sum("n").alias("n"), F.count("*").alias("texts")).collect()}  # one row per label
     if len(total) < 2:
@@ -216,23 +221,21 @@ def train(rows: DataFrame, limit: int = SAMPLE, most_bytes: int = SAMPLE_BYTES)
     # about twice the limit by a share of the hash range, then exactly the smallest
     part = F.create_map(*[F.lit(x) for y, (_, n) in total.items() for x in (y, min(1.0, 2.0 * limit / n))])
     place = F.pmod("key", F.lit(1 << 53)) / F.lit(float(1 << 53))
-    low = keys.withColumn("place", place).filter(F.col("place") <= part[F.col("toxic")])
-    few = low.withColumn("r", F.row_number().over(W.partitionBy("toxic").orderBy("place", "key"))).filter(
-        F.col("r") <= limit)
-    chosen, used = [], 0  # at most twice the limit of keys and sizes
-    for r in sorted(few.select("toxic", "key", "size", "place").collect(), key=lambda r: (r["place"], r["key"])):
-        if used + r["size"] <= most_bytes:
+    low = keys.withColumn("place", place).filter(F.col("place") <= part[F.col("toxic")]).select(
+        "place", "key", "toxic", "size").limit(16 * limit).collect()
+    chosen, used, taken = [], 0, {0: 0, 1: 0}
+    for r in sorted(low):
+        if taken[r["toxic"]] < limit and used + r["size"] <= most_bytes:
             used += r["size"]
-            chosen.append((r["toxic"], r["key"]))
+            taken[r["toxic"]] += 1
+            chosen.append((r["key"], r["toxic"]))
     if not chosen:
         return Model()
-    spark = rows.sparkSession
-    wanted = spark.createDataFrame(chosen, "toxic int, key long")
-    got = (rows.withColumn("key", text_key()).join(F.broadcast(wanted), ["toxic", "key"])
-           .groupBy("toxic", "key").agg(F.min("text").alias("text")).collect())
-    got.sort(key=lambda r: (r["key"], r["toxic"]))
+    wanted = docs.sparkSession.createDataFrame(sorted({(k,) for k, _ in chosen}), "key long")
+    texts = dict(docs.select("key", "text").join(F.broadcast(wanted), "key").groupBy("key").agg(
+        F.min("text").alias("text")).collect())
     n = sum(a for a, _ in total.values())
-    return fit([r["text"] for r in got], [r["toxic"] for r in got], (total[0][0] / n, total[1][0] / n))
+    return fit([texts[k] for k, _ in chosen], [y for _, y in chosen], (total[0][0] / n, total[1][0] / n))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "toxicity",
@@ -265,7 +268,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def document_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Contract columns of ``op12``, and the offending sentences."""
-    model = train(labelled(docs.filter(~held_out()), labels))
+    model = train(docs.filter(~held_out()), labels)
     rows = score(docs.select("doc_id", held_out().alias("held_out"), "text"), model)
     return rows.select("doc_id", "held_out", "toxicity.score",
                        (F.col("toxicity.score") >= THRESHOLD).cast("int").alias("predicted"), "toxicity.sentences")

@@ -274,12 +274,13 @@ def test_odd_documents_and_labels(spark):
 
 
 def test_sample_is_bounded(spark):
-    rows = spark.createDataFrame([(f"text number {i}", i % 2) for i in range(500)], "text string, toxic int")
+    docs = spark.createDataFrame([(i, f"text number {i}") for i in range(500)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(500)], "doc_id long, toxic int")
     seen = []
     old, toxicity.fit = toxicity.fit, lambda texts, toxic, share: seen.append((texts, toxic, share)) or toxicity.Model()
     try:
-        toxicity.train(rows, limit=20)
-        toxicity.train(rows, limit=100, most_bytes=300)
+        toxicity.train(docs, labels, limit=20)
+        toxicity.train(docs, labels, limit=100, most_bytes=300)
     finally:
         toxicity.fit = old
     assert [sum(seen[0][1]), len(seen[0][1])] == [20, 40] and seen[0][2] == (0.5, 0.5)
