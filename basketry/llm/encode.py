@@ -18,8 +18,8 @@ import unicodedata
 from array import array
 from collections.abc import Iterator
 
-#: Chunks in each half of the cache.
-CACHE = 200_000
+#: Chunks in each half of the cache (about 200 bytes each).
+CACHE = 400_000
 
 _SPACE_RUN = re.compile(r" (?=\s|$)")
 _CUT = re.compile(r" (?=\S)")
@@ -110,6 +110,11 @@ class Encoder:
         """Tokens of one pre-token of a byte vocabulary."""
         return len(self.cache.get(token) or self._known(token)) // 4
 
+    def counts(self, tokens: list[str]) -> list[int]:
+        """Tokens of each of some pre-tokens of a byte vocabulary."""
+        get, known = self.cache.get, self._known
+        return [len(x if (x := get(t)) is not None else known(t)) >> 2 for t in tokens]
+
     def parts(self, text: str) -> list[str]:
         """Text and added token in turn, from text to text (which may be empty)."""
         for token in self.added:
@@ -156,6 +161,15 @@ def _lower(s: str) -> str:
     return s.lower() if s.isascii() or "Σ" not in s else "".join(c.lower() for c in s)
 
 
+def vocabulary_size(name: str) -> int:
+    """Ids of a vocabulary file, added tokens included."""
+    import tokenizers
+    if os.sep not in name:
+        import public_tokenizers
+        name = public_tokenizers.path(name)
+    return tokenizers.Tokenizer.from_file(name).get_vocab_size(with_added_tokens=True)
+
+
 def encoder(name: str) -> Encoder:
     """The worker's encoder for a vocabulary file (by name, or a path)."""
     if name not in _encoders:

@@ -9,9 +9,13 @@ on the histogram's rows, with an unbounded-knapsack dynamic program that
 prices new patterns.  Pattern counts are rounded down and the few pieces left
 (bounded by the histogram, not the input) are packed best-fit.
 
-Pieces are ranked within their class by per-partition counts and offsets, and
-rank ranges map to pattern instances, so assignment is a look-up in a bounded
-broadcast table.
+Pieces are ranked within their class by per-partition counts and offsets (a
+row per input task and class, joined as the planner sees fit), and rank ranges
+map to pattern instances, a look-up in a table bounded by the histogram.
+
+``pack_and_read`` moves ids in two bytes each where the vocabulary allows, and
+writes padded token rows with a piece table per row; pieces are cut out of the
+written rows again.
 
 Defined results: a null or empty text is the end id alone; repeated rows and
 ids are packed each on their own; ties in length are ranked by input
@@ -26,13 +30,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from .common import written
-from .encode import encoder
+from .encode import encoder, vocabulary_size
 
 CAPACITY = 1024
 STEP = 8
@@ -44,12 +48,12 @@ _PIECE = ("doc_id {}, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 def cut_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, step: int = STEP, end_id: int = 0,
-               with_ids: bool = False) -> DataFrame:
+               width: int = 0) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens``, its
     length ``class``, the task ``part`` and ``nth`` piece of that class there
-    (and ``ids``, little-endian unsigned 32-bit, if asked for)."""
+    (and ``ids``, little-endian with ``width`` bytes each, if that is 2 or 4)."""
     kind = docs.schema["doc_id"].dataType
-    schema = T._parse_datatype_string(_PIECE.format(kind.simpleString(), ", ids binary" if with_ids else ""))
+    schema = T._parse_datatype_string(_PIECE.format(kind.simpleString(), ", ids binary" if width else ""))
     tail = end_id.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,8 +72,8 @@ def cut_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, step:
                     for k, v in (("start", start), ("length", len(piece) // 4), ("ids_crc32", zlib.crc32(piece)),
                                  ("doc_tokens", total), ("class", c), ("part", part), ("nth", seen[c])):
                         out[k].append(v)
-                    if with_ids:
-                        out["ids"].append(bytes(piece))
+                    if width:
+                        out["ids"].append(bytes(piece) if width == 4 else np.frombuffer(piece, "<u4").astype("<u2").tobytes())
                     seen[c] += 1
             ids_of = batch.column("doc_id").take(pa.array(src, pa.int64()))
             types = {"class": pa.int32(), "part": pa.int32(), "ids": pa.binary()}
@@ -123,6 +127,8 @@ def plan_patterns(demand: dict[int, int], room: int) -> list[tuple[dict[int, int
         row = inverse[out] / way[out]
         inverse = inverse - np.outer(way, row)
         inverse[out] = row
+    else:
+        raise RuntimeError("the simplex did not end")  # a plan would still be whole, but not the least
     left = need.astype(np.int64)
     result: list[tuple[dict[int, int], int]] = []
     for k in np.argsort(-amount):
@@ -159,68 +165,103 @@ def rank_ranges(patterns: list[tuple[dict[int, int], int]]) -> list[tuple[int, i
     return rows
 
 
-def pack(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", capacity: int = CAPACITY, step: int = STEP,
-         end_id: int = 0, with_ids: bool = False) -> DataFrame:
-    """Every piece with its place: ``doc_id, start, length, ids_crc32,
-    doc_tokens, sequence_id, offset`` (and ``ids``)."""
+def _placed(docs: DataFrame, vocabulary: str, capacity: int, step: int, end_id: int, width: int) -> DataFrame:
+    """Pieces with their sequence and their ``slot``, the place among its pieces."""
     if capacity % step:
         raise ValueError("capacity must be a multiple of step")
     spark = docs.sparkSession
-    pieces = written(cut_pieces(docs, vocabulary, capacity, step, end_id, with_ids), "pack-pieces",
-                     compression="zstd" if with_ids else None)
+    pieces = written(cut_pieces(docs, vocabulary, capacity, step, end_id, width), "pack-pieces",
+                     compression="zstd" if width else None)
     counts = pieces.groupBy("class", "part").agg(F.count("*").alias("n"))
-    demand = {r[0]: r[1] for r in counts.groupBy("class").agg(F.sum("n")).collect()}  # at most capacity/step rows
     before = W.partitionBy("class").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select("class", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    # written, so that the planner knows its size: small, it is broadcast and the ids stay where they are
+    offsets = written(counts.select("class", "part", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")),
+                      "pack-offsets")
+    demand = {r[0]: r[1] for r in offsets.groupBy("class").agg(F.sum("n")).collect()}  # at most capacity/step rows
     places = spark.createDataFrame(
         rank_ranges(plan_patterns(demand, capacity // step)),
         "class int, low long, high long, per long, first_sequence long, slot long")
     at = F.col("rank") - F.col("low")
-    # at most capacity/step rows per input task, so the ids are not shuffled for it
-    ranked = pieces.join(F.broadcast(offsets), ["class", "part"]).withColumn("rank", F.col("before") + F.col("nth"))
-    placed = (ranked.join(F.broadcast(places), ["class"]).filter("rank >= low and rank < high")
-              .withColumn("sequence_id", F.col("first_sequence") + F.floor(at / F.col("per")))
-              .withColumn("slot", F.col("slot") + at % F.col("per")))
+    ranked = pieces.join(offsets.drop("n"), ["class", "part"]).withColumn("rank", F.col("before") + F.col("nth"))
+    return (ranked.join(F.broadcast(places), ["class"]).filter("rank >= low and rank < high")
+            .withColumn("sequence_id", F.col("first_sequence") + F.floor(at / F.col("per")))
+            .withColumn("slot", F.col("slot") + at % F.col("per"))
+            .select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "slot",
+                    *(["ids"] if width else [])))
+
+
+def pack(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", capacity: int = CAPACITY, step: int = STEP,
+         end_id: int = 0, with_ids: bool = False) -> DataFrame:
+    """Every piece with its place: ``doc_id, start, length, ids_crc32,
+    doc_tokens, sequence_id, offset`` (and ``ids``, little-endian unsigned 32-bit)."""
     in_sequence = W.partitionBy("sequence_id").orderBy("slot").rowsBetween(W.unboundedPreceding, -1)
-    return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
-                         F.coalesce(F.sum("length").over(in_sequence), F.lit(0)).alias("offset"),
-                         *(["ids"] if with_ids else []))
+    return _placed(docs, vocabulary, capacity, step, end_id, 4 if with_ids else 0).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
+        F.coalesce(F.sum("length").over(in_sequence), F.lit(0)).alias("offset"), *(["ids"] if with_ids else []))
 
 
-def sequences(packed: DataFrame, capacity: int = CAPACITY, pad_id: int = 0, with_pieces: bool = False) -> DataFrame:
+def _row_ids(ids: Column, n_tokens: Column, capacity: int, pad_id: int, width: int) -> Column:
+    """All ids of a sequence, padded to the capacity unless their number is a power of two."""
+    joined = F.reduce(ids, F.lit(b""), lambda a, b: F.concat(a, b))
+    power = n_tokens.bitwiseAND(n_tokens - 1) == 0
+    pad = F.unhex(F.repeat(F.lit(pad_id.to_bytes(width, "little").hex()), (F.lit(capacity) - n_tokens).cast("int")))
+    return F.when(power, joined).otherwise(F.concat(joined, pad))
+
+
+def sequences(packed: DataFrame, capacity: int = CAPACITY, pad_id: int = 0) -> DataFrame:
     """The token rows of ``pack(..., with_ids=True)``: ``sequence_id,
     n_tokens, ids`` (binary), padded to the capacity unless the length is a
-    power of two (and ``pieces``, the documents' places in it, if asked for)."""
-    place = ["doc_id", "start", "length", "doc_tokens"] if with_pieces else []
+    power of two."""
     rows = packed.groupBy("sequence_id").agg(
-        F.sum("length").alias("n_tokens"),
-        F.array_sort(F.collect_list(F.struct("offset", "ids", *place))).alias("p"))
-    ids = F.reduce(F.col("p.ids"), F.lit(b""), lambda a, b: F.concat(a, b))
-    power = F.col("n_tokens").bitwiseAND(F.col("n_tokens") - 1) == 0
-    pad = F.unhex(F.repeat(F.lit(pad_id.to_bytes(4, "little").hex()), (F.lit(capacity) - F.col("n_tokens")).cast("int")))
-    pieces = F.transform("p", lambda p: F.struct(p["offset"].alias("offset"), *[p[c].alias(c) for c in place]))
-    return rows.select("sequence_id", "n_tokens", F.when(power, ids).otherwise(F.concat(ids, pad)).alias("ids"),
-                       *([pieces.alias("pieces")] if with_pieces else []))
-
-
-def read_pieces(rows: DataFrame, with_ids: bool = False) -> DataFrame:
-    """The pieces cut out of token rows ``sequences(..., with_pieces=True)``, with
-    length and CRC-32 of the ids found there: the columns of ``pack``."""
-    def cut(p):
-        return F.substring(F.col("ids"), (p["offset"] * 4 + 1).cast("int"), (p["length"] * 4).cast("int"))
-    found = F.transform("pieces", lambda p: F.struct(
-        p["doc_id"].alias("doc_id"), p["start"].alias("start"), p["doc_tokens"].alias("doc_tokens"),
-        p["offset"].alias("offset"), cut(p).alias("ids")))
-    return rows.select("sequence_id", F.explode(found).alias("p")).select(
-        "p.doc_id", "p.start", (F.octet_length("p.ids") / 4).cast("long").alias("length"),
-        F.crc32("p.ids").alias("ids_crc32"), "p.doc_tokens", "sequence_id", "p.offset", *(["p.ids"] if with_ids else []))
+        F.sum("length").alias("n_tokens"), F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("p"))
+    return rows.select("sequence_id", "n_tokens", _row_ids(F.col("p.ids"), F.col("n_tokens"), capacity, pad_id, 4).alias("ids"))
+
+
+def token_rows(placed: DataFrame, capacity: int, pad_id: int, width: int) -> DataFrame:
+    """Token rows ``sequence_id, n_tokens, ids`` with ``pieces``, the documents'
+    pieces in the order of their places."""
+    piece = ["doc_id", "start", "length", "doc_tokens"]
+    rows = placed.groupBy("sequence_id").agg(
+        F.sum("length").alias("n_tokens"), F.sort_array(F.collect_list(F.struct("slot", F.struct(*piece).alias("piece"), "ids")))
+        .alias("p"))
+    return rows.select("sequence_id", "n_tokens", _row_ids(F.col("p.ids"), F.col("n_tokens"), capacity, pad_id, width).alias("ids"),
+                       F.col("p.piece").alias("pieces"))
+
+
+def read_pieces(rows: DataFrame, width: int, with_ids: bool = False) -> DataFrame:
+    """The pieces cut out of written ``token_rows``, with the CRC-32 of the ids
+    found there: the columns of ``pack``."""
+    kind = rows.schema["pieces"].dataType.elementType["doc_id"].dataType
+    schema = T._parse_datatype_string("doc_id " + kind.simpleString() + ", start long, length long, ids_crc32 long,"
+                                      " doc_tokens long, sequence_id long, offset long" + (", ids binary" if with_ids else ""))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("pieces")
+            counts, pieces = lists.value_lengths().to_numpy(), lists.flatten()
+            doc_id, start, length, total = (pieces.field(k) for k in range(4))
+            sizes = length.to_numpy()
+            offset = np.cumsum(sizes) - sizes
+            offset -= np.repeat(offset[np.minimum(np.cumsum(counts) - counts, max(0, len(sizes) - 1))], counts) if len(sizes) else 0
+            found, at = [], 0
+            for row, n in enumerate(counts):
+                ids = np.frombuffer(batch.column("ids")[row].as_buffer(), f"<u{width}").astype("<u4")
+                for k in range(at, at + n):
+                    found.append(ids[offset[k]:offset[k] + sizes[k]])
+                at += n
+            out = [doc_id, start, length, pa.array([zlib.crc32(x) for x in found], pa.int64()), total,
+                   pa.array(np.repeat(batch.column("sequence_id").to_numpy(), counts)), pa.array(offset)]
+            if with_ids:
+                out.append(pa.array([x.tobytes() for x in found], pa.binary()))
+            yield pa.RecordBatch.from_arrays(out, schema.names)
+    return rows.select("sequence_id", "ids", "pieces").mapInArrow(cut, schema)
 
 
 def pack_and_read(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", capacity: int = CAPACITY, end_id: int = 0,
                   with_ids: bool = False) -> DataFrame:
     """Packs, writes the padded token rows to the shared folder, and returns
-    the pieces as read from them."""
-    packed = pack(docs, vocabulary, capacity, end_id=end_id, with_ids=True)
-    rows = written(sequences(packed, capacity, pad_id=end_id, with_pieces=True), "pack-sequences",
-                   compression="zstd")
-    return read_pieces(rows, with_ids)
+    the pieces as read from them (with ``ids`` as unsigned 32-bit, if asked for)."""
+    width = 2 if max(end_id, vocabulary_size(vocabulary) - 1) < 1 << 16 else 4
+    placed = _placed(docs, vocabulary, capacity, STEP, end_id, width)
+    rows = written(token_rows(placed, capacity, end_id, width), "pack-sequences", compression="zstd")
+    return read_pieces(rows, width, with_ids)
