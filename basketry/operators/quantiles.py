@@ -19,7 +19,7 @@ from ..sources.shared import materialised
 
 #: The sketch's rank error is at most 1/ACCURACY of the values; brackets reach
 #: twice as far to either side, so they hold about 4/ACCURACY of them.
-ACCURACY = 2000
+ACCURACY = 5000
 
 
 def _inside(c: str, lo: float | None, hi: float | None) -> Column:
