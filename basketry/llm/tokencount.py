@@ -47,7 +47,7 @@ class CountTree:
     def __init__(self, text: str, code: Encoder, chars: list[int] | None = None, tokens: list[int] | None = None):
         self.text, self.code, self.encoded = text, code, 0
         if chars is None:
-            self._build(self._blocks(self._scan(text)))
+            self._build(self._blocks(*self._scan(text)))
         else:
             self.chars, self.tokens, self.half = chars, tokens, len(chars) // 2
 
@@ -55,24 +55,27 @@ class CountTree:
     def total(self) -> int:
         return self.tokens[1]
 
-    def _scan(self, text: str) -> list[tuple[int, int]]:
-        """(characters, tokens) of each pre-token."""
-        out = []
+    def _scan(self, text: str) -> tuple[list[int], list[int]]:
+        """Characters and tokens of each pre-token."""
+        chars, tokens = [], []
         for k, part in enumerate(self.code.parts(text)):
             if k % 2:
-                out.append((len(part), 1))
+                chars.append(len(part))
+                tokens.append(1)
                 continue
-            for t in self.code.split.findall(part):
-                out.append((len(t), self.code.count(t)))
-        self.encoded += len(out)
-        return out
+            found = self.code.split.findall(part)
+            chars += map(len, found)
+            tokens += self.code.counts(found)
+        self.encoded += len(chars)
+        return chars, tokens
 
     @staticmethod
-    def _blocks(pairs: list[tuple[int, int]], n: int | None = None) -> list[tuple[int, int]]:
-        """Sums of consecutive pre-tokens: blocks of LEAF, or ``n`` even ones."""
-        n = n or -(-len(pairs) // LEAF)
-        cuts = [len(pairs) * k // n for k in range(n + 1)] if n else [0]
-        return [(sum(a for a, _ in pairs[i:j]), sum(b for _, b in pairs[i:j])) for i, j in zip(cuts, cuts[1:])]
+    def _blocks(chars: list[int], tokens: list[int], n: int | None = None) -> list[tuple[int, int]]:
+        """Sums of consecutive pre-tokens: blocks of about LEAF, or ``n`` even ones
+        (which may be empty)."""
+        n = n or -(-len(chars) // LEAF)
+        cuts = [len(chars) * k // n for k in range(n + 1)] if n else [0]
+        return [(sum(chars[i:j]), sum(tokens[i:j])) for i, j in zip(cuts, cuts[1:])]
 
     def _build(self, blocks: list[tuple[int, int]]) -> None:
         self.half = 1 << max(0, len(blocks) - 1).bit_length()
@@ -104,28 +107,29 @@ class CountTree:
         length = min(max(0, length), old - start)
         self.text = self.text[:start] + new + self.text[start + length:]
         if not old:
-            self._build(self._blocks(self._scan(self.text)))
+            self._build(self._blocks(*self._scan(self.text)))
             return
         low, first = self._find(max(0, start - CONTEXT - self.code.longest))
         high, _ = self._find(start + length)
         shift = len(new) - length
         # go on until a pre-token ends where, moved by the shift, an old block at or after ``high`` ends
-        pairs, leaf, end = [], low, first + self.chars[self.half + low]
+        chars, tokens, leaf, end = [], [], low, first + self.chars[self.half + low]
         last = self.half - 1
         for begin, stop, count in self.code.borders(self.text, first):
-            pairs.append((stop - begin, count))
+            chars.append(stop - begin)
+            tokens.append(count)
             while leaf < self.half - 1 and (leaf < high or end + shift < stop):
                 leaf += 1
                 end += self.chars[self.half + leaf]
             if leaf >= high and end + shift == stop >= start + len(new):
                 last = leaf
                 break
-        self.encoded += len(pairs)
+        self.encoded += len(chars)
         span = last - low + 1
-        blocks = self._blocks(pairs, span) if pairs else [(0, 0)] * span
-        if len(pairs) > 8 * LEAF * span:  # grown far beyond the leaves: lay the blocks out anew, encoding nothing
+        blocks = self._blocks(chars, tokens, span) if chars else [(0, 0)] * span
+        if len(chars) > 8 * LEAF * span:  # grown far beyond the leaves: lay the blocks out anew, encoding nothing
             kept = list(zip(self.chars[self.half:], self.tokens[self.half:]))
-            self._build([b for b in kept[:low] + self._blocks(pairs) + kept[last + 1:] if b[0]])
+            self._build([b for b in kept[:low] + self._blocks(chars, tokens) + kept[last + 1:] if b[0]])
             return
         for leaf, (a, b) in zip(range(low, last + 1), blocks):
             self.chars[self.half + leaf], self.tokens[self.half + leaf] = a, b
@@ -164,6 +168,15 @@ def apply_own_edits(state: DataFrame, vocabulary: str = "byte_bpe_50k.json", kee
     return _each(state.select("doc_id", "text", "tree_chars", "tree_tokens", "edits", *keep), vocabulary, list(keep))
 
 
+def _values(column: pa.Array) -> Iterator[str | None]:
+    """Texts one at a time: a batch of long ones is not copied whole."""
+    return (x.as_py() for x in column)
+
+
+def _lists(column: pa.Array) -> Iterator[list[int] | None]:
+    return (x.values.to_numpy().tolist() if x.is_valid else None for x in column)
+
+
 def _each(rows: DataFrame, vocabulary: str, keep: list[str] = ()) -> DataFrame:
     schema = T.StructType([rows.schema["doc_id"], *T._parse_datatype_string(STATE).fields,
                            *[rows.schema[c] for c in keep]])
@@ -174,9 +187,10 @@ def _each(rows: DataFrame, vocabulary: str, keep: list[str] = ()) -> DataFrame:
             raise ValueError("a vocabulary that normalises texts has no character positions to keep")
         for b in batches:
             out = []
-            for text, chars, tokens, edits in zip(*(b.column(c) for c in ("text", "tree_chars", "tree_tokens", "edits"))):
-                text, edits = text.as_py(), edits.as_py() or []
-                tree = CountTree(text or "", code, chars.as_py(), tokens.as_py())
+            for text, chars, tokens, edits in zip(_values(b.column("text")), _lists(b.column("tree_chars")),
+                                                  _lists(b.column("tree_tokens")), b.column("edits").to_pylist()):
+                edits = edits or []
+                tree = CountTree(text or "", code, chars, tokens)
                 for e in edits:
                     tree.edit(e["start"] or 0, e["length"] or 0, e["new"] or "")
                 out.append((tree.text if text is not None or edits else None, tree.chars, tree.tokens,
