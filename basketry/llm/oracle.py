@@ -94,10 +94,9 @@ FROM d LEFT JOIN covered USING (id) LEFT JOIN named USING (id)"""
 def op10(threshold: float = 0.95) -> str:
     return f"""
 WITH RECURSIVE e AS (SELECT row_number() OVER () AS id, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
-ok AS (SELECT id, vec_id, v FROM e WHERE len(v) = (SELECT mode(len(v)) FROM e WHERE len(v) > 0)
-       AND len(list_filter(v, lambda x: x IS NOT NULL AND isfinite(x))) = len(v) AND list_dot_product(v, v) > 0),
+ok AS (SELECT id, vec_id, v FROM e WHERE len(list_filter(v, lambda x: x IS NOT NULL AND isfinite(x))) = len(v) AND list_dot_product(v, v) > 0),
 links AS (SELECT a.id AS a, b.id AS b FROM ok a JOIN ok b ON a.id <> b.id
-          AND list_cosine_similarity(a.v, b.v) >= {threshold}),
+          AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= {threshold}),
 reach AS (SELECT id AS a, id AS b FROM e UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
 SELECT e.vec_id, COALESCE(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
 FROM e JOIN (SELECT a, min(vec_id) AS component_id FROM reach JOIN e ON reach.b = e.id GROUP BY a) c ON e.id = c.a
