@@ -3,12 +3,13 @@ the ``tokenizers`` library, with a bounded cache of encoded chunks.
 
 A text is first split at the file's added tokens, which stand for their own
 ids, as the library does by default; what follows holds for the parts between.
-Both vocabularies split a text before any merge, so a text can be cut into
-chunks whose ids do not depend on each other, and repeated chunks are encoded
-once per worker.  ``byte`` texts are cut before each single space that a
-non-space follows; ``word`` texts (white space dropped) at spaces and line
-ends.  Chunk ids are kept as little-endian unsigned 32-bit bytes; a single pre-token
-is a chunk of its own, so both share one cache.
+Both vocabularies split a text into pre-tokens before any merge, whose ids do
+not depend on each other, so repeated ones are encoded once per worker.
+``byte`` texts are split into pre-tokens at once, by a pattern of plain
+character classes if all characters lie below U+0250; ``word`` texts (white
+space dropped) are first cut into chunks at spaces and line ends.  Ids are kept as
+little-endian unsigned 32-bit bytes; a single pre-token is a chunk of its own,
+so both share one cache.
 """
 from __future__ import annotations
 
@@ -16,13 +17,16 @@ import os
 import re
 import unicodedata
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 #: Chunks in each half of the cache (about 200 bytes each).
 CACHE = 400_000
 
-_SPACE_RUN = re.compile(r" (?=\s|$)")
-_CUT = re.compile(r" (?=\S)")
+# letters, digits and white space below U+0250, as the Unicode classes L and N and White_Space have them
+_LETTER, _DIGIT, _WHITE = "A-Za-zªµºÀ-ÖØ-öø-\u024f", "0-9²³¹¼½¾", "\t-\r \x85\xa0"
+_FAR = re.compile("[^\0-\u024f]")
+_NEAR_BYTE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_DIGIT}]+| ?[^{_WHITE}{_LETTER}{_DIGIT}]+"
+                        rf"|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -76,21 +80,19 @@ class Encoder:
             letters = token.encode("utf-8").decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
-    def _encode(self, chunk: str) -> bytes:
-        """Ids of a chunk that the young half of the cache does not hold."""
-        out = self.old.get(chunk)
+    def _chunk(self, chunk: str) -> bytes:
+        """Ids of a chunk of a word vocabulary, through the cache."""
+        out = self.cache.get(chunk)
         if out is None:
-            if self.words and not chunk.islower():
-                tokens = self.pretokens(chunk)
-            elif chunk.isascii() and (chunk.isalpha() or not self.words and chunk[1:].isalpha() and chunk[0] == " "):
-                tokens = [chunk]
-            else:
-                tokens = self.pretokens(chunk)
-            if len(tokens) == 1:
-                out = self._pretoken(tokens[0]) if tokens[0] == chunk else self._known(tokens[0])
-            else:
-                out = b"".join([self._known(t) for t in tokens])
-        self._keep(chunk, out)
+            out = self.old.get(chunk)
+            if out is None:
+                plain = chunk.isascii() and chunk.isalpha() and chunk.islower()
+                tokens = [chunk] if plain else self.pretokens(chunk)
+                if len(tokens) == 1:
+                    out = self._pretoken(chunk) if tokens[0] == chunk else self._known(tokens[0])
+                else:
+                    out = b"".join([self._known(t) for t in tokens])
+            self._keep(chunk, out)
         return out
 
     def _known(self, token: str) -> bytes:
@@ -134,13 +136,6 @@ class Encoder:
                     yield m.start(), m.end(), self.count(m.group())
             first = end
 
-    def chunks(self, text: str) -> list[str]:
-        if self.words:
-            return text.replace("\n", " ").split(" ")
-        parts = text.split(" ") if _SPACE_RUN.search(text) is None else _CUT.split(text)
-        # a chunk keeps the space before it; those after the first start with one
-        return [parts[0], *[" " + p for p in parts[1:]]] if parts[0] else [" " + p for p in parts[1:]]
-
     def ids(self, text: str | None) -> bytes:
         """Ids of the text, as little-endian unsigned 32-bit bytes."""
         if not text:
@@ -152,8 +147,17 @@ class Encoder:
 
     def _plain(self, text: str) -> bytes:
         """Ids of a text without added tokens."""
-        get, encode = self.cache.get, self._encode
-        return b"".join([x if (x := get(c)) is not None else encode(c) for c in self.chunks(text)])
+        if self.words:
+            return b"".join(self._looked_up(text.replace("\n", " ").split(" "), self._chunk))
+        split = _NEAR_BYTE if _FAR.search(text) is None else self.split
+        return b"".join(self._looked_up(split.findall(text), self._known))
+
+    def _looked_up(self, keys: list[str], miss: Callable[[str], bytes]) -> list[bytes]:
+        """The ids of each key: all are looked up first, those not there follow."""
+        found = list(map(self.cache.get, keys))
+        if None in found:
+            found = [miss(k) if x is None else x for k, x in zip(keys, found)]
+        return found
 
 
 def _lower(s: str) -> str:
