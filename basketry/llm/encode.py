@@ -18,6 +18,7 @@ import re
 import unicodedata
 from array import array
 from collections.abc import Callable, Iterator
+from operator import attrgetter
 
 #: Chunks in each half of the cache (about 200 bytes each).
 CACHE = 400_000
@@ -27,6 +28,7 @@ _LETTER, _DIGIT, _WHITE = "A-Za-zªµºÀ-ÖØ-öø-\u024f", "0-9²³¹¼½¾",
 _FAR = re.compile("[^\0-\u024f]")
 _NEAR_BYTE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_DIGIT}]+| ?[^{_WHITE}{_LETTER}{_DIGIT}]+"
                         rf"|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
+_ID = attrgetter("id")
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -59,6 +61,7 @@ class Encoder:
             if added else None
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
+        self.space = self.letters[0x20]
         # word vocabularies normalise first; byte vocabularies have no normalizer
         self.words = self.tokenizer.normalizer is not None
         rule = r"'s|'t|'re|'ve|'m|'ll|'d|"
@@ -75,10 +78,14 @@ class Encoder:
 
     def _pretoken(self, token: str) -> bytes:
         if token.isascii():
-            letters = token if token.isalpha() else token.translate(self.letters)
+            if token.isalpha():
+                letters = token
+            else:
+                rest = token[1:]
+                letters = self.space + rest if token[0] == " " and rest.isalpha() else token.translate(self.letters)
         else:
             letters = token.encode("utf-8").decode("latin-1").translate(self.letters)
-        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+        return array("I", map(_ID, self.model.tokenize(letters))).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
         """Ids of a chunk of a word vocabulary, through the cache."""
@@ -92,22 +99,25 @@ class Encoder:
                     out = self._pretoken(chunk) if tokens[0] == chunk else self._known(tokens[0])
                 else:
                     out = b"".join([self._known(t) for t in tokens])
-            self._keep(chunk, out)
+            if len(self.cache) >= CACHE:
+                self.old, self.cache = self.cache, {}
+            self.cache[chunk] = out
         return out
 
     def _known(self, token: str) -> bytes:
         """Ids of one pre-token, through the cache."""
-        ids = self.cache.get(token)
+        cache = self.cache
+        ids = cache.get(token)
         if ids is None:
             ids = self.old.get(token)
-            self._keep(token, ids := self._pretoken(token) if ids is None else ids)
+            if ids is None:
+                ids = self._pretoken(token)
+            if len(cache) >= CACHE:  # what was not asked for since the last turn is forgotten
+                self.old, self.cache = cache, {token: ids}
+            else:
+                cache[token] = ids
         return ids
 
-    def _keep(self, chunk: str, ids: bytes) -> None:
-        if len(self.cache) >= CACHE:  # what was not asked for since the last turn is forgotten
-            self.old, self.cache = self.cache, {}
-        self.cache[chunk] = ids
-
     def count(self, token: str) -> int:
         """Tokens of one pre-token of a byte vocabulary."""
         return len(self.cache.get(token) or self._known(token)) // 4

@@ -3,6 +3,7 @@ empty and long texts, ties, repeated rows, empty tables and extra columns."""
 import collections
 import hashlib
 import io
+import random
 import re
 import zlib
 
@@ -744,3 +745,17 @@ def test_language_sample_is_bounded_in_bytes(spark):
     assert sorted(r["lang"] for r in got).count("a") == 20 and len(got) == 41
     got = langid.training_sample(df, limit=40, most_bytes=6000).collect()
     assert {r["lang"] for r in got} == {"a", "b"} and sum(len(r["text"]) for r in got) <= 4000 and len(got) > 30
+
+
+def test_pretokens_below_u0250_split_as_the_library_does():
+    """The pattern of plain classes against the general one and the library."""
+    from basketry.llm import encode
+    code = encode.encoder("byte_bpe_50k.json")
+    rng = random.Random(11)
+    low = [chr(c) for c in range(0x250)]
+    texts = ["".join(rng.choices(low, k=40)) for _ in range(500)] + [a + " " + a + "b" + a for a in low]
+    texts += ["".join(rng.choices("ab '.,\n\t 1é²s ", k=25)) for _ in range(500)]
+    for text in texts:
+        assert encode._NEAR_BYTE.findall(text) == code.split.findall(text), repr(text)
+        ids = np.array(code.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert code.ids(text) == ids, repr(text)
