@@ -322,10 +322,11 @@ def training_sample(docs: DataFrame, lang: str = "lang", text: str = "text", lim
     every = rows.groupBy("lang", "h").agg(F.max(F.octet_length("text").cast("long")).alias("size"))
     room = F.lit(most_bytes) / F.greatest(F.lit(1), every.select(F.count_distinct("lang")).scalar())
     distinct = every.filter(F.col("size") <= room)
-    # about twice the limit by a share of the hash range, then exactly the smallest
+    # about twice the limit by a share of the hash range, then exactly the smallest; a row per language, broadcast
+    # so that only what the share leaves is dealt by language
     share = distinct.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(2.0 * limit) / F.count("*")).alias("share"))
     place = (F.pmod("h", F.lit(1 << 53)) / F.lit(float(1 << 53))).alias("place")
-    few = (distinct.select("lang", "h", "size", place).join(share, "lang").filter(F.col("place") <= F.col("share"))
+    few = (distinct.select("lang", "h", "size", place).join(F.broadcast(share), "lang").filter(F.col("place") <= F.col("share"))
            .withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("place", "h"))).filter(F.col("r") <= limit)
            .withColumn("used", F.sum("size").over(W.partitionBy("lang").orderBy("r"))).filter(F.col("used") <= room)
            .select("lang", "h"))  # bounded by limit and the number of languages
