@@ -130,3 +130,38 @@ def test_exact_aggregates(spark):
     for k in range(3):
         assert np.allclose(got[k], (x[k::3].sum(), x[k::3].mean(), x[k::3].std(ddof=1)), rtol=1e-9)
     assert got[7] == (None, None, None) and got[8] == (1.5, 1.5, None)
+
+
+def test_feature_tables_read_each_sources_rows_once(spark, monkeypatch):
+    from basketry.plans import context
+    cleaned, summed = [], []
+    clean, sums = context.C.clean_clickstream, context.FE.pair_sums
+    monkeypatch.setattr(context.C, "clean_clickstream", lambda raw: cleaned.append(1) or clean(raw))
+    monkeypatch.setattr(context.FE, "pair_sums", lambda txn: summed.append(1) or sums(txn))
+    t = context.Tables(spark, "/root/testdata/sf0.001")
+    got = t.all_features
+    assert len(cleaned) == len(summed) == 1
+    # the tables' plans start from written rows: no source is read, nothing deduplicated again
+    for name in ("user_features", "interaction_features"):
+        files = got[name].inputFiles()
+        assert files and all("basketry-cut" in f for f in files if "customer" not in f and "nation" not in f and "orders" not in f)
+    alone = {"user_features": t.user_features, "item_features": t.item_features, "interaction_features": t.interactions}
+    for name, df in alone.items():
+        assert got[name].schema == df.schema
+        assert got[name].exceptAll(df).count() == 0 == df.exceptAll(got[name]).count()
+
+
+def test_pair_sums_keep_null_keys_and_ratings(spark):
+    rows = [("a", 1, 10, 2, 4.0, 1), ("b", 1, 10, None, None, 2), ("c", 1, None, 5, 3.0, 3), ("d", None, 10, 7, 1.0, 4),
+            ("e", 1, 11, 1, 2.5, 5), (None, 2, 11, None, None, 6)]
+    txn = spark.createDataFrame(rows, "transaction_id string, user_id long, product_id long, quantity long, rating double,"
+                                      " t long").withColumn("timestamp", F.timestamp_seconds("t").cast("timestamp_ntz")).drop("t")
+    users = {r["user_id"]: r for r in FE.user_txn_agg(txn).collect()}
+    assert (users[1]["total_transactions"], users[1]["total_quantity"], users[1]["unique_products_bought"]) == (4, 8, 2)
+    assert users[1]["avg_quantity_per_txn"] == 8 / 3 and users[1]["avg_rating_given"] == 9.5 / 3
+    assert (users[2]["total_transactions"], users[2]["total_quantity"], users[2]["avg_quantity_per_txn"]) == (0, 0, None)
+    assert users[2]["avg_rating_given"] is None and users[2]["std_rating_given"] == 0.0 and set(users) == {1, 2}
+    items = {r["product_id"]: r for r in FE.item_txn_agg(txn).collect()}
+    assert (items[10]["total_purchases"], items[10]["unique_buyers"]) == (3, 1) and set(items) == {10, 11}
+    pairs = FE.pair_txn_agg(txn)
+    assert sorted(map(repr, FE.pair_txn_agg(txn, FE.pair_sums(txn)).collect())) == sorted(map(repr, pairs.collect()))
