@@ -165,3 +165,17 @@ def test_pair_sums_keep_null_keys_and_ratings(spark):
     assert (items[10]["total_purchases"], items[10]["unique_buyers"]) == (3, 1) and set(items) == {10, 11}
     pairs = FE.pair_txn_agg(txn)
     assert sorted(map(repr, FE.pair_txn_agg(txn, FE.pair_sums(txn)).collect())) == sorted(map(repr, pairs.collect()))
+
+
+def test_evaluation_tables_clean_the_purchases_once(spark, monkeypatch):
+    from basketry.plans import catalog, context
+    from basketry.plans.context import Tables
+    cleaned = []
+    clean = context.C.clean_transactions
+    monkeypatch.setattr(context.C, "clean_transactions", lambda raw: cleaned.append(1) or clean(raw))
+    tables = []
+    monkeypatch.setattr(catalog.M, "evaluate_cb", lambda unit, pairs, test, dim: tables.extend([unit, pairs]))
+    catalog.QUERIES["m19_evaluate_cb"](spark, "/root/testdata/sf0.001")
+    assert len(cleaned) == 1
+    alone = Tables(spark, "/root/testdata/sf0.001").interactions
+    assert tables[1].exceptAll(alone).count() == 0 == alone.exceptAll(tables[1]).count()
