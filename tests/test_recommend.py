@@ -175,6 +175,22 @@ def test_block_products_sums_and_inner_products(spark):
     both.release()
 
 
+def test_product_sends_a_dense_block_once_to_each_group(spark):
+    assert linalg.grid(59, 44, 24) == (4, 6)  # 4 × 59 and 6 × 44 blocks move, not 59 × 44 of both
+    assert all(linalg.grid(i, o, 24)[0] >= o / linalg.GROUP for i in (1, 7, 900) for o in (1, 50, 2000))  # a task holds its group
+    cells = spark.range(400).selectExpr("id % 20 AS u", "id DIV 20 AS p", "1.0D + id AS value")
+    rows, cols = linalg.key_blocks(cells, "u", 1), linalg.key_blocks(cells, "p", 1)
+    tiled = linalg.Tiled(linalg.tiles(cells, rows, cols, "u", "p"))
+    met = tiled.meetings(linalg.start_block(cols, 2, 1)).select("inner", "outer", F.spark_partition_id().alias("task")).collect()
+    tiled.release()
+    dense, sparse = [r for r in met if r.outer is None], [r for r in met if r.outer is not None]
+    groups, shares = tiled.grids[False]
+    assert len(dense) == groups * len({r.inner for r in met}) < len(sparse) / 2 and len({r.task for r in met}) == groups * shares
+    assert {(r.task, r.inner) for r in sparse} <= {(r.task, r.inner) for r in dense}  # every tile meets its dense block
+    per_task = [len({r.outer for r in sparse if r.task == t}) for t in {r.task for r in met}]
+    assert max(per_task) <= -(-len({r.outer for r in sparse}) // groups) + 3
+
+
 def test_interrupted_fit_goes_on_after_its_last_pass(spark, tmp_dir, monkeypatch):
     df, rows = _pairs(spark, 60, 50, seed=9)
     cells = df.withColumnRenamed("avg_rating", "value")
