@@ -191,6 +191,18 @@ def test_product_sends_a_dense_block_once_to_each_group(spark):
     assert max(per_task) <= -(-len({r.outer for r in sparse}) // groups) + 3
 
 
+def test_deviation_queries_write_the_split_pairs_once(spark, monkeypatch):
+    from basketry.plans import catalog
+    plain, wrote = catalog.materialised, []
+    monkeypatch.setattr(catalog, "materialised", lambda df, name: wrote.append(df.columns) or plain(df, name))
+    sf = "/root/testdata/sf0.001"
+    _, train, test = catalog._deviation_model(spark, sf)
+    assert wrote == [["user_id", "product_id", "avg_rating", "is_test"]]
+    pairs = catalog.Tables(spark, sf).interactions
+    for got, want in zip((train, test), R.split_train_test(pairs)):
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect())) != []
+
+
 def test_interrupted_fit_goes_on_after_its_last_pass(spark, tmp_dir, monkeypatch):
     df, rows = _pairs(spark, 60, 50, seed=9)
     cells = df.withColumnRenamed("avg_rating", "value")
