@@ -203,6 +203,19 @@ def test_deviation_queries_write_the_split_pairs_once(spark, monkeypatch):
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect())) != []
 
 
+def test_evaluation_reads_the_test_pairs_of_its_users_once(spark, monkeypatch):
+    df, rows = _pairs(spark, 30, 20)
+    train, test = R.split_train_test(df)
+    model, plain, wrote = R.mean_deviation_model(train), M.materialised, {}
+    monkeypatch.setattr(M, "materialised", lambda df, name: wrote.setdefault(name, plain(df, name)))
+    out = M.evaluate_cf(model, test, n=5).first()
+    users = {r.user_id for r in wrote["test-users"].collect()}
+    mine = {(r.user_id, r.product_id): r.avg_rating for r in test.collect() if r.user_id in users}
+    assert len(users) == 5 and {(r[0], r[1]) for r in wrote["test-pairs"].collect()} == set(mine)
+    off = [(r.prediction - mine[r.user_id, r.product_id]) ** 2 for r in wrote["test-predictions"].collect()]
+    assert len(off) == len(mine) and abs(out.rmse - np.mean(off) ** 0.5) < 1e-4
+
+
 def test_interrupted_fit_goes_on_after_its_last_pass(spark, tmp_dir, monkeypatch):
     df, rows = _pairs(spark, 60, 50, seed=9)
     cells = df.withColumnRenamed("avg_rating", "value")
