@@ -1,11 +1,12 @@
 """Benchmark decontamination, with DataFrame operations only.
 
 Benchmark items become windows of ``WINDOW`` consecutive words (an item of
-fewer words is one window).  The set of window hashes is broadcast; each
-document's word windows are hashed in place and looked up, so one narrow row
-per document and per hit is all that is shuffled.  Hits are verified word by
-word before they count.  A benchmark with more than ``BLOCK`` windows is
-looked up in blocks of at most about that many, each broadcast on its own.
+fewer words is one window).  What is broadcast is a filter of their hashes, a
+mask of 64 bits in ``BLOCK`` slots at most and about 20 bytes a window before
+that; each document's word windows are hashed in place and looked up there, so
+one narrow row per document and per window that passes is all that is written
+and shuffled.  These windows are joined with those of the benchmark and verified
+word by word before they count, so a crowded filter costs rows, not hits.
 
 Words are runs of characters other than ASCII non-letters and non-digits;
 only A-Z is lower-cased.  Hashes are taken of fully lower-cased words, which
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 from .common import text_key, unused, written
 
 WINDOW = 10
-BLOCK = 500_000
+BLOCK = 1 << 22         # slots of the broadcast filter at most
+FEW = 50_000            # benchmark windows, with their words, that are broadcast at most
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -53,7 +55,9 @@ def window_hashes(hashes: Column, length: int) -> Column:
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Distinct windows: ``h, len, gram`` (the words) and ``items``."""
-    items = (benchmark.select("item_id", words_of(F.col("text")).alias("w")).filter(F.size("w") > 0)
+    parts = int(benchmark.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    items = (benchmark.select("item_id", "text").repartition(parts, "item_id", "text")
+             .select("item_id", words_of(F.col("text")).alias("w")).filter(F.size("w") > 0)
              .withColumn("len", F.least(F.size("w"), F.lit(window))).withColumn("hw", word_hashes(F.col("w"))))
     starts = F.explode(F.sequence(F.lit(1), F.size("w") - F.col("len") + F.lit(1)))
     grams = items.select("item_id", "len", "w", "hw", starts.alias("at")).select(
@@ -64,6 +68,22 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
             .select(by_len.alias("h"), "len", "gram", "items"))
 
 
+def _bits(h: Column) -> Column:
+    """A mask with three bits (or fewer, if they are the same) chosen by a hash."""
+    bits = [F.call_function("shiftleft", F.lit(1).cast("long"),
+                            F.shiftrightunsigned(h, at).bitwiseAND(F.lit(63).cast("long")).cast("int"))
+            for at in (58, 52, 46)]
+    return reduce(Column.bitwiseOR, bits)
+
+
+def window_filter(grams: DataFrame, slots: int) -> DataFrame:
+    """``slot, mask``: the bits of all windows whose hash falls into the slot.
+    Slot 0 is always there."""
+    first = grams.sparkSession.range(1).select(F.lit(0).cast("long").alias("slot"), F.lit(0).cast("long").alias("mask"))
+    rows = grams.select(F.pmod("h", F.lit(slots).cast("long")).alias("slot"), _bits(F.col("h")).alias("mask"))
+    return rows.unionByName(first).groupBy("slot").agg(F.bit_or("mask").alias("mask"))
+
+
 def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
               block: int = BLOCK) -> DataFrame:
     """One row per distinct (id, text): ``id, text_key, copies, n_words`` and
@@ -71,36 +91,34 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_co
     grams = written(benchmark_windows(benchmark, window), "bench-windows")
     facts = grams.agg(F.count("*"), F.collect_set("len")).first()
     lengths = sorted(facts[1])
-    # a zero-length entry meets the first value of every document: it carries the word count
-    first = grams.sparkSession.range(1).select(
-        F.lit(0).cast("long").alias("h"), F.lit(0).alias("len"), F.array().cast("array<string>").alias("gram"),
-        F.array().cast(grams.schema["items"].dataType).alias("items"))
-    blocks = max(1, -(-facts[0] // block))
+    slots = max(1, min(block, facts[0] // 2))
     hashed = (docs.select(F.col(id_col).alias("id"), text_key().alias("text_key"),
                           words_of(F.col("text")).alias("w"))
               .withColumn("hw", word_hashes(F.col("w"))))
+    # the zero in front passes for every document: it carries the word count
     hashed = hashed.select("id", "text_key", "w", F.concat(
         F.array(F.lit(0).cast("long")), *[window_hashes(F.col("hw"), n) for n in lengths]).alias("v"))
-    found = []
-    for k in range(blocks):
-        part = grams.filter(F.pmod("h", F.lit(blocks)) == k) if blocks > 1 else grams
-        lookup = part.unionByName(first) if k == 0 else part
-        # outer: v is never empty, and no filter on its size is then derived and pushed down
-        found.append(hashed.select("id", "text_key", "w", F.posexplode_outer("v").alias("at", "h"))
-                     .join(F.broadcast(lookup), "h"))
-    rows = reduce(DataFrame.unionByName, found)
-    base, before = F.lit(None).cast("int"), F.lit(1)
+    at, head = F.col("at"), F.col("at") == 0
+    length, base, before = F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(1)
     for n in lengths:  # windows of each length follow one another in v
-        base = F.when(F.col("len") == n, before).otherwise(base)
-        before = before + F.greatest(F.size("w") - F.lit(n - 1), F.lit(0))
-    pos = F.col("at") - base
-    head = (F.col("len") == 0) & (F.col("at") == 0)
-    true_hit = (F.col("len") > 0) & (F.col("at") >= base) & \
-        (plain(F.slice("w", F.greatest(pos, F.lit(0)) + F.lit(1), F.col("len"))) == F.col("gram"))
-    # the check stands inside the aggregate, so the join stays a plain hash look-up
-    return rows.groupBy("id", "text_key").agg(
-        F.count(F.when(head, F.lit(1))).alias("copies"), F.max(F.when(head, F.size("w"))).alias("n_words"),
-        F.collect_set(F.when(true_hit, F.struct(pos.alias("pos"), F.col("len"), F.col("items")))).alias("hits"))
+        end = before + F.greatest(F.size("w") - F.lit(n - 1), F.lit(0))
+        here = (at >= before) & (at < end)
+        length, base, before = F.when(here, F.lit(n)).otherwise(length), F.when(here, before).otherwise(base), end
+    bits = _bits(F.col("h"))
+    # outer: v is never empty, and no filter on its size is then derived and pushed down
+    passed = (hashed.select("id", "text_key", "w", F.posexplode_outer("v").alias("at", "h"))
+              .join(F.broadcast(window_filter(grams, slots)),
+                    (F.pmod("h", F.lit(slots).cast("long")) == F.col("slot")) &
+                    (head | (F.col("mask").bitwiseAND(bits) == bits)))
+              .select("id", "text_key", F.when(head, F.size("w")).alias("n_words"), F.when(~head, at - base).alias("pos"),
+                      length.alias("len"), F.when(~head, F.slice("w", at - base + F.lit(1), length)).alias("words"), "h"))
+    passed = written(passed, "passed-windows")
+    found = passed.filter(F.col("n_words").isNull()).select("id", "text_key", "pos", "len", "h", plain(F.col("words")).alias("gram"))
+    hits = found.join(F.broadcast(grams) if facts[0] <= FEW else grams, ["h", "len", "gram"]).select(
+        "id", "text_key", F.struct("pos", "len", "items").alias("hit"))
+    heads = passed.filter(F.col("n_words").isNotNull()).select("id", "text_key", "n_words")
+    return heads.unionByName(hits, allowMissingColumns=True).groupBy("id", "text_key").agg(
+        F.count("n_words").alias("copies"), F.max("n_words").alias("n_words"), F.collect_set("hit").alias("hits"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

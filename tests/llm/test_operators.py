@@ -424,6 +424,22 @@ def test_remove_documents_and_spans(spark):
     assert decontam.contamination(d.limit(0), bench).count() == 0
 
 
+def test_what_is_broadcast_of_a_benchmark_is_small(spark):
+    """Only narrow masks are broadcast, 64 bits for two windows, never the words
+    of a benchmark that is not small."""
+    n = 60_000
+    bench = spark.range(n).select(F.col("id").alias("item_id"), F.array_join(F.transform(
+        F.sequence(F.lit(1), F.lit(10)), lambda k: F.concat(F.lit("w"), F.col("id") * 10 + k)), " ").alias("text"))
+    grams = decontam.benchmark_windows(bench)
+    masks = decontam.window_filter(grams, n // 2)
+    assert masks.dtypes == [("slot", "bigint"), ("mask", "bigint")] and masks.count() <= n // 2
+    texts = [f"x {bench.filter('item_id = 59999').first()['text']} y", "w1 w2 w3 w4 w5 w6 w7 w8 w9 w11", "nothing " * 40]
+    hits = decontam.find_hits(docs_of(spark, texts), bench)
+    assert "strategy=broadcast" not in hits._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["id"]: [(h["pos"], h["len"], h["items"]) for h in r["hits"]] for r in hits.collect()} == {
+        0: [(1, 10, [59999])], 1: [], 2: []}
+
+
 # --- token counts ---------------------------------------------------------
 
 @pytest.fixture(scope="module")
