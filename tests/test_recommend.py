@@ -175,6 +175,39 @@ def test_block_products_sums_and_inner_products(spark):
     both.release()
 
 
+def test_pass_multiplies_and_projects_in_two_writes(spark, monkeypatch):
+    """A pass writes A q and the next panel with their inner products; no other
+    table, and no job for inner products, while the basis is orthogonal."""
+    df, rows = _pairs(spark, 60, 50, seed=9)
+    a, us, it = _dense(rows)
+    cells = df.withColumnRenamed("avg_rating", "value")
+    calls, inner, wrote = [], linalg.inner_products, linalg._Folder.with_gram
+    monkeypatch.setattr(linalg, "inner_products", lambda *x: calls.append("inner") or inner(*x))
+    monkeypatch.setattr(linalg._Folder, "with_gram", lambda self, name, *x: calls.append(name) or wrote(self, name, *x))
+    uf, vf, sigma = linalg.truncated_svd(cells, "user_id", "product_id", 3, block=6, tol=1e-2, tile=16)
+    assert calls[0] == "inner" and calls[1:] == [f"{x}-{n + (x == 'panel')}" for n in range(len(calls) // 2) for x in ("product", "panel")]
+    assert len(calls) > 5 and np.allclose(sigma, np.linalg.svd(a)[1][:3], rtol=1e-2)
+
+
+def test_cells_of_a_tile_are_all_added():
+    rng = np.random.default_rng(3)
+    for n, hot in ((0, 0), (700, 0), (3000, 2000)):  # none, short rows, and a row of 2000 cells
+        to = np.r_[rng.integers(0, 500, n - hot if n else 0), np.full(hot, 7)].astype(np.int32)
+        frm, v, x = rng.integers(0, 400, len(to)), rng.random(len(to)), rng.random((400, 5))
+        out, want = np.ones((500, 5)), np.ones((500, 5))
+        linalg._add_cells(out, x, to, frm, v)
+        np.add.at(want, to, v[:, None] * x[frm])
+        assert np.allclose(out, want)
+
+
+def test_residuals_are_looked_at_when_they_can_be_small():
+    look = lambda *x: np.array(x, float)
+    assert linalg._wait(np.zeros(0), look(1, 0.5, 0.1), 1e-3) == 1
+    assert linalg._wait(look(4, 0.2, 0.1), look(5, 0.15, 0.08), 1e-3) == linalg.SKIP
+    assert linalg._wait(look(20, 4e-3, 1e-4), look(21, 2e-3, 8e-5), 1e-3) == 1
+    assert linalg._wait(look(4, 0.2, 1e-3), look(5, 0.15, 1e-5), 1e-3) == 1  # a pair that converges fast
+
+
 def test_product_sends_a_dense_block_once_to_each_group(spark):
     assert linalg.grid(59, 44, 24) == (4, 6)  # 4 × 59 and 6 × 44 blocks move, not 59 × 44 of both
     assert all(linalg.grid(i, o, 24)[0] >= o / linalg.GROUP for i in (1, 7, 900) for o in (1, 50, 2000))  # a task holds its group
