@@ -312,3 +312,12 @@ def test_recommend_cf_exclude_known(spark):
         R.recommend_cf(model, users, exclude_known=True)
     plain = R.recommend_cf(model, users, n=3).collect()
     assert len(plain) == 3 * len({r[0] for r in rows})
+
+
+def test_content_recommendations_clean_the_purchases_once(spark, monkeypatch):
+    from basketry.plans import catalog, context
+    plain, calls = context.C.clean_transactions, []
+    monkeypatch.setattr(context.C, "clean_transactions", lambda *x: calls.append(1) or plain(*x))
+    recs, test, users = catalog._cb_eval_recs(spark, "/root/testdata/sf0.001")
+    assert len(calls) == 1 and test.columns == ["user_id", "product_id"]
+    assert recs.select("user_id").distinct().count() == users.count() > 0
